@@ -40,5 +40,5 @@ def contains_pattern(text: Column, pattern: str, literal: bool = False) -> Colum
     if literal:
         found = F.contains(F.lower(text), F.lower(F.lit(pattern)))
     else:
-        found = text.rlike("(?i)" + pattern)
+        found = text.rlike("(?iu)" + pattern)
     return F.coalesce(found, F.lit(False))
