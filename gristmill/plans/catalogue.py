@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from importlib import import_module
-
-MODULES = ("sales_reports",)
-
-
-def collect(attribute: str) -> dict:
-    merged: dict = {}
-    for name in MODULES:
-        merged.update(getattr(import_module(f"gristmill.plans.{name}"), attribute))
-    return merged
-
-
-def queries() -> dict:
-    return collect("QUERIES")
+from gristmill.plans import (
+    document_store,
+    message_models,
+    quality_checks,
+    sales_reports,
+    segment_models,
+    series_reports,
+    text_jobs,
+    trend_reports,
+)
+from gristmill.plans.registry import Query
+
+REGISTERS = [
+    module.query
+    for module in (
+        sales_reports,
+        quality_checks,
+        series_reports,
+        trend_reports,
+        text_jobs,
+        document_store,
+        segment_models,
+        message_models,
+    )
+]
+
+
+def queries() -> dict[str, Query]:
+    return {name: function for register in REGISTERS for name, function in register.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return collect("SQL")
+    return {name: sql for register in REGISTERS for name, sql in register.sql.items()}

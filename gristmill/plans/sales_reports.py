@@ -6,21 +6,11 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.numbers import money
 from gristmill.operators import projections, reporting, sales, storage
+from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import SALES, double, long, percent, ratio
 from gristmill.sources import tables
 
-QUERIES = {}
-SQL = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(function):
-        QUERIES[name] = function
-        if sql is not None:
-            SQL[name] = sql
-        return function
-
-    return register
+query = Register()
 
 
 def _total(key: str, measure: str, name: str, tail: str = "") -> str:

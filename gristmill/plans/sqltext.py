@@ -60,8 +60,8 @@ def percent(part: str, whole: str, digits: int = 2) -> str:
 
 
 def half_up(expression: str, digits: int = 2) -> str:
-    """Rounding of the decimal digits, half away from zero."""
-    return double(f"round(CAST({expression} AS DECIMAL(28,10)), {digits})")
+    """Rounding of the shortest decimal form of a double, half away from zero."""
+    return double(f"round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,16)), {digits})")
 
 
 def long(expression: str) -> str:
