@@ -39,7 +39,6 @@ def build_session(
         # Split a hot join key even where that costs one more shuffle later.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
-        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     }
     chosen.update(settings or {})
     for key, value in chosen.items():
