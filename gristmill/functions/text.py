@@ -24,7 +24,7 @@ def normalise_label(label: Column) -> Column:
 def tokens(text: Column, pattern: str = r"\W+", lower: bool = True) -> Column:
     """Non-empty pieces of ``text`` between matches of ``pattern``."""
     source = F.lower(text) if lower else text
-    return F.filter(F.split(source, pattern), lambda piece: piece != "")
+    return F.array_remove(F.split(source, pattern), "")
 
 
 def words(text: Column) -> Column:

@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 from gristmill.functions import numbers
 
 
-def amount(measure: str) -> Column:
+def amount(frame: DataFrame, measure: str) -> Column:
     """An exact total shown as a double."""
-    return F.sum(measure).cast("double")
+    return numbers.total(frame, measure).cast("double")
+
+
+def _added_up(frame: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """One row per key with exact sums under their old names."""
+    return frame.groupBy(*keys).agg(*(numbers.total(frame, m).alias(m) for m in measures))
 
 
 def total_by(frame: DataFrame, keys: Sequence[str], measure: str, name: str, ascending: bool = False) -> DataFrame:
     """Sum per key, largest (or smallest) first, equal sums in key order."""
-    totals = frame.groupBy(*keys).agg(amount(measure).alias(name))
+    totals = frame.groupBy(*keys).agg(amount(frame, measure).alias(name))
     return totals.orderBy(F.col(name).asc() if ascending else F.col(name).desc(), *keys)
 
 
@@ -31,14 +36,14 @@ def top_totals(frame: DataFrame, keys: Sequence[str], measure: str, name: str, n
 
 def average_of(frame: DataFrame, measure: str, name: str) -> DataFrame:
     """Mean over all rows, as exact sum over count."""
-    return frame.agg(numbers.ratio(F.sum(measure), F.count(measure)).alias(name))
+    return frame.agg(numbers.ratio(numbers.total(frame, measure), F.count(measure)).alias(name))
 
 
 def monthly_totals(frame: DataFrame, measure: str, name: str, merge_years: bool = False) -> DataFrame:
     """Sum per calendar month; ``merge_years`` puts the same month of all years together."""
     month = F.month("order_date").alias("month")
     keys = [month] if merge_years else [F.year("order_date").alias("year"), month]
-    totals = frame.groupBy(*keys).agg(amount(measure).alias(name))
+    totals = frame.groupBy(*keys).agg(amount(frame, measure).alias(name))
     return totals.orderBy(*[c for c in totals.columns if c != name])
 
 
@@ -49,8 +54,8 @@ def with_margin(totals: DataFrame, profit: str = "total_profit", sales: str = "t
 def summary(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sales, profit, units, distinct orders and margin per group; rows without a key are left out."""
     totals = frame.dropna(subset=list(keys)).groupBy(*keys).agg(
-        amount("sales").alias("total_sales"),
-        amount("profit").alias("total_profit"),
+        amount(frame, "sales").alias("total_sales"),
+        amount(frame, "profit").alias("total_profit"),
         F.sum("quantity").cast("long").alias("total_quantity"),
         F.countDistinct("order_id").alias("distinct_orders"),
     )
@@ -64,12 +69,10 @@ def kpi_row(frame: DataFrame) -> DataFrame:
     customer beforehand leaves far fewer rows to triple, and no order or customer, however
     large, reaches one task unsummed.
     """
-    pairs = frame.groupBy("order_id", "customer_id").agg(
-        F.sum("sales").alias("sales"), F.sum("profit").alias("profit"), F.sum("quantity").alias("quantity")
-    )
+    pairs = _added_up(frame, ["order_id", "customer_id"], ["sales", "profit", "quantity"])
     totals = pairs.agg(
-        F.coalesce(amount("sales"), F.lit(0.0)).alias("total_sales"),
-        F.coalesce(amount("profit"), F.lit(0.0)).alias("total_profit"),
+        F.coalesce(amount(pairs, "sales"), F.lit(0.0)).alias("total_sales"),
+        F.coalesce(amount(pairs, "profit"), F.lit(0.0)).alias("total_profit"),
         F.countDistinct("order_id").alias("distinct_orders"),
         F.countDistinct("customer_id").alias("distinct_customers"),
         F.coalesce(F.sum("quantity").cast("long"), F.lit(0)).alias("total_quantity"),
@@ -105,7 +108,7 @@ def totals_by(frame: DataFrame, key: str, prefix: str = "") -> DataFrame:
     return (
         frame.dropna(subset=[key])
         .groupBy(key)
-        .agg(amount("sales").alias(f"{prefix}sales"), amount("profit").alias(f"{prefix}profit"))
+        .agg(amount(frame, "sales").alias(f"{prefix}sales"), amount(frame, "profit").alias(f"{prefix}profit"))
         .orderBy(key)
     )
 
@@ -128,9 +131,9 @@ def top_products(frame: DataFrame, measure: str, n: int = 10) -> DataFrame:
 def loss_leaders(frame: DataFrame) -> DataFrame:
     """Products that lose money over all, worst first."""
     totals = frame.groupBy("product", "category", "sub_category").agg(
-        amount("sales").alias("total_sales"),
-        amount("profit").alias("total_profit"),
-        numbers.ratio(F.sum(F.col("discount").cast("decimal(18,4)")), F.count("discount")).alias("avg_discount"),
+        amount(frame, "sales").alias("total_sales"),
+        amount(frame, "profit").alias("total_profit"),
+        numbers.ratio(numbers.total(frame, "discount"), F.count("discount")).alias("avg_discount"),
         F.countDistinct("order_id").alias("total_orders"),
     )
     return totals.filter("total_profit < 0").orderBy("total_profit", "product", "category", "sub_category")
@@ -138,12 +141,10 @@ def loss_leaders(frame: DataFrame) -> DataFrame:
 
 def segment_summary(frame: DataFrame) -> DataFrame:
     """Sales, profit, customers, orders and average order value per segment."""
-    pairs = frame.groupBy("segment", "order_id", "customer_id").agg(
-        F.sum("sales").alias("sales"), F.sum("profit").alias("profit")
-    )
+    pairs = _added_up(frame, ["segment", "order_id", "customer_id"], ["sales", "profit"])
     totals = pairs.groupBy("segment").agg(
-        amount("sales").alias("total_sales"),
-        amount("profit").alias("total_profit"),
+        amount(pairs, "sales").alias("total_sales"),
+        amount(pairs, "profit").alias("total_profit"),
         F.countDistinct("customer_id").alias("distinct_customers"),
         F.countDistinct("order_id").alias("distinct_orders"),
     )
@@ -153,9 +154,9 @@ def segment_summary(frame: DataFrame) -> DataFrame:
 def customer_leaderboard(frame: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` customers who spent most; the average is per line, so rows carry ``lines``."""
     totals = frame.groupBy("customer_id", "customer_name", "segment").agg(
-        amount("sales").alias("lifetime_spend"),
-        amount("profit").alias("net_profit"),
+        amount(frame, "sales").alias("lifetime_spend"),
+        amount(frame, "profit").alias("net_profit"),
         F.countDistinct("order_id").alias("total_orders"),
-        numbers.ratio(F.sum("sales"), F.sum("lines")).alias("avg_order_value"),
+        numbers.ratio(numbers.total(frame, "sales"), F.sum("lines")).alias("avg_order_value"),
     )
     return totals.orderBy(F.desc("lifetime_spend"), "customer_id").limit(n)

@@ -47,13 +47,13 @@ vocabulary AS (
         FROM terms JOIN vocabulary USING (term)""",
 )
 def tfidf_terms(spark, sf_dir):
-    weights = classify.term_weights(tables.table(spark, sf_dir, "documents"), COMMON_WORDS)
+    weights = classify.term_weights(tables.documents(spark, sf_dir, "doc_id", "text"), COMMON_WORDS)
     return weights.withColumns({c: F.round(c, 8) for c in ("idf", "tf_idf")})
 
 
 @query("tfidf_vocabulary", f"WITH {TERMS} SELECT term, df, occurrences, {half_up('idf', 8)} AS idf FROM vocabulary")
 def tfidf_vocabulary(spark, sf_dir):
-    documents = tables.table(spark, sf_dir, "documents")
+    documents = tables.documents(spark, sf_dir, "doc_id", "text")
     total = documents.select(F.count(F.lit(1))).scalar()
     terms = classify.vocabulary(classify.term_counts(documents, COMMON_WORDS), total)
     return terms.withColumn("idf", F.round("idf", 8))

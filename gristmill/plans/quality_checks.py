@@ -142,8 +142,7 @@ cleaned AS (
 )
 def clean_pass(spark, sf_dir):
     cleaned = quality.clean_sales(tables.raw_feed(spark, sf_dir))
-    shown = {c: F.col(c).cast("double") for c in ("sales", "profit")}
-    return cleaned.withColumns({**shown, **{c: F.col(c).cast("string") for c in ("order_date", "ship_date")}})
+    return cleaned.withColumns({c: F.col(c).cast("string") for c in ("order_date", "ship_date")})
 
 
 def _report_sql() -> str:

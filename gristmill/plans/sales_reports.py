@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.functions.numbers import money
 from gristmill.operators import projections, reporting, sales, storage
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import SALES, double, long, percent, ratio
@@ -92,7 +91,7 @@ def discount_net(spark, sf_dir):
         FROM net GROUP BY category ORDER BY total_final_revenue, category LIMIT 1""",
 )
 def least_category(spark, sf_dir):
-    lines = _priced_lines(spark, sf_dir, "category", money(F.col("final_revenue")).alias("final_revenue"))
+    lines = _priced_lines(spark, sf_dir, "category", "final_revenue")
     return sales.total_by(lines, ["category"], "final_revenue", "total_final_revenue", ascending=True).limit(1)
 
 
@@ -319,7 +318,7 @@ def facet_filter(spark, sf_dir):
     lines = tables.sales_lines(spark, sf_dir, "region", "category", "segment", "order_date", "sales", "profit")
     chosen = projections.facet_filter(lines, region="ASIA", category="PROMO", years=(1996, 1997))
     return chosen.groupBy("category", "segment").agg(
-        sales.amount("sales").alias("sales"), sales.amount("profit").alias("profit")
+        sales.amount(chosen, "sales").alias("sales"), sales.amount(chosen, "profit").alias("profit")
     )
 
 
@@ -334,8 +333,7 @@ SHOWN = "order_id, line_number, part_id, customer_name, segment, region, state,
 
 def _searched(spark, sf_dir, text, literal):
     lines = tables.sales_lines(spark, sf_dir, *SHOWN.split(", "), "sales", "profit")
-    found = projections.search(lines, text, ("customer_name", "product", "order_id", "state"), literal)
-    return found.withColumns({c: F.col(c).cast("double") for c in ("sales", "profit")})
+    return projections.search(lines, text, ("customer_name", "product", "order_id", "state"), literal)
 
 
 def _search_sql(condition: str) -> str:

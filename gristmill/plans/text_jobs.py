@@ -13,7 +13,7 @@ query = Register()
 
 def _lines(spark, sf_dir):
     """Every line of every document."""
-    return tables.table(spark, sf_dir, "documents").select(
+    return tables.documents(spark, sf_dir, "doc_id", "text").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_number", "value")
     )
 

@@ -17,7 +17,7 @@ EVENT_CATEGORIES = {"Interest": ["#CLICK", "#VIEW"], "Business": ["#PURCHASE", "
 
 
 def _word_posts(spark, sf_dir):
-    return trends.clean_posts(trends.word_posts(tables.table(spark, sf_dir, "documents")))
+    return trends.clean_posts(trends.word_posts(tables.documents(spark, sf_dir, "lang", "source", "text")))
 
 
 def _event_posts(spark, sf_dir):
@@ -47,7 +47,7 @@ def tag_normalise(spark, sf_dir):
 )
 def tag_cleaning(spark, sf_dir):
     """Counts before and after cleaning, over all pieces of all documents, the empty ones included."""
-    pieces = tables.table(spark, sf_dir, "documents").select(F.explode(F.split("text", r"\W")).alias("hashtag"))
+    pieces = tables.documents(spark, sf_dir, "text").select(F.explode(F.split("text", r"\W")).alias("hashtag"))
     return trends.cleaning_counts(pieces)
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions.numbers import MONEY
+from gristmill.functions import numbers
 
 ORDER_COLUMNS = {"order_date", "customer_id", "status"}
 CUSTOMER_COLUMNS = {"customer_name", "segment"}
@@ -17,13 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a table read by fewer tasks than there are cores one task per core.
+
+    For work that is heavy per row, such as splitting long texts of a small table. A table
+    of many files is read by more tasks than that already and passes without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("part_id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("sub_category"),
         F.col("p_name").alias("product"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("unit_cost"),
+        _cents(F.col("p_retailprice")).alias("unit_cost"),
     )
 
 
@@ -66,9 +80,13 @@ def _with_order(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
     return facts
 
 
+def _cents(price: Column) -> Column:
+    return F.rint(price * 100).cast("long")
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
+    """Order lines. ``units`` are the sales in ten-thousandths: cents times whole percent."""
+    percent_kept = 100 - F.rint(F.col("l_discount") * 100).cast("long")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("part_id"),
@@ -79,7 +97,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("line_status"),
         F.col("l_quantity").cast("long").alias("quantity"),
         F.col("l_discount").alias("discount"),
-        (price * (1 - discount)).cast(MONEY).alias("sales"),
+        (_cents(F.col("l_extendedprice")) * percent_kept).alias("units"),
     )
 
 
@@ -89,7 +107,9 @@ def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
     if wanted & (PART_COLUMNS | {"profit"}):
         lines = lines.join(_parts(spark, sf_dir), "part_id", "left")
-        lines = lines.withColumn("profit", (F.col("sales") - F.col("quantity") * F.col("unit_cost")).cast(MONEY))
+        cost = F.col("quantity") * F.col("unit_cost") * 100
+        lines = lines.withColumn("profit", (F.col("units") - cost) / float(numbers.UNITS))
+    lines = lines.withColumn("sales", F.col("units") / float(numbers.UNITS))
     return _with_order(lines, sf_dir, wanted).select(*columns)
 
 
@@ -104,22 +124,21 @@ def order_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     measures = [m for m in ("sales", "profit", "quantity") if m in wanted]
     lines = sales_lines(spark, sf_dir, "order_id", *measures)
     totals = lines.groupBy("order_id").agg(
-        *(F.sum(m).alias(m) for m in measures), F.count(F.lit(1)).alias("lines")
+        *(numbers.total(lines, m).alias(m) for m in measures), F.count(F.lit(1)).alias("lines")
     )
     return _with_order(totals, sf_dir, wanted).select(*columns)
 
 
 def part_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One row per part with the sums ``sales``, ``profit`` and ``quantity``, added up before the join."""
-    totals = (
-        _lines(spark, sf_dir)
-        .groupBy("part_id")
-        .agg(F.sum("sales").alias("sales"), F.sum("quantity").alias("quantity"))
+    lines = sales_lines(spark, sf_dir, "part_id", "sales", "quantity")
+    totals = lines.groupBy("part_id").agg(
+        numbers.total(lines, "sales").alias("sales"), F.sum("quantity").alias("quantity")
     )
-    profit = F.col("sales") - F.col("quantity") * F.col("unit_cost")
+    cost = F.col("quantity") * (F.col("unit_cost") / 100).cast("decimal(12,2)")
     return (
         totals.join(_parts(spark, sf_dir), "part_id", "left")
-        .withColumn("profit", profit.cast("decimal(38,4)"))
+        .withColumn("profit", (F.col("sales") - cost).cast("decimal(38,4)"))
         .select(*columns)
     )
 
@@ -155,7 +174,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.when(F.col("quality") == 0, "spam").otherwise("ham").alias("label")
     )
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message_text"))
+    texts = documents(spark, sf_dir, "doc_id", "text").withColumnRenamed("text", "message_text")
     return texts.join(labels, "doc_id")
 
 
@@ -188,7 +207,7 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((flag == "N") & (number == 7), None).otherwise(F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
         F.when((status == "O") & (flag == "A") & (number == 6), "pending")
         .otherwise(F.date_format("ship_date", "yyyy-MM-dd")).alias("ship_date"),
-        F.when((flag == "R") & (number == 5), 0).otherwise(F.col("sales")).cast(MONEY).alias("sales"),
+        F.when((flag == "R") & (number == 5), 0).otherwise(F.col("sales")).alias("sales"),
         F.when((flag == "R") & (number == 4), -F.col("quantity")).otherwise(F.col("quantity")).alias("quantity"),
         F.when((flag == "R") & (number == 3), 1.5)
         .when((flag == "R") & (number == 2), -0.5).otherwise(F.col("discount")).alias("discount"),
