@@ -27,6 +27,28 @@ def tokens(text: Column, pattern: str = r"\W+", lower: bool = True) -> Column:
     return F.array_remove(F.split(source, pattern), "")
 
 
+def runs(sorted_pieces: Column) -> Column:
+    """The distinct pieces of a sorted array with how often each occurs, as ``(term, tf)``.
+
+    Counting inside the row needs no shuffle of (document, term) pairs. The array should be
+    a column of its own, since it is read many times.
+    """
+    size = F.size(sorted_pieces)
+    starts = F.filter(
+        F.sequence(F.lit(1), size),
+        lambda i: (i == 1) | (F.element_at(sorted_pieces, i) != F.element_at(sorted_pieces, F.greatest(i - 1, F.lit(1)))),
+    )
+    ends = F.concat(F.slice(starts, F.lit(2), size), F.array(size + 1))
+    counted = F.zip_with(
+        starts,
+        ends,
+        lambda start, end: F.struct(
+            F.element_at(sorted_pieces, start).alias("term"), (end - start).cast("long").alias("tf")
+        ),
+    )
+    return F.when(size > 0, counted)
+
+
 def words(text: Column) -> Column:
     """Lower-case words between blanks."""
     return tokens(text, pattern=r"\s+")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import numbers, text
 from gristmill.operators import ranking, sampling
-from gristmill.operators.storage import stored
+from gristmill.operators.storage import compacted, stored
 
 # Sizes of the two feature spaces, least document count of a word, the
 # parameter settings tried (regularisation, iterations, elastic net), thresholds,
@@ -67,9 +67,21 @@ def regression(setting: Setting) -> LogisticRegression:
     )
 
 
-def message_model(setting: Setting, hashed: bool = False) -> Pipeline:
-    """All stages from text to prediction; the fitted model can be saved and loaded."""
-    return Pipeline(stages=[*text_stages(hashed), regression(setting)])
+def fit_regression(features: DataFrame, setting: Setting) -> Model:
+    """Fit over kept features, in as few partitions as their number of rows asks for."""
+    return regression(setting).fit(compacted(features, features.count()))
+
+
+def fit_messages(train: DataFrame, setting: Setting, hashed: bool = False) -> PipelineModel:
+    """A model of all stages from text to prediction, which can be saved and loaded.
+
+    The texts are read once per text stage; the regression, which reads its input in every
+    iteration, gets the kept features and never the texts.
+    """
+    texts = Pipeline(stages=text_stages(hashed)).fit(train)
+    with stored(texts.transform(train).select("label_idx", "features")) as features:
+        fitted = fit_regression(features, setting)
+    return PipelineModel(stages=[*texts.stages, fitted])
 
 
 def load_model(path: str) -> PipelineModel:
@@ -156,9 +168,10 @@ def parameter_search(messages: DataFrame, settings: Sequence[Setting] = SETTINGS
     features = Pipeline(stages=text_stages()).fit(part(messages, "train")).transform(known)
     rows = []
     with stored(features.select("label_idx", "features", "part")) as kept:
+        train = part(kept, "train")
         for number, setting in enumerate(settings, 1):
             start = time.perf_counter()
-            model = regression(setting).fit(part(kept, "train"))
+            model = fit_regression(train, setting)
             seconds = time.perf_counter() - start
             outcome = _outcome(model.transform(part(kept, "validation")))
             rows.append((number, *setting, seconds, outcome["accuracy"], outcome["weighted_f1"]))
@@ -174,20 +187,16 @@ def best_setting(search: DataFrame) -> Setting:
     return row["reg_param"], row["max_iter"], row["elastic_net"]
 
 
-Fits = Mapping[str, tuple[DataFrame, Pipeline]]
-
-
-def fit_comparison(fits: Fits, test: DataFrame) -> DataFrame:
-    """Rows trained on, seconds and rates on ``test`` per named fit."""
+def fit_comparison(fits: Mapping[str, tuple[DataFrame, Setting, bool]], test: DataFrame) -> DataFrame:
+    """Rows trained on, seconds and rates on ``test`` per named fit ``(train, setting, hashed)``."""
     rows = []
-    for name, (train, estimator) in fits.items():
-        with stored(train) as kept:
-            start = time.perf_counter()
-            model = estimator.fit(kept)
-            seconds = time.perf_counter() - start
-            size = kept.count()
+    for name, (train, setting, hashed) in fits.items():
+        start = time.perf_counter()
+        model = fit_messages(train, setting, hashed)
+        seconds = time.perf_counter() - start
         outcome = _outcome(model.transform(test))
-        rows.append((name, size, seconds, *(outcome[n] for n in ("accuracy", "precision", "recall", "f1"))))
+        found = (outcome[n] for n in ("accuracy", "precision", "recall", "f1"))
+        rows.append((name, train.count(), seconds, *found))
     schema = (
         "fit STRING, train_rows LONG, seconds DOUBLE, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
     )
@@ -196,18 +205,16 @@ def fit_comparison(fits: Fits, test: DataFrame) -> DataFrame:
 
 def size_sweep(train: DataFrame, test: DataFrame, setting: Setting) -> DataFrame:
     """The same fit on growing shares of the training messages."""
-    shares = {
-        f"{share:.0%}": (sampling.sample(train, "doc_id", share), message_model(setting)) for share in TRAINING_SHARES
-    }
-    return fit_comparison(shares, test)
+    fits = {f"{share:.0%}": (sampling.sample(train, "doc_id", share), setting, False) for share in TRAINING_SHARES}
+    return fit_comparison(fits, test)
 
 
 def subsample_fit(train: DataFrame, test: DataFrame, setting: Setting) -> DataFrame:
     """The full fit beside one on a sample with few iterations."""
     reduced = (setting[0], REDUCED_ITERATIONS, setting[2])
     fits = {
-        "full": (train, message_model(setting)),
-        "subsample": (sampling.sample(train, "doc_id", REDUCED_SHARE), message_model(reduced)),
+        "full": (train, setting, False),
+        "subsample": (sampling.sample(train, "doc_id", REDUCED_SHARE), reduced, False),
     }
     return fit_comparison(fits, test)
 
@@ -215,8 +222,8 @@ def subsample_fit(train: DataFrame, test: DataFrame, setting: Setting) -> DataFr
 def feature_comparison(train: DataFrame, test: DataFrame, setting: Setting) -> DataFrame:
     """Exact vocabulary beside hashed features."""
     fits = {
-        f"exact counts, {VOCABULARY} terms": (train, message_model(setting)),
-        f"hashed counts, {HASH_BUCKETS} buckets": (train, message_model(setting, hashed=True)),
+        f"exact counts, {VOCABULARY} terms": (train, setting, False),
+        f"hashed counts, {HASH_BUCKETS} buckets": (train, setting, True),
     }
     return fit_comparison(fits, test)
 
@@ -236,11 +243,10 @@ def prediction_sample(predictions: DataFrame, rows: int = 20) -> DataFrame:
 
 
 def term_counts(documents: DataFrame, leave_out: Sequence[str] = (), key: str = "doc_id") -> DataFrame:
-    """How often each term occurs in each document."""
-    terms = documents.select(key, F.explode(text.tokens(F.col("text"))).alias("term"))
-    if leave_out:
-        terms = terms.filter(~F.col("term").isin(*leave_out))
-    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """How often each term occurs in each document (row), counted row by row without a shuffle."""
+    sorted_pieces = documents.select(key, F.sort_array(text.tokens(F.col("text"))).alias("_pieces"))
+    counts = sorted_pieces.select(key, F.inline(text.runs(F.col("_pieces"))))
+    return counts.filter(~F.col("term").isin(*leave_out)) if leave_out else counts
 
 
 def vocabulary(counts: DataFrame, total: Column, size: int = VOCABULARY, least: int = MIN_DOCUMENTS) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gristmill.operators import classify, quality, sampling
+from gristmill.operators.storage import stored
 from gristmill.operators.wordcount import COMMON_WORDS
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up, ratio
@@ -151,14 +152,14 @@ def hashing_tf(spark, sf_dir):
 def spam_predictions(spark, sf_dir):
     """Twenty predictions to read."""
     train, test = _split(spark, sf_dir)
-    model = classify.message_model(SETTING).fit(train)
+    model = classify.fit_messages(train, SETTING)
     return classify.prediction_sample(model.transform(test))
 
 
 @query("spam_evaluation")
 def spam_evaluation(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    return classify.evaluation(classify.message_model(SETTING).fit(train), test)
+    return classify.evaluation(classify.fit_messages(train, SETTING), test)
 
 
 @query("grid_search")
@@ -166,16 +167,23 @@ def grid_search(spark, sf_dir):
     return classify.parameter_search(_messages(spark, sf_dir))
 
 
+def _compared(spark, sf_dir, comparison):
+    """A comparison of fits over messages that are kept for all of them."""
+    with stored(_messages(spark, sf_dir)) as kept:
+        train, test = classify.part(kept, "train", "validation"), classify.part(kept, "test")
+        return comparison(train, test, SETTING)
+
+
 @query("size_sweep")
 def size_sweep(spark, sf_dir):
-    return classify.size_sweep(*_split(spark, sf_dir), SETTING)
+    return _compared(spark, sf_dir, classify.size_sweep)
 
 
 @query("subsample_fit")
 def subsample_fit(spark, sf_dir):
-    return classify.subsample_fit(*_split(spark, sf_dir), SETTING)
+    return _compared(spark, sf_dir, classify.subsample_fit)
 
 
 @query("feature_comparison")
 def feature_comparison(spark, sf_dir):
-    return classify.feature_comparison(*_split(spark, sf_dir), SETTING)
+    return _compared(spark, sf_dir, classify.feature_comparison)

@@ -32,7 +32,7 @@ words AS (
 
 @query("word_count", f"WITH {WORDS} SELECT word, count(*) AS total FROM words GROUP BY 1")
 def word_count(spark, sf_dir):
-    return wordcount.word_count(_lines(spark, sf_dir))
+    return wordcount.word_count(tables.documents(spark, sf_dir, "text"), "text")
 
 
 @query(
@@ -41,7 +41,7 @@ def word_count(spark, sf_dir):
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
 )
 def word_top10(spark, sf_dir):
-    return wordcount.top_words(_lines(spark, sf_dir))
+    return wordcount.top_words(tables.documents(spark, sf_dir, "text"), "text")
 
 
 @query("grep", f"WITH {LINES} SELECT * FROM lines WHERE regexp_matches(value, '(?i)licen[sc]e|@')")

@@ -134,7 +134,7 @@ def messages(spark):
 
 def test_messages_are_told_apart(spark, messages, tmp_path):
     train, test = classify.part(messages, "train", "validation"), classify.part(messages, "test")
-    model = classify.message_model(classify.SETTINGS[1]).fit(train)
+    model = classify.fit_messages(train, classify.SETTINGS[1])
     measured = dict(rows(classify.evaluation(model, test)))
     assert measured["accuracy"] > 0.95 and measured["roc_auc"] > 0.95
     assert measured["tp"] + measured["fp"] + measured["tn"] + measured["fn"] == test.count()
