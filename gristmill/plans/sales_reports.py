@@ -170,9 +170,8 @@ kpi AS (
 
 
 def _kpis(spark, sf_dir):
-    return sales.kpi_row(
-        tables.order_totals(spark, sf_dir, "order_id", "customer_id", "sales", "profit", "quantity")
-    )
+    orders = tables.order_totals(spark, sf_dir, "order_id", "customer_id", "sales", "profit", "quantity")
+    return sales.kpi_row(orders, order_rows=True)
 
 
 @query("kpi_row", f"WITH {KPIS} SELECT * FROM kpi")
@@ -217,7 +216,7 @@ def category_summary(spark, sf_dir):
 @query("region_summary", _summary("region, state"))
 def region_summary(spark, sf_dir):
     orders = tables.order_totals(spark, sf_dir, "order_id", "region", "state", "sales", "profit", "quantity")
-    return sales.summary(orders, ["region", "state"]).orderBy(F.desc("total_sales"), "region", "state")
+    return sales.summary(orders, ["region", "state"], order_rows=True).orderBy(F.desc("total_sales"), "region", "state")
 
 
 @query("quarter_summary", _summary("year, quarter"))
@@ -226,7 +225,7 @@ def quarter_summary(spark, sf_dir):
     keyed = orders.withColumns(
         {"year": F.year("order_date"), "quarter": F.date_format("order_date", "yyyy'Q'Q")}
     )
-    return sales.summary(keyed, ["year", "quarter"]).orderBy("year", "quarter")
+    return sales.summary(keyed, ["year", "quarter"], order_rows=True).orderBy("year", "quarter")
 
 
 @query(
@@ -288,9 +287,8 @@ def loss_leaders(spark, sf_dir):
         SELECT *, round_even({ratio('total_sales', 'distinct_orders')}, 2) AS aov FROM totals""",
 )
 def segment_aov(spark, sf_dir):
-    return sales.segment_summary(
-        tables.order_totals(spark, sf_dir, "segment", "order_id", "customer_id", "sales", "profit")
-    )
+    orders = tables.order_totals(spark, sf_dir, "segment", "order_id", "customer_id", "sales", "profit")
+    return sales.segment_summary(orders, order_rows=True)
 
 
 @query(
@@ -301,11 +299,10 @@ def segment_aov(spark, sf_dir):
         FROM sales GROUP BY 1, 2, 3 ORDER BY lifetime_spend DESC, customer_id LIMIT 15""",
 )
 def customer_leaderboard(spark, sf_dir):
-    return sales.customer_leaderboard(
-        tables.order_totals(
-            spark, sf_dir, "customer_id", "customer_name", "segment", "order_id", "sales", "profit", "lines"
-        )
+    orders = tables.order_totals(
+        spark, sf_dir, "customer_id", "customer_name", "segment", "order_id", "sales", "profit", "lines"
     )
+    return sales.customer_leaderboard(orders, order_rows=True)
 
 
 @query(

@@ -121,6 +121,16 @@ def test_kpis(flat):
     }
 
 
+def test_one_row_per_order_gives_the_same(flat):
+    orders = flat.groupBy("order_id", "customer_id", "customer_name", "segment", "region").agg(
+        *(numbers.total(flat, m).alias(m) for m in ("sales", "profit", "quantity", "lines"))
+    )
+    assert rows(sales.kpi_row(orders, order_rows=True)) == rows(sales.kpi_row(flat))
+    assert rows(sales.segment_summary(orders, order_rows=True)) == rows(sales.segment_summary(flat))
+    assert rows(sales.summary(orders, ["region"], order_rows=True)) == rows(sales.summary(flat, ["region"]))
+    assert rows(sales.customer_leaderboard(orders, order_rows=True)) == rows(sales.customer_leaderboard(flat))
+
+
 def test_kpis_as_text(flat):
     assert dict(rows(sales.kpi_long(sales.kpi_row(flat)))) == {
         "Total Sales ($)": "$250.00", "Total Profit ($)": "$16.00", "Distinct Orders (#)": "3",
