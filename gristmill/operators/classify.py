@@ -10,6 +10,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,18 +229,31 @@ def feature_comparison(train: DataFrame, test: DataFrame, setting: Setting) -> D
     return fit_comparison(fits, test)
 
 
-def prediction_sample(predictions: DataFrame, rows: int = 20) -> DataFrame:
-    """A few predictions to read: message, actual and predicted label, probability; the least ids."""
-    return (
-        predictions.orderBy("doc_id")
-        .limit(rows)
-        .select(
-            "message_text",
-            F.col("label").alias("actual_label"),
-            F.when(F.col("prediction") == 1.0, "spam").otherwise("ham").alias("predicted_label"),
-            F.round(spam_probability(), 4).alias("spam_probability"),
-        )
+def prediction_sample(model: Model, messages: DataFrame, rows: int = 20) -> DataFrame:
+    """A few predictions to read: message, actual and predicted label, probability; the least ids.
+
+    The messages are chosen first, so that only those go through the model.
+    """
+    chosen = messages.orderBy("doc_id").limit(rows)
+    return model.transform(chosen).select(
+        "message_text",
+        F.col("label").alias("actual_label"),
+        F.when(F.col("prediction") == 1.0, "spam").otherwise("ham").alias("predicted_label"),
+        F.round(spam_probability(), 4).alias("spam_probability"),
+    )
+
+
+def bucket_summary(weighted: DataFrame) -> DataFrame:
+    """Per feature: messages that have it, and its largest weight, in one aggregate over the sparse vectors."""
+    found = weighted.select(Summarizer.metrics("numNonZeros", "max").summary(F.col("features")).alias("s"))
+    arrays = found.select(
+        F.arrays_zip(
+            vector_to_array(F.col("s.numNonZeros")).alias("messages"),
+            vector_to_array(F.col("s.max")).alias("largest_weight"),
+        ).alias("s")
     )
+    rows = arrays.select(F.posexplode("s").alias("bucket", "s"))
+    return rows.select("bucket", F.col("s.messages").cast("long").alias("messages"), "s.largest_weight")
 
 
 def term_counts(documents: DataFrame, leave_out: Sequence[str] = (), key: str = "doc_id") -> DataFrame:

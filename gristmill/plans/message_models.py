@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gristmill.operators import classify, quality, sampling
-from gristmill.operators.storage import stored
 from gristmill.operators.wordcount import COMMON_WORDS
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up, ratio
+from gristmill.session import written
 from gristmill.sources import tables
 
 query = Register()
@@ -24,8 +23,13 @@ def _messages(spark, sf_dir):
     return classify.with_parts(classify.with_label(cleaned))
 
 
+def _stored_messages(spark, sf_dir):
+    """The messages as a table of their own: fits read them several times, the join runs once."""
+    return written(_messages(spark, sf_dir), "messages")
+
+
 def _split(spark, sf_dir):
-    messages = _messages(spark, sf_dir)
+    messages = _stored_messages(spark, sf_dir)
     return classify.part(messages, "train", "validation"), classify.part(messages, "test")
 
 
@@ -135,25 +139,17 @@ def threshold_sweep(spark, sf_dir):
 
 @query("hashing_tf")
 def hashing_tf(spark, sf_dir):
-    """Filled buckets, terms and largest weight of each message with hashed features."""
-    features = Pipeline(stages=classify.text_stages(hashed=True))
-    messages = tables.messages(spark, sf_dir)
-    weighted = features.fit(messages).transform(messages)
-    counts = vector_to_array(F.col("counts"))
-    return weighted.select(
-        "doc_id",
-        F.size(F.filter(counts, lambda n: n > 0)).alias("filled_buckets"),
-        F.size("terms").alias("terms"),
-        F.round(F.array_max(vector_to_array(F.col("features"))), 6).alias("largest_weight"),
-    )
+    """Messages and largest weight of each bucket of the hashed features."""
+    messages = _stored_messages(spark, sf_dir)
+    features = Pipeline(stages=classify.text_stages(hashed=True)).fit(messages)
+    return classify.bucket_summary(features.transform(messages))
 
 
 @query("spam_predictions")
 def spam_predictions(spark, sf_dir):
     """Twenty predictions to read."""
     train, test = _split(spark, sf_dir)
-    model = classify.fit_messages(train, SETTING)
-    return classify.prediction_sample(model.transform(test))
+    return classify.prediction_sample(classify.fit_messages(train, SETTING), test)
 
 
 @query("spam_evaluation")
@@ -164,26 +160,19 @@ def spam_evaluation(spark, sf_dir):
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    return classify.parameter_search(_messages(spark, sf_dir))
-
-
-def _compared(spark, sf_dir, comparison):
-    """A comparison of fits over messages that are kept for all of them."""
-    with stored(_messages(spark, sf_dir)) as kept:
-        train, test = classify.part(kept, "train", "validation"), classify.part(kept, "test")
-        return comparison(train, test, SETTING)
+    return classify.parameter_search(_stored_messages(spark, sf_dir))
 
 
 @query("size_sweep")
 def size_sweep(spark, sf_dir):
-    return _compared(spark, sf_dir, classify.size_sweep)
+    return classify.size_sweep(*_split(spark, sf_dir), SETTING)
 
 
 @query("subsample_fit")
 def subsample_fit(spark, sf_dir):
-    return _compared(spark, sf_dir, classify.subsample_fit)
+    return classify.subsample_fit(*_split(spark, sf_dir), SETTING)
 
 
 @query("feature_comparison")
 def feature_comparison(spark, sf_dir):
-    return _compared(spark, sf_dir, classify.feature_comparison)
+    return classify.feature_comparison(*_split(spark, sf_dir), SETTING)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gristmill.operators import segments
+from gristmill.operators.storage import stored
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up, ratio
+from gristmill.session import written
 from gristmill.sources import tables
 
 query = Register()
@@ -28,6 +30,11 @@ def _scaled(spark, sf_dir):
     return segments.scaled(_features(spark, sf_dir))
 
 
+def _stored_scaled(spark, sf_dir):
+    """Scaled features over a table of their own: fits read them many times, the orders are grouped once."""
+    return segments.scaled(written(_features(spark, sf_dir), "customer-features"))
+
+
 def _assigned(spark, sf_dir):
     """Customers with the nearest of the fixed centres."""
     values = _scaled(spark, sf_dir).withColumn(
@@ -120,38 +127,39 @@ def personas(spark, sf_dir):
     return segments.personas(segments.profile(_assigned(spark, sf_dir)))
 
 
+def _fitted(scaled):
+    with stored(scaled.select("scaled_features")) as kept:
+        return segments.kmeans(kept)
+
+
 @query("kmeans_sizes")
 def kmeans_sizes(spark, sf_dir):
     """Sizes and profiles of fitted clusters."""
-    scaled = _scaled(spark, sf_dir)
-    with segments.stored(scaled) as kept:
-        model = segments.kmeans(kept)
-    return segments.personas(segments.profile(model.transform(scaled)))
+    scaled = _stored_scaled(spark, sf_dir)
+    return segments.personas(segments.profile(_fitted(scaled).transform(scaled)))
 
 
 @query("kmeans_centroids")
 def kmeans_centroids(spark, sf_dir):
-    scaled = _scaled(spark, sf_dir)
-    with segments.stored(scaled) as kept:
-        model = segments.kmeans(kept)
-    return segments.centroids(model, scaled)
+    scaled = _stored_scaled(spark, sf_dir)
+    return segments.centroids(_fitted(scaled), scaled)
 
 
 @query("elbow")
 def elbow(spark, sf_dir):
-    return segments.elbow(_scaled(spark, sf_dir))
+    return segments.elbow(_stored_scaled(spark, sf_dir))
 
 
 @query("bisecting")
 def bisecting(spark, sf_dir):
-    return segments.method_comparison(_scaled(spark, sf_dir))
+    return segments.method_comparison(_stored_scaled(spark, sf_dir))
 
 
 @query("partition_effect")
 def partition_effect(spark, sf_dir):
-    return segments.partition_effect(_scaled(spark, sf_dir))
+    return segments.partition_effect(_stored_scaled(spark, sf_dir))
 
 
 @query("pca2")
 def pca2(spark, sf_dir):
-    return segments.plane(_scaled(spark, sf_dir))
+    return segments.plane(_stored_scaled(spark, sf_dir))

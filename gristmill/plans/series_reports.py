@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gristmill.operators import quality, series
+from gristmill.operators import quality, reporting, series
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up
+from gristmill.session import written
 from gristmill.sources import tables
 
 query = Register()
@@ -97,6 +98,16 @@ def best_performer(spark, sf_dir):
     return series.best_performer(series.performance(_ticks(spark, sf_dir)))
 
 
+@query(
+    "series_facts",
+    f"""WITH {RETURNS} SELECT 'cumulative_return' AS section, stock AS metric, cumulative_return AS value FROM report
+        UNION ALL SELECT 'volatility', stock, volatility FROM report
+        UNION ALL (SELECT 'best', stock, cumulative_return FROM report ORDER BY cumulative_return DESC, stock LIMIT 1)""",
+)
+def series_facts(spark, sf_dir):
+    return reporting.series_facts(written(series.performance(_ticks(spark, sf_dir)), "performance"))
+
+
 @query(
     "price_validation",
     """SELECT 'stock' AS column_name, count(*) FILTER (WHERE event_type IS NULL) AS missing FROM events

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.operators import ranking, trends
+from gristmill.operators import ranking, reporting, trends
 from gristmill.plans.registry import Register
-from gristmill.plans.sqltext import WORD_POSTS, half_up, long, ratio
+from gristmill.plans.sqltext import WORD_POSTS, double, half_up, long, ratio
 from gristmill.sources import tables
 from gristmill.streaming import sliding
 
@@ -24,6 +24,13 @@ def _event_posts(spark, sf_dir):
     return trends.clean_posts(tables.event_posts(spark, sf_dir))
 
 
+def _topic_cases() -> str:
+    """The default categories as a CASE expression."""
+    quoted = {name: ", ".join(f"'{tag}'" for tag in tags) for name, tags in trends.TAG_CATEGORIES.items()}
+    cases = " ".join(f"WHEN hashtag IN ({tags}) THEN '{name}'" for name, tags in quoted.items())
+    return f"CASE {cases} ELSE 'Other' END"
+
+
 @query("tag_frequency", f"WITH {WORD_POSTS} SELECT hashtag, count(*) AS frequency FROM tagged GROUP BY 1")
 def tag_frequency(spark, sf_dir):
     return trends.tag_frequency(_word_posts(spark, sf_dir))
@@ -120,19 +127,26 @@ def category_share(spark, sf_dir):
 
 @query(
     "tag_topics",
-    rf"""WITH {WORD_POSTS}, topics AS (
-          SELECT CASE WHEN hashtag IN ('#AI', '#TECHNOLOGY', '#CODING', '#MACHINELEARNING', '#BIGDATA', '#PYTHON', '#CLOUD', '#CYBERSECURITY') THEN 'Technology'
-                      WHEN hashtag IN ('#CRICKET', '#IPL', '#FOOTBALL', '#OLYMPICS', '#FITNESS') THEN 'Sports'
-                      WHEN hashtag IN ('#MOVIES', '#MUSIC', '#CINEMA', '#HOLLYWOOD', '#BOLLYWOOD', '#NETFLIX') THEN 'Entertainment'
-                      WHEN hashtag IN ('#STARTUP', '#FINANCE', '#CRYPTO', '#MARKETING', '#STOCKMARKET') THEN 'Business'
-                      ELSE 'Other' END AS category
-          FROM tagged)
-        SELECT category, {long('count(*)')} AS category_count FROM topics GROUP BY 1""",
+    f"WITH {WORD_POSTS} SELECT {_topic_cases()} AS category, {long('count(*)')} AS category_count FROM tagged GROUP BY 1",
 )
 def tag_topics(spark, sf_dir):
     return trends.category_counts(_word_posts(spark, sf_dir))
 
 
+@query(
+    "trend_facts",
+    rf"""WITH {WORD_POSTS}, counts AS (SELECT hashtag, count(*) AS frequency FROM tagged GROUP BY 1),
+        best AS (SELECT * FROM counts ORDER BY frequency DESC, hashtag LIMIT 10)
+        SELECT 'size' AS section, 'rows_in' AS metric, {double('count(*)')} AS value FROM posts
+        UNION ALL SELECT 'size', 'rows_out', {double('count(*)')} FROM tagged
+        UNION ALL SELECT 'tags', 'distinct_tags', {double('count(*)')} FROM counts
+        UNION ALL SELECT 'top', hashtag, {double('frequency')} FROM best
+        UNION ALL SELECT 'category', {_topic_cases()}, {double('sum(frequency)')} FROM counts GROUP BY 2""",
+)
+def trend_facts(spark, sf_dir):
+    return reporting.trend_facts(trends.word_posts(tables.documents(spark, sf_dir, "lang", "source", "text")))
+
+
 @query(
     "sliding_tags",
     """WITH spread AS (

@@ -141,7 +141,7 @@ def test_messages_are_told_apart(spark, messages, tmp_path):
     model.write().overwrite().save(str(tmp_path / "model"))
     loaded = classify.load_model(str(tmp_path / "model"))
     assert rows(loaded.transform(test).select("doc_id", "prediction")) == rows(model.transform(test).select("doc_id", "prediction"))
-    shown = classify.prediction_sample(model.transform(test), 5)
+    shown = classify.prediction_sample(model, test, 5)
     assert shown.columns == ["message_text", "actual_label", "predicted_label", "spam_probability"] and shown.count() == 5
     probabilities = model.transform(test).select(classify.spam_probability().alias("p")).agg(F.min("p"), F.max("p")).first()
     assert 0 <= probabilities[0] <= probabilities[1] <= 1
@@ -157,6 +157,17 @@ def test_search_and_comparisons(messages):
     assert classify.feature_comparison(train, test, setting).count() == 2
 
 
+def test_bucket_summary(spark, messages):
+    from pyspark.ml import Pipeline
+
+    hashed = Pipeline(stages=classify.text_stages(hashed=True)).fit(messages)
+    summary = {r["bucket"]: r["messages"] for r in classify.bucket_summary(hashed.transform(messages)).collect()}
+    assert len(summary) == classify.HASH_BUCKETS
+    prize = hashed.stages[2].indexOf("prize")
+    expected = messages.filter(F.col("message_text").contains("prize")).count()
+    assert summary[prize] >= expected > 0
+
+
 def test_sizes_grow(messages):
     sizes = [sampling.sample(messages, "doc_id", share).count() for share in classify.TRAINING_SHARES]
     assert sizes == sorted(sizes) and sizes[-1] == messages.count()

@@ -113,6 +113,14 @@ def test_no_slice_holds_a_large_part(spark, kind):
     assert largest <= 3 * 400 / 20
 
 
+def test_short_series_stay_whole(spark):
+    ticks = spark.createDataFrame(_ticks("even"), "stock STRING, ts TIMESTAMP_NTZ, tick LONG, price DOUBLE")
+    sliced = slicing.sliced_series(ticks, "stock", series.ORDER, 2, 0, 60)
+    slices = {r[0]: r[1] for r in sliced.groupBy("stock").agg(F.countDistinct(slicing.SLICE)).collect()}
+    assert slices.pop("hot") > 2 and set(slices.values()) == {1}
+    assert sliced.filter(slicing.CARRIED).select("stock").distinct().count() == 1
+
+
 def test_endpoints_on_every_row(stocks):
     frame = series.with_endpoints(stocks, order=ORDER)
     assert frame.count() == 75
