@@ -1,9 +1,11 @@
 """Sales reports over a flat frame of sales.
 
-The frame may hold single order lines or rows already added up per order or part, as
-long as it has the columns a report names: the sums and distinct counts come out equal.
-Where every order is one row, ``order_rows=True`` says so: orders are then counted without
-the shuffle that finding distinct ones takes.
+The frame may hold single order lines or rows already added up, as long as it has the
+columns a report names: sums and counts come out equal. ``grain`` says what a row is:
+
+- ``LINE``: anything; orders and customers are counted by finding distinct ones,
+- ``ORDER``: one order, so orders are counted without that shuffle,
+- ``CUSTOMER``: one customer, with the number of ``orders``.
 """
 
 from __future__ import annotations
@@ -21,8 +23,16 @@ def amount(frame: DataFrame, measure: str) -> Column:
     return numbers.total(frame, measure).cast("double")
 
 
-def _orders(order_rows: bool) -> Column:
-    return F.count("order_id") if order_rows else F.countDistinct("order_id")
+LINE, ORDER, CUSTOMER = "line", "order", "customer"
+
+
+def _orders(grain: str) -> Column:
+    counts = {LINE: F.countDistinct("order_id"), ORDER: F.count("order_id"), CUSTOMER: F.sum("orders")}
+    return counts[grain].cast("long")
+
+
+def _customers(grain: str) -> Column:
+    return F.count("customer_id") if grain == CUSTOMER else F.countDistinct("customer_id")
 
 
 def _added_up(frame: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -57,18 +67,18 @@ def with_margin(totals: DataFrame, profit: str = "total_profit", sales: str = "t
     return totals.withColumn("profit_margin_pct", numbers.percent(F.col(profit), F.col(sales)))
 
 
-def summary(frame: DataFrame, keys: Sequence[str], order_rows: bool = False) -> DataFrame:
+def summary(frame: DataFrame, keys: Sequence[str], grain: str = LINE) -> DataFrame:
     """Sales, profit, units, distinct orders and margin per group; rows without a key are left out."""
     totals = frame.dropna(subset=list(keys)).groupBy(*keys).agg(
         amount(frame, "sales").alias("total_sales"),
         amount(frame, "profit").alias("total_profit"),
         F.sum("quantity").cast("long").alias("total_quantity"),
-        _orders(order_rows).alias("distinct_orders"),
+        _orders(grain).alias("distinct_orders"),
     )
     return with_margin(totals)
 
 
-def kpi_row(frame: DataFrame, order_rows: bool = False) -> DataFrame:
+def kpi_row(frame: DataFrame, grain: str = LINE) -> DataFrame:
     """Seven headline figures in one row.
 
     Two distinct counts over the raw rows would triple them first. Adding up per order and
@@ -76,12 +86,12 @@ def kpi_row(frame: DataFrame, order_rows: bool = False) -> DataFrame:
     large, reaches one task unsummed.
     """
     measures = ["sales", "profit", "quantity"]
-    pairs = frame if order_rows else _added_up(frame, ["order_id", "customer_id"], measures)
+    pairs = frame if grain != LINE else _added_up(frame, ["order_id", "customer_id"], measures)
     totals = pairs.agg(
         F.coalesce(amount(pairs, "sales"), F.lit(0.0)).alias("total_sales"),
         F.coalesce(amount(pairs, "profit"), F.lit(0.0)).alias("total_profit"),
-        _orders(order_rows).alias("distinct_orders"),
-        F.countDistinct("customer_id").alias("distinct_customers"),
+        _orders(grain).alias("distinct_orders"),
+        _customers(grain).alias("distinct_customers"),
         F.coalesce(F.sum("quantity").cast("long"), F.lit(0)).alias("total_quantity"),
     )
     return totals.select(
@@ -146,24 +156,25 @@ def loss_leaders(frame: DataFrame) -> DataFrame:
     return totals.filter("total_profit < 0").orderBy("total_profit", "product", "category", "sub_category")
 
 
-def segment_summary(frame: DataFrame, order_rows: bool = False) -> DataFrame:
+def segment_summary(frame: DataFrame, grain: str = LINE) -> DataFrame:
     """Sales, profit, customers, orders and average order value per segment."""
-    pairs = frame if order_rows else _added_up(frame, ["segment", "order_id", "customer_id"], ["sales", "profit"])
+    pairs = frame if grain != LINE else _added_up(frame, ["segment", "order_id", "customer_id"], ["sales", "profit"])
     totals = pairs.groupBy("segment").agg(
         amount(pairs, "sales").alias("total_sales"),
         amount(pairs, "profit").alias("total_profit"),
-        F.countDistinct("customer_id").alias("distinct_customers"),
-        _orders(order_rows).alias("distinct_orders"),
+        _customers(grain).alias("distinct_customers"),
+        _orders(grain).alias("distinct_orders"),
     )
     return totals.withColumn("aov", F.bround(numbers.ratio(F.col("total_sales"), F.col("distinct_orders")), 2))
 
 
-def customer_leaderboard(frame: DataFrame, n: int = 15, order_rows: bool = False) -> DataFrame:
+def customer_leaderboard(frame: DataFrame, n: int = 15, grain: str = LINE) -> DataFrame:
     """The ``n`` customers who spent most; the average is per line, so rows carry ``lines``."""
-    totals = frame.groupBy("customer_id", "customer_name", "segment").agg(
+    keys = ["customer_id", "customer_name", "segment"]
+    totals = frame.groupBy(*keys).agg(
         amount(frame, "sales").alias("lifetime_spend"),
         amount(frame, "profit").alias("net_profit"),
-        _orders(order_rows).alias("total_orders"),
+        _orders(grain).alias("total_orders"),
         numbers.ratio(numbers.total(frame, "sales"), F.sum("lines")).alias("avg_order_value"),
     )
     return totals.orderBy(F.desc("lifetime_spend"), "customer_id").limit(n)

@@ -26,9 +26,12 @@ def sample(frame: DataFrame, key: str, fraction: float) -> DataFrame:
 
 def with_part(frame: DataFrame, key: str, parts: Mapping[str, float], name: str = "part") -> DataFrame:
     """Name the part each row falls in; the fractions of ``parts`` add up to 1."""
-    names = list(parts)
-    label, reached = F.lit(names[-1]), 1.0
-    for part in reversed(names[:-1]):
-        reached -= parts[names[names.index(part) + 1]]
-        label = F.when(place(F.col(key)) < round(reached, 9), part).otherwise(label)
-    return frame.withColumn(name, label)
+    names, reached = list(parts), 0.0
+    label = None
+    for part in names[:-1]:
+        reached += parts[part]
+        below = F.col("_place") < round(reached, 9)
+        label = F.when(below, part) if label is None else label.when(below, part)
+    label = F.lit(names[-1]) if label is None else label.otherwise(names[-1])
+    # The hash of a long text is computed once, in a column of its own.
+    return frame.withColumn("_place", place(F.col(key))).withColumn(name, label).drop("_place")

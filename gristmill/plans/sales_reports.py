@@ -33,13 +33,13 @@ def top_products(spark, sf_dir):
 
 @query("city_revenue", _total("state", "sales", "total_revenue"))
 def city_revenue(spark, sf_dir):
-    return sales.total_by(tables.order_totals(spark, sf_dir, "state", "sales"), ["state"], "sales", "total_revenue")
+    return sales.total_by(tables.customer_totals(spark, sf_dir, "state", "sales"), ["state"], "sales", "total_revenue")
 
 
 @query("city_revenue_top3", _total("state", "sales", "total_revenue", "ORDER BY total_revenue DESC, state LIMIT 3"))
 def city_revenue_top3(spark, sf_dir):
     return sales.top_totals(
-        tables.order_totals(spark, sf_dir, "state", "sales"), ["state"], "sales", "total_revenue", 3
+        tables.customer_totals(spark, sf_dir, "state", "sales"), ["state"], "sales", "total_revenue", 3
     )
 
 
@@ -171,8 +171,8 @@ kpi AS (
 
 
 def _kpis(spark, sf_dir):
-    orders = tables.order_totals(spark, sf_dir, "order_id", "customer_id", "sales", "profit", "quantity")
-    return sales.kpi_row(orders, order_rows=True)
+    customers = tables.customer_totals(spark, sf_dir, "customer_id", "orders", "sales", "profit", "quantity")
+    return sales.kpi_row(customers, sales.CUSTOMER)
 
 
 @query("kpi_row", f"WITH {KPIS} SELECT * FROM kpi")
@@ -216,8 +216,8 @@ def category_summary(spark, sf_dir):
 
 @query("region_summary", _summary("region, state"))
 def region_summary(spark, sf_dir):
-    orders = tables.order_totals(spark, sf_dir, "order_id", "region", "state", "sales", "profit", "quantity")
-    return sales.summary(orders, ["region", "state"], order_rows=True).orderBy(F.desc("total_sales"), "region", "state")
+    customers = tables.customer_totals(spark, sf_dir, "orders", "region", "state", "sales", "profit", "quantity")
+    return sales.summary(customers, ["region", "state"], sales.CUSTOMER).orderBy(F.desc("total_sales"), "region", "state")
 
 
 @query("quarter_summary", _summary("year, quarter"))
@@ -226,7 +226,7 @@ def quarter_summary(spark, sf_dir):
     keyed = orders.withColumns(
         {"year": F.year("order_date"), "quarter": F.date_format("order_date", "yyyy'Q'Q")}
     )
-    return sales.summary(keyed, ["year", "quarter"], order_rows=True).orderBy("year", "quarter")
+    return sales.summary(keyed, ["year", "quarter"], sales.ORDER).orderBy("year", "quarter")
 
 
 @query(
@@ -245,7 +245,7 @@ def _totals(key: str, expression: str) -> str:
 
 @query("region_totals", _totals("region", "region"))
 def region_totals(spark, sf_dir):
-    return sales.totals_by(tables.order_totals(spark, sf_dir, "region", "sales", "profit"), "region")
+    return sales.totals_by(tables.customer_totals(spark, sf_dir, "region", "sales", "profit"), "region")
 
 
 @query("quarter_totals", _totals("quarter", "year(order_date) || 'Q' || quarter(order_date)"))
@@ -288,8 +288,8 @@ def loss_leaders(spark, sf_dir):
         SELECT *, round_even({ratio('total_sales', 'distinct_orders')}, 2) AS aov FROM totals""",
 )
 def segment_aov(spark, sf_dir):
-    orders = tables.order_totals(spark, sf_dir, "segment", "order_id", "customer_id", "sales", "profit")
-    return sales.segment_summary(orders, order_rows=True)
+    customers = tables.customer_totals(spark, sf_dir, "segment", "orders", "customer_id", "sales", "profit")
+    return sales.segment_summary(customers, sales.CUSTOMER)
 
 
 @query(
@@ -300,10 +300,10 @@ def segment_aov(spark, sf_dir):
         FROM sales GROUP BY 1, 2, 3 ORDER BY lifetime_spend DESC, customer_id LIMIT 15""",
 )
 def customer_leaderboard(spark, sf_dir):
-    orders = tables.order_totals(
-        spark, sf_dir, "customer_id", "customer_name", "segment", "order_id", "sales", "profit", "lines"
+    customers = tables.customer_totals(
+        spark, sf_dir, "customer_id", "customer_name", "segment", "orders", "sales", "profit", "lines"
     )
-    return sales.customer_leaderboard(orders, order_rows=True)
+    return sales.customer_leaderboard(customers, grain=sales.CUSTOMER)
 
 
 @query(
@@ -379,15 +379,15 @@ def date_features(spark, sf_dir):
         UNION ALL SELECT 'region', region, {double('sales')} FROM regions""",
 )
 def retail_facts(spark, sf_dir):
-    """Sections over one table of orders, so the order lines are read and joined once."""
-    orders = tables.order_totals(
-        spark, sf_dir, "order_id", "customer_id", "region", "sales", "profit", "quantity"
+    """Sections over one table of customers, so the order lines are read and joined once."""
+    customers = tables.customer_totals(
+        spark, sf_dir, "customer_id", "orders", "region", "sales", "profit", "quantity"
     )
-    orders = written(orders, "order-totals")
-    kpis = sales.kpi_row(orders, order_rows=True)
+    customers = written(customers, "customer-totals")
+    kpis = sales.kpi_row(customers, sales.CUSTOMER)
     return reporting.report(
         {
             "kpi": (reporting.one_row(kpis), "metric", "value"),
-            "region": (sales.totals_by(orders, "region"), "region", "sales"),
+            "region": (sales.totals_by(customers, "region"), "region", "sales"),
         }
     )

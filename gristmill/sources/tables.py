@@ -41,33 +41,25 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_order(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
-    """Add what is wanted of order, customer, nation and region, joining no further than needed.
+def _with_order(facts: DataFrame, sf_dir: str) -> DataFrame:
+    orders = table(facts.sparkSession, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return facts.join(orders, "order_id", "left")
 
-    The joined keys are unique, so these left joins neither drop nor repeat a row, and
-    leaving one out cannot change a result. Which side is broadcast is left to Spark,
-    which decides by the measured size.
-    """
+
+def _with_customer(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
     spark = facts.sparkSession
-    needs_place = bool(wanted & PLACE_COLUMNS)
-    needs_customer = needs_place or bool(wanted & CUSTOMER_COLUMNS)
-    if needs_customer or wanted & ORDER_COLUMNS:
-        orders = table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("o_orderstatus").alias("status"),
-        )
-        facts = facts.join(orders, "order_id", "left")
-    if needs_customer:
-        customers = table(spark, sf_dir, "customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("c_nationkey").alias("nation_id"),
-        )
-        facts = facts.join(customers, "customer_id", "left")
-    if needs_place:
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("customer_name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation_id"),
+    )
+    if wanted & PLACE_COLUMNS:
         nations = table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("nation_id"),
             F.col("n_name").alias("state"),
@@ -76,8 +68,21 @@ def _with_order(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
         regions = table(spark, sf_dir, "region").select(
             F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region")
         )
-        facts = facts.join(nations, "nation_id", "left").join(regions, "region_id", "left")
-    return facts
+        customers = customers.join(nations.join(regions, "region_id", "left"), "nation_id", "left")
+    return facts.join(customers, "customer_id", "left")
+
+
+def _with_dimensions(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
+    """Add what is wanted of order, customer, nation and region, joining no further than needed.
+
+    The joined keys are unique, so these left joins neither drop nor repeat a row, and
+    leaving one out cannot change a result. Which side is broadcast is left to Spark,
+    which decides by the measured size.
+    """
+    needs_customer = bool(wanted & (PLACE_COLUMNS | CUSTOMER_COLUMNS))
+    if needs_customer or wanted & ORDER_COLUMNS:
+        facts = _with_order(facts, sf_dir)
+    return _with_customer(facts, sf_dir, wanted) if needs_customer else facts
 
 
 def _cents(price: Column) -> Column:
@@ -110,7 +115,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         cost = F.col("quantity") * F.col("unit_cost") * 100
         lines = lines.withColumn("profit", (F.col("units") - cost) / float(numbers.UNITS))
     lines = lines.withColumn("sales", F.col("units") / float(numbers.UNITS))
-    return _with_order(lines, sf_dir, wanted).select(*columns)
+    return _with_dimensions(lines, sf_dir, wanted).select(*columns)
 
 
 def order_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -126,7 +131,26 @@ def order_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     totals = lines.groupBy("order_id").agg(
         *(numbers.total(lines, m).alias(m) for m in measures), F.count(F.lit(1)).alias("lines")
     )
-    return _with_order(totals, sf_dir, wanted).select(*columns)
+    return _with_dimensions(totals, sf_dir, wanted).select(*columns)
+
+
+def customer_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """One row per customer with sums, the number of ``orders`` and the number of ``lines``.
+
+    Each order has one customer, so counts of orders add up. Customers are joined to the
+    finished sums, and a customer with a large share of all orders is one row by then.
+    """
+    wanted = set(columns)
+    measures = [m for m in ("sales", "profit", "quantity") if m in wanted]
+    orders = order_totals(spark, sf_dir, "order_id", "customer_id", *measures, "lines")
+    totals = orders.groupBy("customer_id").agg(
+        *(numbers.total(orders, m).alias(m) for m in measures),
+        F.count("order_id").alias("orders"),
+        F.sum("lines").alias("lines"),
+    )
+    if wanted & (PLACE_COLUMNS | CUSTOMER_COLUMNS):
+        totals = _with_customer(totals, sf_dir, wanted)
+    return totals.select(*columns)
 
 
 def part_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -121,14 +121,18 @@ def test_kpis(flat):
     }
 
 
-def test_one_row_per_order_gives_the_same(flat):
-    orders = flat.groupBy("order_id", "customer_id", "customer_name", "segment", "region").agg(
-        *(numbers.total(flat, m).alias(m) for m in ("sales", "profit", "quantity", "lines"))
-    )
-    assert rows(sales.kpi_row(orders, order_rows=True)) == rows(sales.kpi_row(flat))
-    assert rows(sales.segment_summary(orders, order_rows=True)) == rows(sales.segment_summary(flat))
-    assert rows(sales.summary(orders, ["region"], order_rows=True)) == rows(sales.summary(flat, ["region"]))
-    assert rows(sales.customer_leaderboard(orders, order_rows=True)) == rows(sales.customer_leaderboard(flat))
+@pytest.mark.parametrize("grain", [sales.ORDER, sales.CUSTOMER])
+def test_rows_added_up_before_give_the_same(flat, grain):
+    keys = ["customer_id", "customer_name", "segment", "region"]
+    measures = [numbers.total(flat, m).alias(m) for m in ("sales", "profit", "quantity", "lines")]
+    if grain == sales.ORDER:
+        added = flat.groupBy("order_id", *keys).agg(*measures)
+    else:
+        added = flat.groupBy(*keys).agg(*measures, F.countDistinct("order_id").alias("orders"))
+    assert rows(sales.kpi_row(added, grain)) == rows(sales.kpi_row(flat))
+    assert rows(sales.segment_summary(added, grain)) == rows(sales.segment_summary(flat))
+    assert rows(sales.summary(added, ["region"], grain)) == rows(sales.summary(flat, ["region"]))
+    assert rows(sales.customer_leaderboard(added, grain=grain)) == rows(sales.customer_leaderboard(flat))
 
 
 def test_kpis_as_text(flat):

@@ -44,7 +44,7 @@ def test_key_values_round_trip(spark, tmp_path):
 
 
 # The order documents of the fixture.
-ORDERS = """{"order_id": "1001", "customer": "Shalvi Patel", "category": "Electronics", "product": "Laptop", "quantity": 2, "price": 55000, "city": "Ahmedabad", "status": "Completed"}
+ORDERS = """{"order_id": "1001", "customer": "Asha Rao", "category": "Electronics", "product": "Laptop", "quantity": 2, "price": 55000, "city": "Ahmedabad", "status": "Completed"}
 {"order_id": "1002", "category": "Electronics", "product": "Mobile", "quantity": 5, "price": 25000, "city": "Surat", "status": "Completed"}
 {"order_id": "1003", "category": "Clothing", "product": "TShirt", "quantity": 8, "price": 800, "city": "Ahmedabad", "status": "Completed"}
 """
@@ -74,7 +74,7 @@ def by_category(frame):
 
 
 def test_missing_fields_are_null(orders):
-    assert rows(orders.select("order_id", "customer")) == [("1001", "Shalvi Patel"), ("1002", None), ("1003", None)]
+    assert rows(orders.select("order_id", "customer")) == [("1001", "Asha Rao"), ("1002", None), ("1003", None)]
 
 
 def test_aggregate(orders):
@@ -96,7 +96,7 @@ def test_find(orders):
 
 
 def test_unknown_conditions_keep_the_document(orders):
-    assert documents.delete(orders, F.col("customer") == "Shalvi Patel").count() == 2
+    assert documents.delete(orders, F.col("customer") == "Asha Rao").count() == 2
     changed = documents.set_fields(orders, F.col("customer") != "x", {"vip": True})
     assert rows(changed.select("order_id", "vip")) == [("1001", True), ("1002", None), ("1003", None)]
 
