@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gristmill import session, sinks
+from gristmill.functions import numbers
 from gristmill.operators import reporting, storage
 from gristmill.sources import files, schemas, tables
 from gristmill.streaming import sliding
@@ -145,9 +146,28 @@ def test_sliding_windows_overlap(spark):
     assert rows(starts) == [(0,), (2,), (4,)]
 
 
-def test_pruned_joins_do_not_change_sales(spark, sf_dir):
-    few = tables.sales_lines(spark, sf_dir, "sales").agg(F.sum("sales"), F.count("sales")).first()
+def test_pruned_joins_and_grains_do_not_change_sales(spark, sf_dir):
+    def total_of(frame, rows):
+        return tuple(frame.agg(numbers.total(frame, "sales"), rows).first())
+
+    lines = F.count(F.lit(1))
+    few = total_of(tables.sales_lines(spark, sf_dir, "sales"), lines)
     wide = tables.sales_lines(spark, sf_dir, "sales", "region", "segment", "category", "status")
-    assert few == wide.agg(F.sum("sales"), F.count("sales")).first()
-    orders = tables.order_totals(spark, sf_dir, "order_id", "sales", "lines", "region")
-    assert few == orders.agg(F.sum("sales").cast("decimal(28,4)"), F.sum("lines")).first()
+    assert total_of(wide, lines) == few
+    assert total_of(tables.order_totals(spark, sf_dir, "order_id", "sales", "lines"), F.sum("lines")) == few
+    assert total_of(tables.customer_totals(spark, sf_dir, "sales", "lines", "region"), F.sum("lines")) == few
+    parts = tables.part_totals(spark, sf_dir, "product", "sales")
+    assert total_of(parts, lines)[0] == few[0]
+
+
+def test_small_scans_are_spread_and_others_left(spark):
+    small = spark.range(10, numPartitions=1)
+    assert storage.partitions_of(tables.spread(small)) == spark.sparkContext.defaultParallelism
+    wide = spark.range(10, numPartitions=9)
+    assert tables.spread(wide) is wide
+
+
+def test_small_frames_are_compacted(spark):
+    frame = spark.range(100, numPartitions=8)
+    assert storage.partitions_of(storage.compacted(frame, 100, rows_per_partition=40)) == 3
+    assert storage.compacted(frame, 10**9) is frame
