@@ -16,7 +16,8 @@ def total(frame: DataFrame, column: str) -> Column:
     Adding doubles gives a result that varies with the order; decimals wide enough for any
     sum are slow per row. So amounts in doubles are counted in ten-thousandths, as 64-bit
     integers split into a high and a low part, which leaves room for more than 10^13 rows;
-    only the two sums become decimals. NaN counts as missing. Decimal and integer columns are
+    only the two sums become decimals. An amount beyond 9 x 10^14 is an error, never a wrong
+    sum. NaN counts as missing. Decimal and integer columns are
     added as they are.
     """
     if not isinstance(frame.schema[column].dataType, (DoubleType, FloatType)):

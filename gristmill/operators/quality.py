@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,12 @@ def _missing(frame: DataFrame) -> dict[str, Column]:
     }
 
 
+def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each frame."""
+    counts = (frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, frame in frames.items())
+    return reduce(DataFrame.unionAll, counts)
+
+
 def null_counts(frame: DataFrame) -> DataFrame:
     """Null or NaN values per column."""
     return count_if(frame, _missing(frame)).withColumnsRenamed({"metric": "column_name", "value": "missing"})

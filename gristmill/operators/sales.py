@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions import numbers
+from gristmill.functions import dates, numbers
 
 
 def amount(frame: DataFrame, measure: str) -> Column:
@@ -131,12 +131,12 @@ def totals_by(frame: DataFrame, key: str, prefix: str = "") -> DataFrame:
 
 
 def monthly_trend(frame: DataFrame) -> DataFrame:
-    months = frame.withColumn("year_month", F.date_format("order_date", "yyyy-MM"))
+    months = frame.withColumn("year_month", dates.year_month(F.col("order_date")))
     return totals_by(months, "year_month", prefix="monthly_")
 
 
 def quarter_totals(frame: DataFrame) -> DataFrame:
-    return totals_by(frame.withColumn("quarter", F.date_format("order_date", "yyyy'Q'Q")), "quarter")
+    return totals_by(frame.withColumn("quarter", dates.quarter_label(F.col("order_date"))), "quarter")
 
 
 def top_products(frame: DataFrame, measure: str, n: int = 10) -> DataFrame:

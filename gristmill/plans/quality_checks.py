@@ -28,6 +28,14 @@ def _labelled(spark, sf_dir):
     return tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(labels, "doc_id", "left")
 
 
+COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+
+
+@query("row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COUNTED))
+def row_counts(spark, sf_dir):
+    return quality.row_counts({name: tables.table(spark, sf_dir, name) for name in COUNTED})
+
+
 @query(
     "null_counts",
     _long(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gristmill.functions import dates
 from gristmill.operators import projections, reporting, sales, storage
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import SALES, double, long, percent, ratio
@@ -224,7 +225,7 @@ def region_summary(spark, sf_dir):
 def quarter_summary(spark, sf_dir):
     orders = tables.order_totals(spark, sf_dir, "order_id", "order_date", "sales", "profit", "quantity")
     keyed = orders.withColumns(
-        {"year": F.year("order_date"), "quarter": F.date_format("order_date", "yyyy'Q'Q")}
+        {"year": F.year("order_date"), "quarter": dates.quarter_label(F.col("order_date"))}
     )
     return sales.summary(keyed, ["year", "quarter"], sales.ORDER).orderBy("year", "quarter")
 

@@ -8,15 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 20_000
+SCAN_BYTES = 128 * 1024 * 1024
+MAX_SCAN_TASKS = 200_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
-    """Shuffle partitions so that each holds about 256 MiB, never fewer than the cores.
+    """Shuffle partitions of about 256 MiB, no fewer than the cores and no more than 20,000.
 
-    Adaptive execution merges the ones that turn out small, so this is the upper
-    end: one fixed number would give 100 TB tasks that cannot fit in memory.
+    Adaptive execution merges the ones that turn out small. The limit keeps the number of
+    shuffle blocks (map tasks times partitions) within what a driver can track; reports
+    read a few columns, so at 100 TB a partition still gets some hundred MiB.
     """
-    return max(cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    return max(cores, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
+
+
+def scan_bytes(input_bytes: int) -> int:
+    """Bytes of input per scan task: 128 MiB, and more where that would make over 200,000 tasks."""
+    return max(SCAN_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
 
 
 def build_session(
@@ -39,6 +48,7 @@ def build_session(
         # Split a hot join key even where that costs one more shuffle later.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes(input_bytes)),
     }
     chosen.update(settings or {})
     for key, value in chosen.items():

@@ -7,18 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators.storage import stored
 from gristmill.session import new_folder
 
 
-def write_report(frame: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
+def write_report(
+    frame: DataFrame, path: str, order: Sequence[Column | str] = (), max_rows: int = 100_000
+) -> None:
     """A small result as one CSV file, its rows in ``order``.
 
     The rows are exchanged into one task at the very end: ``coalesce(1)`` would run the
-    whole last stage of the plan there.
+    whole last stage of the plan there. Results of more than ``max_rows`` are refused.
     """
-    single = frame.repartition(1)
-    ordered = single.sortWithinPartitions(*order) if order else single
-    ordered.write.mode("overwrite").csv(path, header=True)
+    with stored(frame) as kept:
+        if kept.count() > max_rows:
+            raise ValueError(f"more than {max_rows} rows: use write_table, which writes in parallel")
+        single = kept.repartition(1)
+        ordered = single.sortWithinPartitions(*order) if order else single
+        ordered.write.mode("overwrite").csv(path, header=True)
 
 
 def write_table(frame: DataFrame, path: str, kind: str = "parquet", partition_by: Sequence[str] = ()) -> None:

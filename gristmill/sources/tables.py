@@ -228,9 +228,9 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     feed = lines.select(
         "order_id", "line_number", "part_id", "supplier_id", "customer_id", "return_flag", "line_status",
-        F.when((flag == "N") & (number == 7), None).otherwise(F.date_format("order_date", "yyyy-MM-dd")).alias("order_date"),
+        F.when((flag == "N") & (number == 7), None).otherwise(F.col("order_date").cast("string")).alias("order_date"),
         F.when((status == "O") & (flag == "A") & (number == 6), "pending")
-        .otherwise(F.date_format("ship_date", "yyyy-MM-dd")).alias("ship_date"),
+        .otherwise(F.col("ship_date").cast("string")).alias("ship_date"),
         F.when((flag == "R") & (number == 5), 0).otherwise(F.col("sales")).alias("sales"),
         F.when((flag == "R") & (number == 4), -F.col("quantity")).otherwise(F.col("quantity")).alias("quantity"),
         F.when((flag == "R") & (number == 3), 1.5)

@@ -50,6 +50,12 @@ def test_reports_are_single_files_in_order(spark, tmp_path):
     assert len(list((tmp_path / "numbers").glob("part-*.csv"))) == 1
 
 
+def test_large_results_are_no_reports(spark, tmp_path):
+    with pytest.raises(ValueError, match="write_table"):
+        sinks.write_report(spark.range(11), str(tmp_path / "large"), max_rows=10)
+    assert not (tmp_path / "large").exists()
+
+
 def test_tables_and_previews(spark, tmp_path):
     frame = spark.range(10).withColumn("half", F.col("id") % 2)
     sinks.write_table(frame, str(tmp_path / "table"), partition_by=["half"])
@@ -67,9 +73,11 @@ def test_shared_folder_is_the_configured_one(spark):
     assert frame.inputFiles()[0].startswith(f"file://{configured}/numbers-") and frame.count() == 3
 
 
-def test_shuffle_partitions_grow_with_the_input():
-    assert session.shuffle_partitions(0) == 8
-    assert session.shuffle_partitions(100 * 10**12) > 300_000
+def test_partition_sizes_follow_the_input():
+    assert (session.shuffle_partitions(0), session.scan_bytes(0)) == (8, 128 * 1024 * 1024)
+    assert session.shuffle_partitions(10**12) == 3726
+    assert session.shuffle_partitions(10**14) == 20_000
+    assert 10**14 / session.scan_bytes(10**14) <= 200_000
 
 
 RATINGS = [(u, m, float((u * m) % 5)) for u in range(20) for m in range(10)]
