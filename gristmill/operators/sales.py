@@ -169,12 +169,13 @@ def segment_summary(frame: DataFrame, grain: str = LINE) -> DataFrame:
 
 
 def customer_leaderboard(frame: DataFrame, n: int = 15, grain: str = LINE) -> DataFrame:
-    """The ``n`` customers who spent most; the average is per line, so rows carry ``lines``."""
+    """The ``n`` customers who spent most. The average is per line: a row is one, unless it has ``lines``."""
+    lines = F.sum("lines") if "lines" in frame.columns else F.count("sales")
     keys = ["customer_id", "customer_name", "segment"]
     totals = frame.groupBy(*keys).agg(
         amount(frame, "sales").alias("lifetime_spend"),
         amount(frame, "profit").alias("net_profit"),
         _orders(grain).alias("total_orders"),
-        numbers.ratio(numbers.total(frame, "sales"), F.sum("lines")).alias("avg_order_value"),
+        numbers.ratio(numbers.total(frame, "sales"), lines).alias("avg_order_value"),
     )
     return totals.orderBy(F.desc("lifetime_spend"), "customer_id").limit(n)

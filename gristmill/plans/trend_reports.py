@@ -162,7 +162,7 @@ def trend_facts(spark, sf_dir):
 def sliding_tags(spark, sf_dir):
     """Streamed: all windows that ended before the watermark."""
     schema = tables.table(spark, sf_dir, "events").schema
-    events = sliding.read_posts(spark, sf_dir, schema, "events.parquet")
+    events = sliding.read_posts(spark, f"{sf_dir}/events*.parquet", schema)
     counts = sliding.sliding_counts(events.select("ts", F.col("event_type").alias("hashtag")))
     finished = sliding.run_available(counts, spark)
     shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")}

@@ -10,9 +10,9 @@ from gristmill.operators import projections
 from gristmill.session import new_folder
 
 
-def read_posts(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet") -> DataFrame:
-    """Parquet files of a folder as a stream; new files join as they appear."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_posts(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Parquet files as a stream; new ones join as they appear. ``path`` is a folder, or a glob for single files."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def sliding_counts(
