@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import numbers
 from gristmill.operators import sampling
-from gristmill.operators.storage import stored
+from gristmill.operators.storage import partition_steps, stored
 
 FEATURES = ("total_spend", "purchase_count", "avg_basket_size", "days_since_last_purchase")
 
@@ -149,10 +149,10 @@ def method_comparison(frame: DataFrame, k: int = CLUSTERS) -> DataFrame:
     return frame.sparkSession.createDataFrame(rows, "method STRING, k INT, cost DOUBLE, seconds DOUBLE")
 
 
-def partition_effect(frame: DataFrame, counts: Sequence[int] = (2, 4, 8), iterations: int = 10) -> DataFrame:
-    """Seconds of the same fit over different numbers of partitions."""
+def partition_effect(frame: DataFrame, iterations: int = 10) -> DataFrame:
+    """Seconds of the same fit over a quarter, half and all of the partitions."""
     rows = []
-    for n in counts:
+    for n in partition_steps(frame):
         with stored(frame.select("scaled_features").repartition(n)) as kept:
             start = time.perf_counter()
             model = kmeans(kept, CLUSTERS, SEED, iterations)

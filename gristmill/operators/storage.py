@@ -7,7 +7,7 @@ sort and the unused averages, and so time less than it seems to.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -45,6 +45,16 @@ def compacted(frame: DataFrame, rows: int, rows_per_partition: int = 20_000) ->
     return frame if enough >= partitions_of(frame) else frame.coalesce(enough)
 
 
+def partition_steps(frame: DataFrame, least: int = 8) -> tuple[int, int, int]:
+    """A quarter, half and all of the frame's partitions, taken as ``least`` if there are fewer.
+
+    A small table is compared at 2, 4 and 8; the steps of a large one grow with it, so no
+    step puts a large share of the table into one task.
+    """
+    most = max(least, partitions_of(frame))
+    return most // 4, most // 2, most
+
+
 def seconds_for(*frames: DataFrame) -> float:
     """Wall-clock seconds to compute all rows of the frames one after the other."""
     start = time.perf_counter()
@@ -88,8 +98,8 @@ def baseline_and_cached(ratings: DataFrame) -> list[Row]:
     return rows
 
 
-def repartitioned(ratings: DataFrame, counts: Sequence[int] = (2, 4, 8)) -> list[Row]:
-    spread = [(n, ratings.repartition(n)) for n in counts]
+def repartitioned(ratings: DataFrame) -> list[Row]:
+    spread = [(n, ratings.repartition(n)) for n in partition_steps(ratings)]
     return [(f"repartition({n})", partitions_of(frame), seconds_for(well_rated(frame))) for n, frame in spread]
 
 
@@ -113,8 +123,9 @@ def storage_levels(ratings: DataFrame) -> list[Row]:
     return rows
 
 
-def shrinking(ratings: DataFrame, start: int = 8, end: int = 2) -> list[Row]:
-    """From ``start`` cached partitions to ``end``: by a full shuffle, and by merging partitions."""
+def shrinking(ratings: DataFrame) -> list[Row]:
+    """From all cached partitions to a quarter: by a full shuffle, and by merging partitions."""
+    end, _, start = partition_steps(ratings)
     with stored(ratings.repartition(start)) as kept:
         ways: dict[str, Callable[[int], DataFrame]] = {"repartition": kept.repartition, "coalesce": kept.coalesce}
         return [

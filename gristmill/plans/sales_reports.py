@@ -132,12 +132,15 @@ def well_rated_movies(spark, sf_dir):
 
 @query("repartitioned_ratings", WELL_RATED)
 def repartitioned_ratings(spark, sf_dir):
-    return storage.well_rated(tables.ratings(spark, sf_dir).repartition(8))
+    ratings = tables.ratings(spark, sf_dir)
+    return storage.well_rated(ratings.repartition(storage.partition_steps(ratings)[-1]))
 
 
 @query("coalesced_ratings", WELL_RATED)
 def coalesced_ratings(spark, sf_dir):
-    return storage.well_rated(tables.ratings(spark, sf_dir).repartition(8).coalesce(2))
+    ratings = tables.ratings(spark, sf_dir)
+    few, _, many = storage.partition_steps(ratings)
+    return storage.well_rated(ratings.repartition(many).coalesce(few))
 
 
 @query("high_rating_count", "SELECT count(*) AS high_ratings FROM lineitem WHERE l_quantity >= 4.0")

@@ -107,6 +107,8 @@ def test_stored_frames_are_released(ratings):
 def test_partitions(ratings):
     assert storage.partitions_of(ratings.repartition(6)) == 6
     assert storage.partitions_of(ratings.repartition(6).coalesce(2)) == 2
+    assert storage.partition_steps(ratings) == (2, 4, 8)
+    assert storage.partition_steps(ratings.repartition(40)) == (10, 20, 40)
 
 
 def test_strategies(ratings):

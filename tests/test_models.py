@@ -70,7 +70,7 @@ def test_sweeps(customers):
     costs = [r["cost"] for r in segments.elbow(scaled, ks=(2, 3)).orderBy("k").collect()]
     assert costs[0] > costs[1] > 0
     assert rows(segments.method_comparison(scaled, k=3).select("method")) == [("bisecting k-means",), ("k-means",)]
-    assert [r["partitions"] for r in segments.partition_effect(scaled, (2, 4), 3).collect()] == [2, 4]
+    assert [r["partitions"] for r in segments.partition_effect(scaled, 3).collect()] == [2, 4, 8]
 
 
 def test_plane(customers):
