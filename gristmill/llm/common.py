@@ -15,6 +15,10 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: White space that parts words: U+0020 and U+0009 to U+000D. ``bytes.split()`` uses the same six.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` on lower-cased text: letters, digits and all that is not ASCII stay.
+PLAIN_WORDS = bytes(
+    c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)
+)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
