@@ -13,9 +13,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
+    """One document of each group of near-duplicates stays: the one with the smallest doc_id.
+
+    Rows that share a doc_id go together if any of them goes; rows without one stay.
+    """
     found = minmax.near_duplicates(docs, size=5, percent=80)
-    return docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    return docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 STAGES: list[tuple[str, Stage]] = [("minhash near-dedup", near_dedup)]
