@@ -6,8 +6,8 @@ by levels of growing depth ``k`` (a tree of suffixes, level by level):
 1. Each window hands its k-gram of smallest hash to the next step: the *head* of a suffix at a position that
    depends on the window's content alone, so equal windows choose equal heads. Windows next to each other mostly
    share the head, so a document has about ``2 n / (width - k)`` heads and not ``n``.
-2. A head that stands nowhere else is a leaf: its windows are single and go no further. Where all suffixes under a
-   head have the same content over the whole stretch of windows, those windows are repeated.
+2. A head that stands nowhere else is a leaf: its windows are single and go no further. Under the other heads,
+   stretches of windows whose whole content stands twice or more are repeated, and settled.
 3. The windows left go to the next depth. At depth ``width`` a head is the window itself, which settles it.
 
 Contents are compared by 128 bits (two hashes with independent bases). Nothing is capped: a very long text is
@@ -192,13 +192,24 @@ RUNS = "heads array<long>, contents array<long>, lows array<int>, highs array<in
 
 def _settle(level: DataFrame, grouping: Grouping, last: bool) -> DataFrame:
     """Runs under repeated heads, and whether all their windows are known to be repeated."""
+    hits = _hits(level, grouping)
+    columns = ["k1", "k2", "low", "high"]
+    # At full depth the head is the window.
+    if last:
+        return stored(hits.select(*columns, F.lit(True).alias("settled")), "hits")
+    same = F.col("least") == F.col("greatest")
+    hits = stored(hits.select(*columns, "head", "content", same.alias("same")), "hits")
+    # Under a head with several contents, those that stand twice settle their windows.
+    mixed = hits.where("NOT same")
+    twice = mixed.groupBy("head", "content").agg(F.count("*").alias("n")).where("n > 1")
+    mixed = mixed.join(twice, ["head", "content"], "left").select(*columns, F.col("n").isNotNull().alias("settled"))
+    return stored(hits.where("same").select(*columns, F.lit(True).alias("settled")).unionByName(mixed), "judged")
+
+
+def _hits(level: DataFrame, grouping: Grouping) -> DataFrame:
     runs = level.select("k1", "k2", F.inline(F.arrays_zip("heads", "contents", "lows", "highs", "leads")))
     runs = runs.toDF("k1", "k2", "head", "content", "low", "high", "lead")
-    groups = grouping(runs.select("lead", "head", "content"))
-    hits = runs.join(groups, "head")
-    # At full depth the head is the window; its content hash adds 64 bits. Below, all contents must agree.
-    same = F.col("least") == F.col("greatest")
-    return hits.select("k1", "k2", "low", "high", (F.lit(True) if last else same).alias("settled"))
+    return runs.join(grouping(runs.select("lead", "head", "content")), "head")
 
 
 def _spans(hits: DataFrame) -> DataFrame:
@@ -221,7 +232,7 @@ def repeated_windows(documents: DataFrame, unit: str, width: int, depths: tuple[
     rows = with_row_key(documents)
     schema = f"doc_id long, {KEY}, n long, sha string, {RUNS}"
     first = stored(arrow_rows(rows, _first_level(unit, width, depths[0]), schema), "level")
-    hits = stored(_settle(first, grouping, len(depths) == 1), "hits")
+    hits = _settle(first, grouping, len(depths) == 1)
     texts = arrow_rows(rows.select("doc_id", "text", "k1", "k2"), _packed, f"doc_id long, packed binary, {KEY}")
     touched = hits.select("k1", "k2").distinct()
     work = stored(texts.join(touched, ["k1", "k2"], "left_semi").select("k1", "k2", "packed"), "work")
@@ -229,7 +240,7 @@ def repeated_windows(documents: DataFrame, unit: str, width: int, depths: tuple[
     for depth in depths[1:]:
         open_rows = work.join(_spans(hits.where("NOT settled")), ["k1", "k2"]).select("k1", "k2", "packed", "lows", "highs")
         level = stored(arrow_rows(open_rows, _next_level(unit, width, depth), f"{KEY}, {RUNS}", ()), "level")
-        hits = stored(_settle(level, grouping, depth == width), "hits")
+        hits = _settle(level, grouping, depth == width)
         settled.append(hits.where("settled"))
     spans = settled[0]
     for more in settled[1:]:
