@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -44,12 +44,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that is not taken, in any spelling."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key() -> tuple[Column, Column]:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text"), F.hash("text", F.col("doc_id").cast("long"))
+
+
+def without_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents whose key is not among ``k1, k2`` of ``rows``."""
+    names = [spare(documents.columns, c) for c in ("k1", "k2")]
+    keyed = documents.withColumns(dict(zip(names, row_key())))
+    return keyed.join(rows.select("k1", "k2").toDF(*names), names, "left_anti").select(*documents.columns)
+
+
 def with_row_key(documents: DataFrame) -> DataFrame:
     """``doc_id, text, k1, k2``: 96 bits that stand for a row. Rows equal in doc_id and text share them."""
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text")]
-    return documents.select(*columns).withColumns(
-        {"k1": F.xxhash64("doc_id", "text"), "k2": F.hash("text", "doc_id")}
-    )
+    return documents.select(*columns).withColumns(dict(zip(("k1", "k2"), row_key())))
 
 
 def arrow_rows(frame: DataFrame, make: Callable[[list[list]], list], schema: str, binary: tuple = ("text",)) -> DataFrame:

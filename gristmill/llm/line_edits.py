@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored, with_row_key
+from gristmill.llm.common import row_key, spare, stored, with_row_key
 
 #: Edits between two lines that count as one, and the length below which lines are left alone: words and
 #: numbers on a line of their own repeat by chance.
@@ -194,15 +194,21 @@ def without_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
     documents that lose none, null and empty ones included, stay as they are.
     """
     columns = documents.columns
-    keys = {"_k1": F.xxhash64(F.col("doc_id").cast("long"), "text"), "_k2": F.hash("text", F.col("doc_id").cast("long"))}
+    one, two, gone, empty = (spare(columns, c) for c in ("k1", "k2", "gone", "empty"))
     found = repeated_lines(documents, edits, least).where("n_removed > 0")
-    found = found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "n_lines", F.col("removed").alias("_gone"))
-    found = found.withColumn("_empty", F.col("n_lines") == F.size("_gone")).drop("n_lines")
-    out = documents.withColumns(keys).join(found, ["_k1", "_k2"], "left").where("coalesce(NOT _empty, true)")
-    kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> NOT array_contains(_gone, i)), '\\n')")
-    out = out.withColumn("text", F.when(F.col("_gone").isNotNull(), kept).otherwise(F.col("text")))
+    found = found.select(
+        F.col("k1").alias(one), F.col("k2").alias(two), F.col("removed").alias(gone),
+        (F.col("n_lines") == F.col("n_removed")).alias(empty),
+    )
+    out = documents.withColumns(dict(zip((one, two), row_key()))).join(found, [one, two], "left")
+    out = out.where(~F.coalesce(empty, F.lit(False)))
+    cut = F.col(gone).isNotNull()
+    kept = F.array_join(
+        F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(gone, i)), "\n"
+    )
+    out = out.withColumn("text", F.when(cut, kept).otherwise(F.col("text")))
     if "n_chars" in columns:
         kind = documents.schema["n_chars"].dataType
-        count = F.when(F.col("_gone").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        count = F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", count)
     return out.select(*columns)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored
+from gristmill.llm.common import row_key, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights in the order of the sources, repeating; a source is used at most so many times over.
@@ -84,7 +84,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int
     """How many words of each document a mix takes that meets the target of every source.
 
     ``documents`` needs doc_id, text and source. One row per input row: doc_id, size (words), source_size,
-    target, taken, and the columns given that have other names. Sources by code point, null last, have the
+    target, taken, and k1, k2 (the row's key). Other columns are ignored. Sources by code point, null last, have the
     weights in turn; all sizes together are shared by weight. A target above the size of its source takes every
     document that many times over first. Null and wordless texts have size 0 and are never taken. Ties between
     documents are broken by a seeded hash of doc_id and text, so reruns agree; rows equal in both are alike.
@@ -100,6 +100,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int
         F.col("source"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("key"),
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("hash"),
+        *[key.alias(name) for name, key in zip(("k1", "k2"), row_key())],
     ).withColumn("part", F.expr(f"pmod(hash, {PARTS})").cast("int"))
     rows = stored(rows, "sizes")
     totals = rows.groupBy("key", "source").agg(F.sum("size").alias("n")).collect()
@@ -127,11 +128,12 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int
     whole = rows.join(parts, ["key", "size", "part"], "left").withColumn(
         "more", F.when(F.col("room").isNull(), 0).when(F.col("room") >= F.col("c"), 1)
     )
-    columns = ["doc_id", "size", "key", "more"]
+    columns = ["doc_id", "k1", "k2", "size", "key", "more"]
     rank = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("hash", "doc_id"))
     cut = whole.where("more IS NULL").withColumn("more", (rank <= F.col("room")).cast("int"))
     picked = whole.where("more IS NOT NULL").select(*columns).unionByName(cut.select(*columns))
     out = picked.join(plan, "key")
-    return out.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("times") + F.col("more"))).alias("taken")
+    return out.select(
+        "doc_id", "k1", "k2", "size", "source_size", "target",
+        (F.col("size") * (F.col("times") + F.col("more"))).alias("taken"),
     )

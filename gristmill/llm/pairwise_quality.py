@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,6 +139,17 @@ def score(documents: DataFrame, ranker: Ranker) -> DataFrame:
     return arrow_rows(rows, make, "doc_id long, score double")
 
 
+def keep_good(documents: DataFrame, ranker: Ranker) -> DataFrame:
+    """The documents, with all their columns, whose score reaches ``CUT``; one pass, no shuffle."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        grid = [features(t if t is None else t.encode("utf-8", "surrogatepass")) for t in texts]
+        return pd.Series(ranker.scores(np.array(grid).reshape(-1, FEATURES)))
+
+    good = F.pandas_udf(run, "double")
+    return documents.where(good(F.col("text")) >= CUT)
+
+
 def quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Quality of every document: doc_id, held_out, score, predicted.
 
