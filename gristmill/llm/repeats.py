@@ -8,7 +8,7 @@ by levels of growing depth ``k`` (a tree of suffixes, level by level):
    share the head, so a document has about ``2 n / (width - k)`` heads and not ``n``.
 2. A head that stands nowhere else is a leaf: its windows are single and go no further. Under the other heads,
    stretches of windows whose whole content stands twice or more are repeated, and settled.
-3. The windows left go to the next depth. At depth ``width`` a head is the window itself, which settles it.
+3. One stretch of each content under a head with several goes to the next depth. At depth ``width`` a head is the window itself, which settles it.
 
 Contents are compared by 128 bits (two hashes with independent bases). Nothing is capped: a very long text is
 worked through in chunks of ``CHUNK`` units that overlap, and a head that very many documents share is counted
@@ -199,11 +199,14 @@ def _settle(level: DataFrame, grouping: Grouping, last: bool) -> DataFrame:
         return stored(hits.select(*columns, F.lit(True).alias("settled")), "hits")
     same = F.col("least") == F.col("greatest")
     hits = stored(hits.select(*columns, "head", "content", same.alias("same")), "hits")
-    # Under a head with several contents, those that stand twice settle their windows.
+    # Under a head with several contents, those that stand twice settle their windows; one stretch of each content
+    # goes on, as windows in it can also stand in a stretch that differs elsewhere.
     mixed = hits.where("NOT same")
-    twice = mixed.groupBy("head", "content").agg(F.count("*").alias("n")).where("n > 1")
-    mixed = mixed.join(twice, ["head", "content"], "left").select(*columns, F.col("n").isNotNull().alias("settled"))
-    return stored(hits.where("same").select(*columns, F.lit(True).alias("settled")).unionByName(mixed), "judged")
+    kinds = mixed.groupBy("head", "content").agg(F.count("*").alias("n"), F.min(F.struct(*columns)).alias("one"))
+    twice = kinds.where("n > 1").select("head", "content")
+    settled = hits.where("same").select(*columns).unionByName(mixed.join(twice, ["head", "content"]).select(*columns))
+    going = kinds.select("one.*").withColumn("settled", F.lit(False))
+    return stored(settled.withColumn("settled", F.lit(True)).unionByName(going), "judged")
 
 
 def _hits(level: DataFrame, grouping: Grouping) -> DataFrame:
