@@ -32,8 +32,13 @@ def calendar_keys(day: Column) -> dict[str, Column]:
     }
 
 
-def seconds_of(moment: Column) -> Column:
-    """Seconds since 1970 of a date or timestamp without zone, whatever the session's zone."""
+def seconds_of(moment: Column, zoned: bool = False) -> Column:
+    """Seconds since 1970: of the instant for a timestamp with a zone, else of the wall clock.
+
+    A zoned timestamp's hours and minutes go back where the session's clocks do; its instant never does.
+    """
+    if zoned:
+        return F.unix_micros(moment).cast("double") / 1_000_000
     return (
         F.unix_date(F.to_date(moment)) * F.lit(86400.0)
         + F.hour(moment) * 3600

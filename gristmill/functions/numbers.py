@@ -6,28 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-UNITS = 10_000
 LOW_BITS = 16
+DECIMALS = 4
+UNITS = 10**DECIMALS
 
 
-def total(frame: DataFrame, column: str) -> Column:
-    """Exact sum of amounts with up to four decimals, whatever order the rows arrive in.
+def total(frame: DataFrame, column: str, decimals: int = DECIMALS) -> Column:
+    """Exact sum of amounts with up to ``decimals`` decimals, whatever order the rows arrive in.
 
     Adding doubles gives a result that varies with the order; decimals wide enough for any
-    sum are slow per row. So amounts in doubles are counted in ten-thousandths, as 64-bit
-    integers split into a high and a low part, which leaves room for more than 10^13 rows;
-    only the two sums become decimals. An amount beyond 9 x 10^14 is an error, never a wrong
-    sum. NaN counts as missing. Decimal and integer columns are
-    added as they are.
+    sum are slow per row. So amounts in doubles are counted in units of the last decimal, as
+    64-bit integers split into a high and a low part, which leaves room for more than 10^13
+    rows; only the two sums become decimals. An amount beyond 9 x 10^18 units, or with more
+    decimals than that (beyond the rounding of doubles), is an error, never a wrong sum. NaN
+    counts as missing. Decimal and integer columns are added as they are.
     """
     if not isinstance(frame.schema[column].dataType, (DoubleType, FloatType)):
         return F.sum(column)
     known = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
-    units = F.rint(known * UNITS).cast("long")
+    scaled = known * float(10**decimals)
+    slack = F.greatest(F.lit(1e-4), F.abs(scaled) * 1e-14)
+    too_fine = F.abs(scaled - F.rint(scaled)) > slack
+    message = F.lit(f"{column} has amounts with more than {decimals} decimals")
+    units = F.when(too_fine, F.raise_error(message).cast("long")).otherwise(F.rint(scaled).cast("long"))
     high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(19,0)")
     low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1).cast("long"))).cast("decimal(19,0)")
     whole = high * F.lit(2**LOW_BITS).cast("decimal(6,0)") + low
-    return (whole * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(38,4)")
+    unit = F.lit(f"{10**-decimals:.{decimals}f}").cast(f"decimal({max(1, decimals)},{decimals})")
+    return (whole * unit).cast(f"decimal(38,{decimals})")
 
 
 def revenue(quantity: Column, price: Column) -> Column:

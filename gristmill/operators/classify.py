@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import numbers, text
 from gristmill.operators import ranking, sampling
-from gristmill.operators.storage import compacted, stored
+from gristmill.operators.storage import stored
 
 # Sizes of the two feature spaces, least document count of a word, the
 # parameter settings tried (regularisation, iterations, elastic net), thresholds,
@@ -69,8 +68,8 @@ def regression(setting: Setting) -> LogisticRegression:
 
 
 def fit_regression(features: DataFrame, setting: Setting) -> Model:
-    """Fit over kept features, in as few partitions as their number of rows asks for."""
-    return regression(setting).fit(compacted(features, features.count()))
+    """Fit over kept features, in the partitions they were kept in."""
+    return regression(setting).fit(features)
 
 
 def fit_messages(train: DataFrame, setting: Setting, hashed: bool = False) -> PipelineModel:
@@ -171,36 +170,30 @@ def parameter_search(messages: DataFrame, settings: Sequence[Setting] = SETTINGS
     with stored(features.select("label_idx", "features", "part")) as kept:
         train = part(kept, "train")
         for number, setting in enumerate(settings, 1):
-            start = time.perf_counter()
-            model = fit_regression(train, setting)
-            seconds = time.perf_counter() - start
-            outcome = _outcome(model.transform(part(kept, "validation")))
-            rows.append((number, *setting, seconds, outcome["accuracy"], outcome["weighted_f1"]))
-    schema = (
-        "setting INT, reg_param DOUBLE, max_iter INT, elastic_net DOUBLE, seconds DOUBLE, "
-        "accuracy DOUBLE, weighted_f1 DOUBLE"
-    )
+            outcome = _outcome(fit_regression(train, setting).transform(part(kept, "validation")))
+            rows.append((number, *setting, outcome["accuracy"], outcome["weighted_f1"]))
+    schema = "setting INT, reg_param DOUBLE, max_iter INT, elastic_net DOUBLE, accuracy DOUBLE, weighted_f1 DOUBLE"
     return messages.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("weighted_f1"), "setting")
 
 
+def tuned_model(messages: DataFrame, settings: Sequence[Setting] = SETTINGS) -> PipelineModel:
+    """The setting that is best on the validation part, fitted anew on training and validation part."""
+    return fit_messages(part(messages, "train", "validation"), best_setting(parameter_search(messages, settings)))
+
+
 def best_setting(search: DataFrame) -> Setting:
     row = search.first()
     return row["reg_param"], row["max_iter"], row["elastic_net"]
 
 
 def fit_comparison(fits: Mapping[str, tuple[DataFrame, Setting, bool]], test: DataFrame) -> DataFrame:
-    """Rows trained on, seconds and rates on ``test`` per named fit ``(train, setting, hashed)``."""
+    """Rows trained on and rates on ``test`` per named fit ``(train, setting, hashed)``."""
     rows = []
     for name, (train, setting, hashed) in fits.items():
-        start = time.perf_counter()
-        model = fit_messages(train, setting, hashed)
-        seconds = time.perf_counter() - start
-        outcome = _outcome(model.transform(test))
+        outcome = _outcome(fit_messages(train, setting, hashed).transform(test))
         found = (outcome[n] for n in ("accuracy", "precision", "recall", "f1"))
-        rows.append((name, train.count(), seconds, *found))
-    schema = (
-        "fit STRING, train_rows LONG, seconds DOUBLE, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
-    )
+        rows.append((name, train.count(), *found))
+    schema = "fit STRING, train_rows LONG, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
     return test.sparkSession.createDataFrame(rows, schema)
 
 

@@ -145,15 +145,15 @@ def top_products(frame: DataFrame, measure: str, n: int = 10) -> DataFrame:
     return best.orderBy(F.col(measure), F.col("product").desc())
 
 
-def loss_leaders(frame: DataFrame) -> DataFrame:
-    """Products that lose money over all, worst first."""
-    totals = frame.groupBy("product", "category", "sub_category").agg(
+def loss_leaders(frame: DataFrame, keys: Sequence[str] = ("product", "category", "sub_category")) -> DataFrame:
+    """Products, as ``keys`` tell them apart, that lose money over all, worst first."""
+    totals = frame.groupBy(*keys).agg(
         amount(frame, "sales").alias("total_sales"),
         amount(frame, "profit").alias("total_profit"),
         numbers.ratio(numbers.total(frame, "discount"), F.count("discount")).alias("avg_discount"),
         F.countDistinct("order_id").alias("total_orders"),
     )
-    return totals.filter("total_profit < 0").orderBy("total_profit", "product", "category", "sub_category")
+    return totals.filter("total_profit < 0").orderBy("total_profit", *keys)
 
 
 def segment_summary(frame: DataFrame, grain: str = LINE) -> DataFrame:

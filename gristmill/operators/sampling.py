@@ -13,18 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def place(key: Column) -> Column:
-    """A number from 0 to 1 (exclusive), even over distinct keys."""
-    digits = F.substring(F.md5(key.cast("string")), 1, 8)
+def place(key: Column, seed: int | None = None) -> Column:
+    """A number from 0 to 1 (exclusive), even over distinct keys; another seed gives independent numbers."""
+    name = key.cast("string") if seed is None else F.concat(F.lit(f"{seed}:"), key.cast("string"))
+    digits = F.substring(F.md5(name), 1, 8)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**32))
 
 
-def sample(frame: DataFrame, key: str, fraction: float) -> DataFrame:
-    """About ``fraction`` of the distinct keys, with all their rows."""
-    return frame.filter(place(F.col(key)) < fraction)
+def sample(frame: DataFrame, key: str, fraction: float, seed: int | None = None) -> DataFrame:
+    """About ``fraction`` of the distinct keys, with all their rows; the same for the same seed on any layout."""
+    return frame.filter(place(F.col(key), seed) < fraction)
 
 
-def with_part(frame: DataFrame, key: str, parts: Mapping[str, float], name: str = "part") -> DataFrame:
+def with_part(
+    frame: DataFrame, key: str, parts: Mapping[str, float], name: str = "part", seed: int | None = None
+) -> DataFrame:
     """Name the part each row falls in; the fractions of ``parts`` add up to 1."""
     names, reached = list(parts), 0.0
     label = None
@@ -34,4 +37,4 @@ def with_part(frame: DataFrame, key: str, parts: Mapping[str, float], name: str
         label = F.when(below, part) if label is None else label.when(below, part)
     label = F.lit(names[-1]) if label is None else label.otherwise(names[-1])
     # The hash of a long text is computed once, in a column of its own.
-    return frame.withColumn("_place", place(F.col(key))).withColumn(name, label).drop("_place")
+    return frame.withColumn("_place", place(F.col(key), seed)).withColumn(name, label).drop("_place")

@@ -128,25 +128,21 @@ def personas(profiles: DataFrame) -> DataFrame:
 
 
 def elbow(frame: DataFrame, ks: Sequence[int] = ELBOW) -> DataFrame:
-    """Cost and seconds of a fit per number of clusters, over features kept once."""
+    """Cost of a fit per number of clusters, over features kept once."""
     rows = []
     with stored(frame.select("scaled_features")) as kept:
         for k in ks:
-            start = time.perf_counter()
-            model = kmeans(kept, k)
-            rows.append((k, float(model.summary.trainingCost), time.perf_counter() - start))
-    return frame.sparkSession.createDataFrame(rows, "k INT, cost DOUBLE, seconds DOUBLE")
+            rows.append((k, float(kmeans(kept, k).summary.trainingCost)))
+    return frame.sparkSession.createDataFrame(rows, "k INT, cost DOUBLE")
 
 
 def method_comparison(frame: DataFrame, k: int = CLUSTERS) -> DataFrame:
-    """K-Means beside bisecting K-Means: cost and seconds."""
+    """K-Means beside bisecting K-Means: the cost of each."""
     rows = []
     with stored(frame.select("scaled_features")) as kept:
         for name, fit in (("k-means", kmeans), ("bisecting k-means", bisecting)):
-            start = time.perf_counter()
-            model = fit(kept, k)
-            rows.append((name, k, float(model.summary.trainingCost), time.perf_counter() - start))
-    return frame.sparkSession.createDataFrame(rows, "method STRING, k INT, cost DOUBLE, seconds DOUBLE")
+            rows.append((name, k, float(fit(kept, k).summary.trainingCost)))
+    return frame.sparkSession.createDataFrame(rows, "method STRING, k INT, cost DOUBLE")
 
 
 def partition_effect(frame: DataFrame, iterations: int = 10) -> DataFrame:

@@ -27,10 +27,10 @@ def period_return(price: Column, previous: Column, digits: int | None = 2) -> Co
 
 def with_previous(
     frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER, value: str = "price",
-    rows_per_slice: int = slicing.ROWS_PER_SLICE,
+    slice_rows: int = slicing.SLICE_ROWS,
 ) -> DataFrame:
     """The previous value in the series, and the return against it."""
-    carried = slicing.sliced_series(frame, key, order, 1, 0, rows_per_slice)
+    carried = slicing.sliced_series(frame, key, order, 1, 0, slice_rows)
     window = slicing.window_by_slice(key, order)
     valued = carried.withColumn("previous_price", F.lag(value, 1).over(window))
     return slicing.own_rows(valued).withColumn(
@@ -40,20 +40,20 @@ def with_previous(
 
 def with_next(
     frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER, value: str = "price",
-    rows_per_slice: int = slicing.ROWS_PER_SLICE,
+    slice_rows: int = slicing.SLICE_ROWS,
 ) -> DataFrame:
     """The next value in the series, null at its end."""
-    carried = slicing.sliced_series(frame, key, order, 0, 1, rows_per_slice)
+    carried = slicing.sliced_series(frame, key, order, 0, 1, slice_rows)
     window = slicing.window_by_slice(key, order)
     return slicing.own_rows(carried.withColumn("next_price", F.lead(value, 1).over(window)))
 
 
 def with_moving_mean(
     frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER, value: str = "price", periods: int = 3,
-    rows_per_slice: int = slicing.ROWS_PER_SLICE,
+    slice_rows: int = slicing.SLICE_ROWS,
 ) -> DataFrame:
     """Mean of this and the preceding ``periods - 1`` values, of fewer at the start of the series."""
-    carried = slicing.sliced_series(frame, key, order, periods - 1, 0, rows_per_slice)
+    carried = slicing.sliced_series(frame, key, order, periods - 1, 0, slice_rows)
     window = slicing.window_by_slice(key, order).rowsBetween(-(periods - 1), 0)
     valued = carried.withColumn("moving_average", F.round(F.avg(value).over(window), 2))
     return slicing.own_rows(valued)
@@ -61,10 +61,10 @@ def with_moving_mean(
 
 def indicators(
     frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER, value: str = "price",
-    rows_per_slice: int = slicing.ROWS_PER_SLICE,
+    slice_rows: int = slicing.SLICE_ROWS,
 ) -> DataFrame:
     """Previous value, return and 3-period mean together: one shuffle serves all of them."""
-    carried = slicing.sliced_series(frame, key, order, 2, 0, rows_per_slice)
+    carried = slicing.sliced_series(frame, key, order, 2, 0, slice_rows)
     window = slicing.window_by_slice(key, order)
     valued = carried.withColumns(
         {
@@ -102,13 +102,13 @@ def with_endpoints(frame: DataFrame, key: str = "stock", order: Sequence[str] =
 
 def performance(
     frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER, value: str = "price",
-    rows_per_slice: int = slicing.ROWS_PER_SLICE,
+    slice_rows: int = slicing.SLICE_ROWS,
 ) -> DataFrame:
     """Per series: first, last, mean, least and largest value, cumulative return, volatility; best first.
 
     Volatility is the sample deviation of the rounded returns, the leading 0 included.
     """
-    returns = with_previous(frame, key, order, value, rows_per_slice)
+    returns = with_previous(frame, key, order, value, slice_rows)
     moment = F.struct(*order)
     first, last = F.min_by(value, moment), F.max_by(value, moment)
     report = returns.groupBy(key).agg(

@@ -1,28 +1,27 @@
-"""Long series cut into slices of similar size.
+"""Series cut into slices of similar size.
 
 A window over ``partitionBy(key)`` puts a whole series into one task. Where one key holds
-a large share of the rows, that task cannot finish. Here each long series is cut along
-its order into slices, found from the quantiles of the order columns, and windows run per
-key and slice; short series stay whole. The few rows that a window needs from before (or after)
-its slice are added to the slice as carried rows and dropped from the result, so values
-are the same as over the whole series.
+a large share of the rows, that task cannot finish. Here the series are cut along their
+order into slices, at quantiles of the order columns over all series, as many as the
+number of rows asks for (one, if they are few), and windows run per key and slice. The few
+rows that a window needs from before (or after) its slice are added to the slice as
+carried rows and dropped from the result, so values are the same as over the whole series.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, TimestampType
 
 from gristmill.functions.dates import seconds_of
 
-ROWS_PER_SLICE = 5_000_000
-MAX_SLICES = 10_000
+#: Rows of all series together that a slice is meant to hold, and how many of them are sampled for the cuts.
+SLICE_ROWS = 5_000_000
 SAMPLED_PER_SLICE = 1_000
 
 SLICE = "_slice"
@@ -30,54 +29,55 @@ CARRIED = "_carried"
 
 
 def _numeric(frame: DataFrame, column: str):
-    if isinstance(frame.schema[column].dataType, NumericType):
+    kind = frame.schema[column].dataType
+    if isinstance(kind, NumericType):
         return F.col(column).cast("double")
-    return seconds_of(F.col(column))
+    return seconds_of(F.col(column), zoned=isinstance(kind, TimestampType))
 
 
 def _cuts(frame: DataFrame, column: str, slices: int, fraction: float) -> list[float]:
-    """Quantiles of ``column``; at most ``slices`` numbers come to the driver.
+    """Quantiles of ``column``; one number per slice comes to the driver.
 
     Any cuts give right results, and they need only be roughly even, so they are taken
-    from a sample of bounded size. No row is left out of the slices themselves.
+    from a sample, or from all rows where that sample is empty. No row is left out of the
+    slices themselves.
     """
+    if slices <= 1:
+        return []
     steps = [i / slices for i in range(1, slices)]
     sampled = frame.sample(fraction, seed=1) if fraction < 1 else frame
-    return sampled.stat.approxQuantile(column, steps, 1 / (4 * slices))
+    cuts = sampled.stat.approxQuantile(column, steps, 1 / (4 * slices))
+    return cuts or (_cuts(frame, column, slices, 1.0) if fraction < 1 else [])
 
 
 def _bucketed(frame: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
+    if not cuts:
+        return frame.withColumn(name, F.lit(0).cast("long"))
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep")
     return bucketizer.transform(frame).withColumn(name, F.col(name).cast("long"))
 
 
-def with_slices(
-    frame: DataFrame, order: Sequence[str], slices: int, cut: Column | None = None, fraction: float = 1.0
-) -> DataFrame:
+def with_slices(frame: DataFrame, order: Sequence[str], slices: int, fraction: float = 1.0) -> DataFrame:
     """Add ``_slice``: numbers that grow along ``order`` and mark about ``slices`` pieces of similar size.
 
     ``order`` is one or two columns without nulls: a time, and a number that tells equal
     times apart. A time so frequent that it fills more than one slice gets a slice to
-    itself, which is then cut by the second column. Only rows that meet ``cut`` are cut
-    up; the others form slice 0. The cuts are found from a ``fraction`` of the rows.
+    itself, which is then cut by the second column. The cuts are found from a ``fraction``
+    of the rows.
     """
-    cut = F.lit(True) if cut is None else cut
     timed = frame.withColumn("_time", _numeric(frame, order[0]))
-    cuts = _cuts(timed.filter(cut), "_time", slices, fraction)
-    if not cuts:
-        return frame.withColumn(SLICE, F.lit(0).cast("long"))
+    cuts = _cuts(timed, "_time", slices, fraction)
     heavy = sorted({time for time in cuts if cuts.count(time) > 1}) if len(order) > 1 else []
     sliced = _bucketed(timed, "_time", cuts + [math.nextafter(time, math.inf) for time in heavy], SLICE)
     if heavy:
-        crowded = cut & F.col("_time").isin(*heavy)
+        crowded = F.col("_time").isin(*heavy)
         tied = sliced.withColumn("_tie", F.when(crowded, _numeric(frame, order[1])).otherwise(F.lit(-math.inf)))
         tie_cuts = _cuts(tied.filter(crowded), "_tie", slices, fraction)
         pieces = len(set(tie_cuts)) + 1
         sliced = _bucketed(tied, "_tie", tie_cuts, "_piece")
         sliced = sliced.withColumn(SLICE, F.col(SLICE) * pieces + F.col("_piece"))
-    slice_or_none = F.when(cut, F.col(SLICE)).otherwise(F.lit(0).cast("long"))
-    return sliced.withColumn(SLICE, slice_or_none).select(*frame.columns, SLICE)
+    return sliced.select(*frame.columns, SLICE)
 
 
 def _edges(sliced: DataFrame, key: str, order: Sequence[str], rows: int, at_end: bool) -> DataFrame:
@@ -105,37 +105,25 @@ def _carried(sliced: DataFrame, key: str, order: Sequence[str], rows: int, forwa
 
 
 def sliced_series(
-    frame: DataFrame, key: str, order: Sequence[str], before: int = 0, after: int = 0,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    frame: DataFrame, key: str, order: Sequence[str], before: int = 0, after: int = 0, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """``frame`` with its long series in slices, each with ``before`` rows that precede it and ``after`` that follow.
+    """``frame`` in slices, each with ``before`` rows that precede it in its series and ``after`` that follow.
 
-    Those rows are marked in ``_carried``. First the rows are counted, and if they exceed
-    ``rows_per_slice``, the rows per key; at most ``MAX_SLICES`` keys can be so long, and
-    only those come to the driver. Per slice no more than ``before + after`` rows travel.
+    Those rows are marked in ``_carried``. All series are cut at the same places, into as
+    many slices as their rows together ask for. Per series and slice no more than
+    ``before + after`` rows travel.
     """
     rows = frame.count()
-    room = max(rows_per_slice, -(-rows // MAX_SLICES))
-    long_series = _long_series(frame, key, room) if rows > room else {}
-    if not long_series:
-        return frame.withColumns({SLICE: F.lit(0).cast("long"), CARRIED: F.lit(False)})
-    is_long = F.col(key).isin(*long_series)
-    slices = -(-sum(long_series.values()) // room)
-    sliced = with_slices(frame, order, slices, is_long, min(1.0, SAMPLED_PER_SLICE * slices / rows))
+    slices = max(1, -(-rows // slice_rows))
+    sliced = with_slices(frame, order, slices, min(1.0, SAMPLED_PER_SLICE * slices / max(1, rows)))
     result = sliced.withColumn(CARRIED, F.lit(False))
     for near, forward in ((before, True), (after, False)):
-        if near:
-            extra = _carried(sliced.filter(is_long), key, order, near, forward)
+        if near and slices > 1:
+            extra = _carried(sliced, key, order, near, forward)
             result = result.unionByName(extra.withColumn(CARRIED, F.lit(True)))
     return result
 
 
-def _long_series(frame: DataFrame, key: str, room: int) -> dict[Any, int]:
-    """Rows of each series that has more than ``room``."""
-    lengths = frame.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return {row[key]: row["_rows"] for row in lengths.filter((F.col("_rows") > room) & F.col(key).isNotNull()).collect()}
-
-
 def window_by_slice(key: str, order: Sequence[str]):
     """The window to use on such a frame."""
     return Window.partitionBy(key, SLICE).orderBy(*order)

@@ -36,15 +36,6 @@ def partitions_of(frame: DataFrame) -> int:
     return frame.rdd.getNumPartitions()
 
 
-def compacted(frame: DataFrame, rows: int, rows_per_partition: int = 20_000) -> DataFrame:
-    """Merge the partitions of a small frame, as every step of an iterative fit pays per task.
-
-    A frame with more rows than that in its partitions is left as it is.
-    """
-    enough = max(1, -(-rows // rows_per_partition))
-    return frame if enough >= partitions_of(frame) else frame.coalesce(enough)
-
-
 def partition_steps(frame: DataFrame, least: int = 8) -> tuple[int, int, int]:
     """A quarter, half and all of the frame's partitions, taken as ``least`` if there are fewer.
 

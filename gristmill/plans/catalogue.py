@@ -5,7 +5,9 @@ from __future__ import annotations
 from gristmill.plans import (
     document_store,
     message_models,
+    model_checks,
     quality_checks,
+    round_trips,
     sales_reports,
     segment_models,
     series_reports,
@@ -25,6 +27,8 @@ REGISTERS = [
         document_store,
         segment_models,
         message_models,
+        model_checks,
+        round_trips,
     )
 ]
 

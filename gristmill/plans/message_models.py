@@ -14,7 +14,7 @@ from gristmill.sources import tables
 
 query = Register()
 
-# The setting used where a query needs one chosen beforehand.
+# The setting of the comparisons, which vary something else.
 SETTING = classify.SETTINGS[1]
 
 
@@ -83,6 +83,25 @@ def sample_documents(spark, sf_dir):
     return sampling.sample(tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "doc_id", 0.4)
 
 
+SEEDED = "(CAST(('0x' || substr(md5('42:' || {}), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+@query("seeded_sample", f"SELECT doc_id, lang, source FROM documents WHERE {SEEDED.format('CAST(doc_id AS VARCHAR)')} < 0.4")
+def seeded_sample(spark, sf_dir):
+    documents = tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return sampling.sample(documents, "doc_id", 0.4, seed=42)
+
+
+@query(
+    "seeded_parts",
+    f"""SELECT o_orderkey, CASE WHEN {SEEDED.format('CAST(o_orderkey AS VARCHAR)')} < 0.8 THEN 'train' ELSE 'test' END AS part
+        FROM orders""",
+)
+def seeded_parts(spark, sf_dir):
+    orders = tables.table(spark, sf_dir, "orders").select("o_orderkey")
+    return sampling.with_part(orders, "o_orderkey", {"train": 0.8, "test": 0.2}, seed=42)
+
+
 # A fixed rule scores each message by its length, so that the checks need no fit.
 SCORED = """
 scored AS (
@@ -147,15 +166,24 @@ def hashing_tf(spark, sf_dir):
 
 @query("spam_predictions")
 def spam_predictions(spark, sf_dir):
-    """Twenty predictions to read."""
-    train, test = _split(spark, sf_dir)
-    return classify.prediction_sample(classify.fit_messages(train, SETTING), test)
+    """Twenty predictions of the tuned model to read."""
+    messages = _stored_messages(spark, sf_dir)
+    return classify.prediction_sample(classify.tuned_model(messages), classify.part(messages, "test"))
 
 
 @query("spam_evaluation")
 def spam_evaluation(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    return classify.evaluation(classify.fit_messages(train, SETTING), test)
+    """The tuned model on the test part, which no choice has seen."""
+    messages = _stored_messages(spark, sf_dir)
+    return classify.evaluation(classify.tuned_model(messages), classify.part(messages, "test"))
+
+
+@query("spam_thresholds")
+def spam_thresholds(spark, sf_dir):
+    """Rates of the tuned model on the test part at several thresholds."""
+    messages = _stored_messages(spark, sf_dir)
+    scored = classify.tuned_model(messages).transform(classify.part(messages, "test"))
+    return classify.threshold_sweep(scored, classify.spam_probability(), F.col("label_idx") == 1.0)
 
 
 @query("grid_search")

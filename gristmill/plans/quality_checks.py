@@ -25,10 +25,13 @@ def _count_if(conditions: dict[str, str]) -> dict[str, str]:
 
 def _labelled(spark, sf_dir):
     labels = tables.table(spark, sf_dir, "labels")
-    return tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(labels, "doc_id", "left")
+    return tables.table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
 
 
-COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+COUNTED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels",
+    "embeddings", "pages", "benchmark", "conversations",
+)
 
 
 @query("row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COUNTED))
@@ -39,8 +42,8 @@ def row_counts(spark, sf_dir):
 @query(
     "null_counts",
     _long(
-        "checked AS (SELECT doc_id, lang, source, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))",
-        _count_if({c: f"{c} IS NULL" for c in ("doc_id", "lang", "source", "quality", "toxic")}),
+        "checked AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))",
+        _count_if({c: f"{c} IS NULL" for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")}),
         "column_name",
         "missing",
     ),
@@ -111,7 +114,7 @@ def drop_missing_and_negative(spark, sf_dir):
     ),
 )
 def invalid_dates(spark, sf_dir):
-    return quality.unreadable_dates(tables.raw_feed(spark, sf_dir), ["order_date", "ship_date"])
+    return quality.unreadable_dates(tables.raw_feed(spark, sf_dir, "order_date", "ship_date"), ["order_date", "ship_date"])
 
 
 RANGES = {
@@ -123,7 +126,7 @@ RANGES = {
 
 @query("range_checks", _long(f"{FEED}, checked AS (SELECT * FROM feed)", _count_if(RANGES)))
 def range_checks(spark, sf_dir):
-    return quality.range_checks(tables.raw_feed(spark, sf_dir))
+    return quality.range_checks(tables.raw_feed(spark, sf_dir, "sales", "quantity", "discount"))
 
 
 PARSED = f"""{FEED},

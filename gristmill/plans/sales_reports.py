@@ -269,18 +269,17 @@ def top10_profit(spark, sf_dir):
 
 @query(
     "loss_leaders",
-    f"""WITH {SALES} SELECT product, category, sub_category, {double('sum(sales)')} AS total_sales,
+    f"""WITH {SALES} SELECT product, category, sub_category, part_id, supplier_id, {double('sum(sales)')} AS total_sales,
         {double('sum(profit)')} AS total_profit,
         {ratio('sum(CAST(discount AS DECIMAL(18,4)))', 'count(discount)')} AS avg_discount,
         count(DISTINCT order_id) AS total_orders
-        FROM sales GROUP BY product, category, sub_category HAVING sum(profit) < 0""",
+        FROM sales GROUP BY product, category, sub_category, part_id, supplier_id HAVING sum(profit) < 0""",
 )
 def loss_leaders(spark, sf_dir):
-    return sales.loss_leaders(
-        tables.sales_lines(
-            spark, sf_dir, "order_id", "product", "category", "sub_category", "sales", "profit", "discount"
-        )
-    )
+    """Names repeat over many parts, and over all its suppliers no part loses: a product is a supplier's part."""
+    keys = ("product", "category", "sub_category", "part_id", "supplier_id")
+    lines = tables.sales_lines(spark, sf_dir, "order_id", *keys, "sales", "profit", "discount")
+    return sales.loss_leaders(lines, keys)
 
 
 @query(
@@ -326,7 +325,7 @@ def facet_filter(spark, sf_dir):
 
 @query("facet_values", f"WITH {SALES} SELECT DISTINCT CAST(year(order_date) AS INTEGER) AS year FROM sales")
 def facet_values(spark, sf_dir):
-    orders = tables.order_totals(spark, sf_dir, "order_date").select(F.year("order_date").alias("year"))
+    orders = tables.orders_sold(spark, sf_dir, "order_date").select(F.year("order_date").alias("year"))
     return projections.distinct_values(orders, "year")
 
 

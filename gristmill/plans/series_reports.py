@@ -80,7 +80,7 @@ def indicators(spark, sf_dir):
 @query("sliced_indicators", _returns(INDICATORS))
 def sliced_indicators(spark, sf_dir):
     """The same as ``indicators``, with the series cut into many slices also where they are small."""
-    return series.indicators(_ticks(spark, sf_dir), rows_per_slice=500).drop("ts")
+    return series.indicators(_ticks(spark, sf_dir), slice_rows=500).drop("ts")
 
 
 @query("first_last", _returns("stock, tick, price, first_price, last_price"))

@@ -2,40 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 20_000
 SCAN_BYTES = 128 * 1024 * 1024
-MAX_SCAN_TASKS = 200_000
 
 
 def shuffle_partitions(input_bytes: int, cores: int = 8) -> int:
-    """Shuffle partitions of about 256 MiB, no fewer than the cores and no more than 20,000.
-
-    Adaptive execution merges the ones that turn out small. The limit keeps the number of
-    shuffle blocks (map tasks times partitions) within what a driver can track; reports
-    read a few columns, so at 100 TB a partition still gets some hundred MiB.
-    """
-    return max(cores, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_PARTITION_BYTES)))
-
-
-def scan_bytes(input_bytes: int) -> int:
-    """Bytes of input per scan task: 128 MiB, and more where that would make over 200,000 tasks."""
-    return max(SCAN_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+    """Shuffle partitions of about 256 MiB, no fewer than the cores; adaptive execution merges small ones."""
+    return max(cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(
     app: str = "gristmill",
     master: str | None = None,
-    input_bytes: int = 0,
+    input_bytes: int | None = None,
     cores: int = 8,
     settings: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with the settings the operators are written for."""
+    """A session with the settings the operators are written for.
+
+    The number of shuffle partitions follows ``input_bytes``; without it, Spark's own setting holds.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -47,9 +37,10 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split a hot join key even where that costs one more shuffle later.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes, cores)),
-        "spark.sql.files.maxPartitionBytes": str(scan_bytes(input_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
     }
+    if input_bytes is not None:
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes, cores))
     chosen.update(settings or {})
     for key, value in chosen.items():
         builder = builder.config(key, value)
@@ -57,19 +48,8 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own;
-    on a cluster a machine-local folder would lose data with the machine.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="gristmill-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the session's warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -77,13 +57,26 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_WRITTEN: list[str] = []
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """Cut the lineage of ``frame`` by a parquet table in the shared folder.
 
     Unlike executor storage the table survives lost executors, and it is computed once
-    however many later plans read it.
+    however many later plans read it. ``release_written`` removes it.
     """
     spark = frame.sparkSession
     path = new_folder(spark, purpose)
+    _WRITTEN.append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def release_written(spark: SparkSession) -> int:
+    """Remove the tables that ``written`` has made in this process; results that read them are gone with them."""
+    files, released = spark.sparkContext._jvm.org.apache.hadoop.fs, 0
+    while _WRITTEN:
+        path = files.Path(_WRITTEN.pop())
+        released += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return released

@@ -7,24 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.operators.storage import stored
 from gristmill.session import new_folder
 
 
 def write_report(
-    frame: DataFrame, path: str, order: Sequence[Column | str] = (), max_rows: int = 100_000
+    frame: DataFrame, path: str, order: Sequence[Column | str] = (), single_file: bool = False
 ) -> None:
-    """A small result as one CSV file, its rows in ``order``.
+    """A result of any size as CSV, its rows in ``order`` over the files.
 
-    The rows are exchanged into one task at the very end: ``coalesce(1)`` would run the
-    whole last stage of the plan there. Results of more than ``max_rows`` are refused.
+    ``single_file`` asks for one file: the rows are then exchanged into one task at the very
+    end, as ``coalesce(1)`` would run the whole last stage of the plan there.
     """
-    with stored(frame) as kept:
-        if kept.count() > max_rows:
-            raise ValueError(f"more than {max_rows} rows: use write_table, which writes in parallel")
-        single = kept.repartition(1)
-        ordered = single.sortWithinPartitions(*order) if order else single
-        ordered.write.mode("overwrite").csv(path, header=True)
+    if single_file:
+        frame = frame.repartition(1)
+        ordered = frame.sortWithinPartitions(*order) if order else frame
+    else:
+        ordered = frame.orderBy(*order) if order else frame
+    ordered.write.mode("overwrite").csv(path, header=True)
 
 
 def write_table(frame: DataFrame, path: str, kind: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -41,10 +40,10 @@ def write_key_values(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").csv(path, sep="\t")
 
 
-def write_reports(frames: dict[str, DataFrame], folder: str) -> None:
+def write_reports(frames: dict[str, DataFrame], folder: str, single_file: bool = False) -> None:
     """One report per name under ``folder``."""
     for name, frame in frames.items():
-        write_report(frame, f"{folder}/{name}")
+        write_report(frame, f"{folder}/{name}", single_file=single_file)
 
 
 def write_snapshot(frame: DataFrame) -> str:

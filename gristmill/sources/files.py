@@ -19,15 +19,28 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
     return spark.read.csv(path, header=header, schema=schema)
 
 
-def read_first_available(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
-    """The first of ``paths`` that exists, e.g. the cleaned table, or else the raw one."""
-    for path in paths[:-1]:
-        try:
+def read_first_available(
+    spark: SparkSession, paths: Sequence[str], schema: str, kinds: Sequence[str] | None = None
+) -> DataFrame:
+    """The first of ``paths`` that exists, e.g. the cleaned table, or else the raw one.
+
+    ``kinds`` says for each path whether it is ``csv`` (all, if left out) or another format, as
+    ``parquet``.
+    """
+    kinds = kinds or ["csv"] * len(paths)
+
+    def read(path: str, kind: str) -> DataFrame:
+        if kind == "csv":
             return read_csv(spark, path, schema)
+        return spark.read.format(kind).schema(schema).load(path)
+
+    for path, kind in zip(paths[:-1], kinds):
+        try:
+            return read(path, kind)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return read_csv(spark, paths[-1], schema)
+    return read(paths[-1], kinds[-1])
 
 
 def snake_case(frame: DataFrame) -> DataFrame:

@@ -118,6 +118,12 @@ def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _with_dimensions(lines, sf_dir, wanted).select(*columns)
 
 
+def orders_sold(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """One row per order that has lines, with ``columns`` of the order, its customer and place; nothing is summed."""
+    orders = _lines(spark, sf_dir).select("order_id").distinct()
+    return _with_dimensions(orders, sf_dir, set(columns)).select(*columns)
+
+
 def order_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """One row per order with the sums ``sales``, ``profit``, ``quantity`` and the number of ``lines``.
 
@@ -214,29 +220,35 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as an untidy feed would bring them.
+FEED = (
+    "order_id", "line_number", "part_id", "supplier_id", "customer_id", "return_flag", "line_status",
+    "order_date", "ship_date", "sales", "quantity", "discount", "profit",
+)
+
+
+def raw_feed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Order lines as an untidy feed would bring them, with just ``columns`` (all, if none are named).
 
     Dates are text, and some cannot be read; returned lines come with a negative
     quantity; some lines carry an impossible discount or no sales; the finished first
-    lines arrive twice. Every line of the table is there.
+    lines arrive twice. Every line of the table is there. Only tables that the columns
+    need are joined.
     """
+    wanted = columns or FEED
     status, flag, number = F.col("line_status"), F.col("return_flag"), F.col("line_number")
-    lines = sales_lines(
-        spark, sf_dir, "order_id", "line_number", "part_id", "supplier_id", "return_flag", "line_status",
-        "order_date", "ship_date", "customer_id", "sales", "quantity", "discount", "profit",
-    )
-    feed = lines.select(
-        "order_id", "line_number", "part_id", "supplier_id", "customer_id", "return_flag", "line_status",
-        F.when((flag == "N") & (number == 7), None).otherwise(F.col("order_date").cast("string")).alias("order_date"),
-        F.when((status == "O") & (flag == "A") & (number == 6), "pending")
-        .otherwise(F.col("ship_date").cast("string")).alias("ship_date"),
-        F.when((flag == "R") & (number == 5), 0).otherwise(F.col("sales")).alias("sales"),
-        F.when((flag == "R") & (number == 4), -F.col("quantity")).otherwise(F.col("quantity")).alias("quantity"),
-        F.when((flag == "R") & (number == 3), 1.5)
-        .when((flag == "R") & (number == 2), -0.5).otherwise(F.col("discount")).alias("discount"),
-        "profit",
-    )
+    marks = [c for c in ("line_number", "return_flag", "line_status") if c not in wanted]
+    lines = sales_lines(spark, sf_dir, *wanted, *marks)
+    untidy = {
+        "order_date": lambda: F.when((flag == "N") & (number == 7), None).otherwise(F.col("order_date").cast("string")),
+        "ship_date": lambda: F.when((status == "O") & (flag == "A") & (number == 6), "pending").otherwise(
+            F.col("ship_date").cast("string")
+        ),
+        "sales": lambda: F.when((flag == "R") & (number == 5), 0).otherwise(F.col("sales")),
+        "quantity": lambda: F.when((flag == "R") & (number == 4), -F.col("quantity")).otherwise(F.col("quantity")),
+        "discount": lambda: F.when((flag == "R") & (number == 3), 1.5)
+        .when((flag == "R") & (number == 2), -0.5)
+        .otherwise(F.col("discount")),
+    }
     copies = F.when((status == "F") & (flag == "A") & (number == 1), 2).otherwise(1)
-    repeated = feed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    return repeated.drop("copy")
+    feed = lines.select(*(untidy[c]().alias(c) if c in untidy else F.col(c) for c in wanted), copies.alias("_copies"))
+    return feed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies", "_copy")

@@ -43,17 +43,18 @@ def test_first_available(spark, tmp_path):
 
 def test_reports_are_single_files_in_order(spark, tmp_path):
     frame = spark.range(100).repartition(4).withColumnRenamed("id", "n")
-    sinks.write_reports({"numbers": frame}, str(tmp_path))
-    sinks.write_report(frame, str(tmp_path / "down"), order=[F.desc("n")])
+    sinks.write_reports({"numbers": frame}, str(tmp_path), single_file=True)
+    sinks.write_report(frame, str(tmp_path / "down"), order=[F.desc("n")], single_file=True)
     parts = list((tmp_path / "down").glob("part-*.csv"))
     assert len(parts) == 1 and parts[0].read_text().split()[:3] == ["n", "99", "98"]
     assert len(list((tmp_path / "numbers").glob("part-*.csv"))) == 1
 
 
-def test_large_results_are_no_reports(spark, tmp_path):
-    with pytest.raises(ValueError, match="write_table"):
-        sinks.write_report(spark.range(11), str(tmp_path / "large"), max_rows=10)
-    assert not (tmp_path / "large").exists()
+def test_reports_of_any_size_are_written_in_parallel(spark, tmp_path):
+    sinks.write_report(spark.range(1000).repartition(4), str(tmp_path / "large"), order=["id"])
+    parts = sorted((tmp_path / "large").glob("part-*.csv"))
+    ids = [int(x) for part in parts for x in part.read_text().split()[1:]]
+    assert ids == list(range(1000))
 
 
 def test_tables_and_previews(spark, tmp_path):
@@ -74,10 +75,9 @@ def test_shared_folder_is_the_configured_one(spark):
 
 
 def test_partition_sizes_follow_the_input():
-    assert (session.shuffle_partitions(0), session.scan_bytes(0)) == (8, 128 * 1024 * 1024)
+    assert session.shuffle_partitions(0) == 8
     assert session.shuffle_partitions(10**12) == 3726
-    assert session.shuffle_partitions(10**14) == 20_000
-    assert 10**14 / session.scan_bytes(10**14) <= 200_000
+    assert session.shuffle_partitions(10**14) == 372_530
 
 
 RATINGS = [(u, m, float((u * m) % 5)) for u in range(20) for m in range(10)]
@@ -177,7 +177,9 @@ def test_small_scans_are_spread_and_others_left(spark):
     assert tables.spread(wide) is wide
 
 
-def test_small_frames_are_compacted(spark):
-    frame = spark.range(100, numPartitions=8)
-    assert storage.partitions_of(storage.compacted(frame, 100, rows_per_partition=40)) == 3
-    assert storage.compacted(frame, 10**9) is frame
+def test_written_tables_are_released(spark):
+    frame = session.written(spark.range(5), "numbers")
+    path = frame.inputFiles()[0]
+    assert frame.count() == 5 and session.release_written(spark) >= 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()

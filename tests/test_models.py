@@ -23,6 +23,17 @@ def test_personas(spark):
     assert rows(segments.personas(frame).select("cluster", "persona")) == [(p[0], p[6]) for p in PROFILES]
 
 
+def test_seeds_draw_independent_samples(spark):
+    frame = spark.range(4000)
+    one, same, two = (
+        {r["id"] for r in sampling.sample(f, "id", 0.4, seed).collect()}
+        for f, seed in ((frame, 1), (frame.repartition(7), 1), (frame, 2))
+    )
+    assert one == same and 0.3 < len(one & two) / len(one) < 0.5
+    parts = {tuple(sorted(r["id"] for r in sampling.with_part(frame, "id", {"a": 0.5, "b": 0.5}, seed=s).where("part = 'a'").collect())) for s in (1, 2, 3)}
+    assert len(parts) == 3 and all(0.45 < len(p) / 4000 < 0.55 for p in parts)
+
+
 @pytest.fixture(scope="module")
 def customers(spark):
     """Three clouds of customers far apart."""

@@ -83,6 +83,10 @@ def test_totals_are_exact(spark):
     frame = spark.createDataFrame([(0.1,)] * 1000 + [(-1e11,), (1e11,), (-0.0001,), (None,), (float("nan"),)], "x DOUBLE")
     assert str(frame.agg(numbers.total(frame, "x")).first()[0]) == "99.9999"
     assert frame.filter("false").agg(numbers.total(frame, "x")).first()[0] is None
+    fine = spark.range(1000).select(F.lit(0.00004).alias("x"))
+    assert float(fine.agg(numbers.total(fine, "x", 5)).first()[0]) == 0.04
+    with pytest.raises(Exception, match="more than 4 decimals"):
+        fine.agg(numbers.total(fine, "x")).collect()
 
 
 def test_revenue_does_not_overflow(spark):

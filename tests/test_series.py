@@ -36,9 +36,9 @@ def stocks(spark):
     return frame.withColumn("day", F.to_date("day"))
 
 
-@pytest.mark.parametrize("rows_per_slice", [1000, 10])
-def test_performance(stocks, rows_per_slice):
-    report = series.performance(stocks, order=ORDER, rows_per_slice=rows_per_slice)
+@pytest.mark.parametrize("slice_rows", [1000, 10])
+def test_performance(stocks, slice_rows):
+    report = series.performance(stocks, order=ORDER, slice_rows=slice_rows)
     assert in_order(report) == REPORT
     assert series.best_performer(report).first()["stock"] == "AMZN"
 
@@ -81,8 +81,8 @@ def _ticks(kind):
 
 
 @pytest.mark.parametrize("kind", ["even", "one moment", "all at once", "late burst"])
-@pytest.mark.parametrize("rows_per_slice", [3, 40])
-def test_slices_give_the_same_values_as_whole_series(spark, kind, rows_per_slice):
+@pytest.mark.parametrize("slice_rows", [3, 40])
+def test_slices_give_the_same_values_as_whole_series(spark, kind, slice_rows):
     frame = spark.createDataFrame(_ticks(kind), "stock STRING, ts TIMESTAMP_NTZ, tick LONG, price DOUBLE")
     whole = Window.partitionBy("stock").orderBy("ts", "tick")
     expected = frame.select(
@@ -91,7 +91,7 @@ def test_slices_give_the_same_values_as_whole_series(spark, kind, rows_per_slice
         F.lead("price").over(whole),
         F.round(F.avg("price").over(whole.rowsBetween(-2, 0)), 2),
     )
-    carried = slicing.sliced_series(frame, "stock", series.ORDER, 2, 1, rows_per_slice)
+    carried = slicing.sliced_series(frame, "stock", series.ORDER, 2, 1, slice_rows)
     window = slicing.window_by_slice("stock", series.ORDER)
     found = slicing.own_rows(
         carried.select(
@@ -113,12 +113,32 @@ def test_no_slice_holds_a_large_part(spark, kind):
     assert largest <= 3 * 400 / 20
 
 
-def test_short_series_stay_whole(spark):
+def test_few_rows_are_one_slice(spark):
     ticks = spark.createDataFrame(_ticks("even"), "stock STRING, ts TIMESTAMP_NTZ, tick LONG, price DOUBLE")
-    sliced = slicing.sliced_series(ticks, "stock", series.ORDER, 2, 0, 60)
-    slices = {r[0]: r[1] for r in sliced.groupBy("stock").agg(F.countDistinct(slicing.SLICE)).collect()}
-    assert slices.pop("hot") > 2 and set(slices.values()) == {1}
-    assert sliced.filter(slicing.CARRIED).select("stock").distinct().count() == 1
+    sliced = slicing.sliced_series(ticks, "stock", series.ORDER, 2, 0, 400)
+    assert sliced.select(slicing.SLICE).distinct().count() == 1 and sliced.filter(slicing.CARRIED).count() == 0
+    cut = slicing.sliced_series(ticks, "stock", series.ORDER, 2, 0, 60)
+    assert cut.select(slicing.SLICE).distinct().count() > 4
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "UTC"])
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "TIMESTAMP_NTZ", "DATE"])
+def test_slices_where_the_clocks_change(spark, zone, kind):
+    """A tick a minute over the nights in which clocks go back, in a session of that zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        seconds = F.expr("IF(id < 400, 1698530400, 1699149600) + id * 60")
+        ticks = spark.range(800).select(
+            F.expr("IF(id % 7 = 0, 'a', 'b')").alias("stock"), F.timestamp_seconds(seconds).cast(kind).alias("ts"),
+            F.col("id").alias("tick"), F.expr("CAST(id * 37 % 101 AS DOUBLE)").alias("price"),
+        )
+        whole = Window.partitionBy("stock").orderBy("ts", "tick")
+        expected = rows(ticks.select("stock", "tick", F.lag("price").over(whole)))
+        found = series.with_previous(ticks, slice_rows=20).select("stock", "tick", "previous_price")
+        assert rows(found) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_endpoints_on_every_row(stocks):
@@ -128,5 +148,5 @@ def test_endpoints_on_every_row(stocks):
 
 
 def test_next_value(stocks):
-    frame = series.with_next(stocks, order=ORDER, rows_per_slice=10).filter("stock = 'AAPL'").orderBy("day")
+    frame = series.with_next(stocks, order=ORDER, slice_rows=10).filter("stock = 'AAPL'").orderBy("day")
     assert [r["next_price"] for r in frame.collect()] == PRICES["AAPL"][1:] + [None]
