@@ -13,6 +13,8 @@ EDITS, LEAST = 1, 16
 BLANKS = " \t\r"
 #: Letters whose counts two lines are compared by before they meet; one edit changes two counts by one at most.
 LETTERS = "eantiors"
+#: Bits of the filters that spare a shuffle of all lines.
+FILTER_BITS = 24
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
@@ -100,17 +102,33 @@ def _index(edits: int) -> Column:
 
 
 def _probes(edits: int) -> Column:
-    """Substrings at which a segment of a line as long, or up to ``edits`` shorter, can stand."""
+    """Substrings at which a segment of a line as long, or up to ``edits`` shorter, can stand.
+
+    Those of the line's own segments are left out: ``_index`` has them.
+    """
     n, line, keys = F.col("n"), F.col("line"), []
     for gap in range(edits + 1):
         length = n - gap
         for i, (at, size) in enumerate(_segments(length, edits)):
             low, high = max(-i, gap - (edits - i)), min(i, gap + (edits - i))
             for shift in range(low, high + 1):
-                start = at + shift
-                fits = (start >= 1) & (start + size - 1 <= n)
-                keys.append(F.when(fits, _key(length, i, F.substring(line, start, size))))
-    return F.array_compact(F.array(*keys))
+                if gap or shift:
+                    start = at + shift
+                    fits = (start >= 1) & (start + size - 1 <= n)
+                    keys.append(F.when(fits, _key(length, i, F.substring(line, start, size))))
+    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
+
+
+def _among(frame: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose 64-bit ``column`` may be among ``ids`` (of the same name); few others pass, none of them is lost.
+
+    The ids' low 24 bits mark bits of at most 2 ** 18 words, so what is broadcast is bounded whatever their number.
+    """
+    word, bit = f"(shiftrightunsigned({column}, 6) & {(1 << (FILTER_BITS - 6)) - 1})", f"CAST({column} & 63 AS INT)"
+    bits = ids.select(F.expr(word).alias("word"), F.expr(f"shiftleft(1L, {bit})").alias("bit"))
+    bits = bits.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits"))
+    found = frame.withColumn("word", F.expr(word)).join(F.broadcast(bits), "word")
+    return found.where(f"getbit(bits, {bit}) = 1").drop("word", "bits")
 
 
 def _letter_counts(line: Column) -> Column:
@@ -140,32 +158,40 @@ def repeated_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
     document and get one row; a null text has no lines, an empty one has one. Other columns are ignored.
 
     Equal lines are one class, counted per task first. A class is cut into ``edits + 1`` segments and probed by
-    the substrings at which a segment of a line up to ``edits`` shorter can stand; pairs of classes that share a
-    key and nearly agree in the counts of eight letters are verified on their texts.
+    the substrings at which a segment of a line up to ``edits`` shorter can stand. Classes that share a key get
+    their texts; pairs of them that nearly agree in the counts of eight letters are verified.
     """
     rows = with_row_key(documents).where("text IS NOT NULL")
     place = F.expr("CAST(coalesce(doc_id, 9223372036854775807) AS DECIMAL(38, 0)) * 4294967296 + number")
+    place = place.cast("decimal(38,0)").alias("place")
     lines = rows.select("doc_id", "k1", "k2", F.posexplode(F.split("text", "\n", -1)).alias("number", "line"))
     lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).withColumn("n", F.length("line"))
-    lines = lines.withColumn("place", place.cast("decimal(38,0)"))
     long = F.col("n") >= least
     marks = {"h1": F.when(long, F.xxhash64("line")), "h2": F.when(long, F.hash("line", F.lit(1)))}
-    lines = lines.withColumns(marks)
-    plain = stored(lines.select("doc_id", "k1", "k2", "number", "place", "h1", "h2"), "lines")
-    classes = plain.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("place").alias("first"))
-
-    keyed = lines.where("h1 IS NOT NULL").select("h1", "n", "line", _letter_counts(F.col("line")).alias("letters"))
-    index = keyed.select("h1", "letters", F.explode(_index(edits)).alias("key"))
-    probes = keyed.select(
-        F.col("h1").alias("p1"), F.col("letters").alias("others"), F.explode(_probes(edits)).alias("key")
+    keys = {"own": F.when(long, _index(edits)), "others": F.when(long, _probes(edits))}
+    plain = stored(lines.select("doc_id", "k1", "k2", "number", *[c.alias(n) for n, c in (marks | keys).items()]), "lines")
+    numbered = plain.select("doc_id", "k1", "k2", "number", place, "h1", "h2")
+    classes = numbered.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("place").alias("first"))
+
+    own = plain.select("h1", F.explode("own").alias("key"), F.lit(1).alias("is_own"))
+    keyed = own.unionByName(plain.select("h1", F.explode("others").alias("key"), F.lit(0).alias("is_own")))
+    shared = keyed.groupBy("key").agg(
+        F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("is_own").alias("is_own")
     )
-    near = index.distinct().join(probes.distinct(), "key").where("h1 <> p1")
+    shared = stored(shared.where("low < high AND is_own = 1").select("key"), "line-keys")
+    some = stored(_among(keyed, "key", shared).join(shared, "key").distinct(), "line-meetings")
+    ids = some.select("h1").distinct()
+    wanted = _among(classes, "h1", ids).join(ids, "h1").select("h1", "h2", "first")
+    texts = lines.where(long).select("doc_id", "number", "line", *[c.alias(n) for n, c in marks.items()])
+    texts = _among(texts, "h1", ids).select("h1", "h2", place, "line").join(wanted, ["h1", "h2"]).where("place = first")
+    texts = texts.select("h1", "h2", "first", "line").dropDuplicates(["h1", "h2"])
+    texts = stored(texts.withColumn("letters", _letter_counts(F.col("line"))), "line-texts")
+    letters = some.join(texts.select("h1", "letters"), "h1")
+    index = letters.where("is_own = 1").select("key", "h1", "letters")
+    probes = letters.select("key", F.col("h1").alias("p1"), F.col("letters").alias("others"))
+    near = index.join(probes, "key").where("h1 <> p1")
     near = near.where(f"{_letter_distance('letters', 'others')} <= {2 * edits}")
-    pairs = stored(near.select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct(), "line-pairs")
-    ids = pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1"))).distinct()
-    wanted = classes.join(ids, "h1").select("h1", "h2", "first")
-    texts = lines.select("h1", "h2", "place", "line").join(wanted, ["h1", "h2"]).where("place = first")
-    texts = stored(texts.select("h1", "h2", "first", "line").dropDuplicates(["h1", "h2"]), "line-texts")
+    pairs = near.select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct()
     one = texts.select(*[F.col(c).alias(f"{c}_a") for c in texts.columns])
     two = texts.select(*[F.col(c).alias(f"{c}_b") for c in texts.columns])
     met = pairs.join(one, F.col("a") == F.col("h1_a")).join(two, F.col("b") == F.col("h1_b"))
@@ -178,7 +204,7 @@ def repeated_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
         F.when(later, F.col("h2_a")).otherwise(F.col("h2_b")).alias("h2"),
     ).distinct()
     classes = classes.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
-    judged = plain.join(classes, ["h1", "h2"], "left")
+    judged = numbered.join(classes, ["h1", "h2"], "left")
     goes = F.col("h1").isNotNull() & (F.col("near").isNotNull() | (F.col("place") > F.col("first")))
     judged = judged.withColumn("goes", F.when(goes, F.col("number")))
     return judged.groupBy("doc_id", "k1", "k2").agg(
