@@ -60,7 +60,8 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spaced_seeds.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), "items", "share")
+    leak = F.size("items") > 0
+    return found.select("doc_id", leak.alias("contaminated"), (~leak).alias("kept"), "items", "share")
 
 
 @query
