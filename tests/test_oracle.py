@@ -20,6 +20,12 @@ def test_same_as_sql(spark, sf_dir, connection, name):
     assert compare(QUERIES[name](spark, sf_dir), connection, SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql_has_rows(connection, name):
+    """Two empty results would be equal."""
+    assert connection.execute(SQL[name]).fetchmany(1)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_has_rows(spark, sf_dir, name):
     frame = QUERIES[name](spark, sf_dir)
