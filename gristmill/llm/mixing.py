@@ -39,7 +39,7 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
 
 
 def fit(lengths: dict[int, int], budget: int, seed: str) -> dict[int, int]:
-    """How many documents of each length to take, of those there are, to come to ``budget`` words or just below.
+    """How many documents of each length to take, of those there are, to come as close to ``budget`` words as can be.
 
     Every length gives its share of the budget first; then, in a seeded order, one more document of some
     lengths; the last ``EXACT`` words are settled by a bounded knapsack over the documents left.
@@ -59,11 +59,11 @@ def fit(lengths: dict[int, int], budget: int, seed: str) -> dict[int, int]:
             taken[n] += 1
             left -= n
     # Sums that the documents so far can reach, one bit each, after each step.
-    within = (1 << (left + 1)) - 1
+    within = (1 << (2 * left + 1)) - 1
     steps: list[tuple[int, int, int]] = []
     reach = 1
     for n in order:
-        spare, size = min(lengths[n] - taken[n], left // n), 1
+        spare, size = min(lengths[n] - taken[n], 2 * left // n), 1
         while spare > 0 and not reach >> left & 1:
             count = min(size, spare)
             steps.append((n, count, reach))
@@ -72,7 +72,10 @@ def fit(lengths: dict[int, int], budget: int, seed: str) -> dict[int, int]:
             size *= 2
         if reach >> left & 1:
             break
-    rest = reach.bit_length() - 1
+    rest = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
+    if over := reach >> (left + 1):
+        above = left + (over & -over).bit_length()
+        rest = above if above - left < left - rest else rest
     for n, count, before in reversed(steps):
         if not before >> rest & 1:
             taken[n] += count

@@ -58,7 +58,7 @@ def _cells(cuts: int, tables: int, cosine: float):
             lines = _normal(tables * cuts, size, 1)
             shift = np.random.default_rng([SEED, 2]).random(tables * cuts)
             at = np.floor(np.stack([grid[i] for i in rows]) @ lines.T / step + shift).astype(np.int64)
-            h = np.zeros((len(rows), tables), dtype=np.uint64) + U(size)
+            h = mix(np.full((len(rows), tables), U(size), dtype=np.uint64))
             at = at.reshape(len(rows), tables, cuts).view(np.uint64)
             for c in range(cuts):
                 h = mix(h + at[:, :, c])

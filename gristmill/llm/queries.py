@@ -20,9 +20,9 @@ from gristmill.llm import (
     suffix_order,
 )
 from gristmill.llm.common import table
+from gristmill.llm.sql import SQL  # noqa: F401  (with the queries, for the driver)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -77,7 +77,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_edits.repeated_lines(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", "removed")
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
 
 
 @query
