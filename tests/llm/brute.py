@@ -76,6 +76,7 @@ def links(rows, cosine):
     for i, v, label in rows:
         v = None if not v or any(x is None for x in v) else np.array(v, dtype=np.float64)
         if label is not None and v is not None and np.isfinite(v).all() and v.any():
+            v = v / np.abs(v).max()
             unit[i] = (label, v / np.sqrt(v @ v))
     forest, degree = Forest([i for i, _, _ in rows]), Counter()
     groups = defaultdict(list)

@@ -59,6 +59,15 @@ def test_repeated_rows_and_rows_without_an_id(spark, sf_dir, odd_documents):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None and r["doc_id"] in (4, 5)) == [4]
 
 
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_same_as_sql(spark, sf_dir, name):
+    from oracle import compare, database
+
+    connection = database(sf_dir)
+    assert connection.execute(queries.SQL[name]).fetchmany(1)
+    assert compare(queries.QUERIES[name](spark, sf_dir), connection, queries.SQL[name]) is None
+
+
 def test_registered():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in queries.QUERIES}
