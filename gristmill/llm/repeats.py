@@ -203,6 +203,7 @@ def _settle(level: DataFrame, grouping: Grouping, last: bool) -> DataFrame:
     # goes on, as windows in it can also stand in a stretch that differs elsewhere.
     mixed = hits.where("NOT same")
     kinds = mixed.groupBy("head", "content").agg(F.count("*").alias("n"), F.min(F.struct(*columns)).alias("one"))
+    kinds = stored(kinds, "kinds")
     twice = kinds.where("n > 1").select("head", "content")
     settled = hits.where("same").select(*columns).unionByName(mixed.join(twice, ["head", "content"]).select(*columns))
     going = kinds.select("one.*").withColumn("settled", F.lit(False))
@@ -212,7 +213,8 @@ def _settle(level: DataFrame, grouping: Grouping, last: bool) -> DataFrame:
 def _hits(level: DataFrame, grouping: Grouping) -> DataFrame:
     runs = level.select("k1", "k2", F.inline(F.arrays_zip("heads", "contents", "lows", "highs", "leads")))
     runs = runs.toDF("k1", "k2", "head", "content", "low", "high", "lead")
-    return runs.join(grouping(runs.select("lead", "head", "content")), "head")
+    # Written, so that both sides of the join are plain exchanges and a hot head can be split.
+    return runs.join(stored(grouping(runs.select("lead", "head", "content")), "groups"), "head")
 
 
 def _spans(hits: DataFrame) -> DataFrame:
