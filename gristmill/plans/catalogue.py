@@ -7,6 +7,7 @@ from gristmill.plans import (
     message_models,
     model_checks,
     quality_checks,
+    report_facts,
     round_trips,
     sales_reports,
     segment_models,
@@ -29,6 +30,7 @@ REGISTERS = [
         message_models,
         model_checks,
         round_trips,
+        report_facts,
     )
 ]
 
