@@ -69,8 +69,12 @@ def search(frame: DataFrame, query: str, columns: Sequence[str], literal: bool =
     """Rows where any of ``columns`` holds ``query``, ignoring case; an empty query keeps all."""
     if not query:
         return frame
-    hits = [text.contains_pattern(F.col(c).cast("string"), query, literal) for c in columns]
-    return frame.filter(reduce(Column.__or__, hits))
+    return frame.filter(reduce(Column.__or__, [matches(c, query, literal) for c in columns]))
+
+
+def matches(column: str, query: str, literal: bool = False) -> Column:
+    """Whether a column, as text, holds ``query``, ignoring case."""
+    return text.contains_pattern(F.col(column).cast("string"), query, literal)
 
 
 def grep(lines: DataFrame, pattern: str, column: str = "value") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gristmill.functions import dates
@@ -333,8 +336,12 @@ SHOWN = "order_id, line_number, part_id, customer_name, segment, region, state,
 
 
 def _searched(spark, sf_dir, text, literal):
-    lines = tables.sales_lines(spark, sf_dir, *SHOWN.split(", "), "sales", "profit")
-    return projections.search(lines, text, ("customer_name", "product", "order_id", "state"), literal)
+    """Names, products and states are matched once each, not on every line that has them."""
+    searched = ("customer_name", "product", "state")
+    marks = {f"hit_{c}": projections.matches(c, text, literal) for c in searched}
+    lines = tables.sales_lines(spark, sf_dir, *SHOWN.split(", "), "sales", "profit", marks=marks)
+    found = reduce(Column.__or__, [F.coalesce(F.col(c), F.lit(False)) for c in marks])
+    return lines.filter(found | projections.matches("order_id", text, literal)).drop(*marks)
 
 
 def _search_sql(condition: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,13 @@ def _with_order(facts: DataFrame, sf_dir: str) -> DataFrame:
     return facts.join(orders, "order_id", "left")
 
 
-def _with_customer(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
+def _marked(dimension: DataFrame, marks: Mapping[str, Column]) -> DataFrame:
+    """Add the ``marks`` whose column, named after ``hit_``, the dimension has: once per row of it."""
+    own = {name: mark for name, mark in marks.items() if name.removeprefix("hit_") in dimension.columns}
+    return dimension.withColumns(own) if own else dimension
+
+
+def _with_customer(facts: DataFrame, sf_dir: str, wanted: set[str], marks: Mapping[str, Column]) -> DataFrame:
     spark = facts.sparkSession
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
@@ -59,6 +67,7 @@ def _with_customer(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame
         F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").alias("nation_id"),
     )
+    customers = _marked(customers, marks)
     if wanted & PLACE_COLUMNS:
         nations = table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("nation_id"),
@@ -68,11 +77,13 @@ def _with_customer(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame
         regions = table(spark, sf_dir, "region").select(
             F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region")
         )
-        customers = customers.join(nations.join(regions, "region_id", "left"), "nation_id", "left")
+        customers = customers.join(_marked(nations, marks).join(regions, "region_id", "left"), "nation_id", "left")
     return facts.join(customers, "customer_id", "left")
 
 
-def _with_dimensions(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFrame:
+def _with_dimensions(
+    facts: DataFrame, sf_dir: str, wanted: set[str], marks: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Add what is wanted of order, customer, nation and region, joining no further than needed.
 
     The joined keys are unique, so these left joins neither drop nor repeat a row, and
@@ -82,7 +93,7 @@ def _with_dimensions(facts: DataFrame, sf_dir: str, wanted: set[str]) -> DataFra
     needs_customer = bool(wanted & (PLACE_COLUMNS | CUSTOMER_COLUMNS))
     if needs_customer or wanted & ORDER_COLUMNS:
         facts = _with_order(facts, sf_dir)
-    return _with_customer(facts, sf_dir, wanted) if needs_customer else facts
+    return _with_customer(facts, sf_dir, wanted, marks or {}) if needs_customer else facts
 
 
 def _cents(price: Column) -> Column:
@@ -106,16 +117,21 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """One row per order line with just ``columns``."""
+def sales_lines(
+    spark: SparkSession, sf_dir: str, *columns: str, marks: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row per order line with just ``columns``.
+
+    ``marks`` are further columns ``hit_<column>``, worked out on the part, customer or nation before the joins.
+    """
     wanted = set(columns)
     lines = _lines(spark, sf_dir)
     if wanted & (PART_COLUMNS | {"profit"}):
-        lines = lines.join(_parts(spark, sf_dir), "part_id", "left")
+        lines = lines.join(_marked(_parts(spark, sf_dir), marks or {}), "part_id", "left")
         cost = F.col("quantity") * F.col("unit_cost") * 100
         lines = lines.withColumn("profit", (F.col("units") - cost) / float(numbers.UNITS))
     lines = lines.withColumn("sales", F.col("units") / float(numbers.UNITS))
-    return _with_dimensions(lines, sf_dir, wanted).select(*columns)
+    return _with_dimensions(lines, sf_dir, wanted, marks).select(*columns, *(marks or {}))
 
 
 def orders_sold(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -155,7 +171,7 @@ def customer_totals(spark: SparkSession, sf_dir: str, *columns: str) -> DataFram
         F.sum("lines").alias("lines"),
     )
     if wanted & (PLACE_COLUMNS | CUSTOMER_COLUMNS):
-        totals = _with_customer(totals, sf_dir, wanted)
+        totals = _with_customer(totals, sf_dir, wanted, {})
     return totals.select(*columns)
 
 
