@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import numbers, text
 from gristmill.operators import ranking, sampling
 from gristmill.operators.storage import stored
+from gristmill.session import written
 
 # Sizes of the two feature spaces, least document count of a word, the
 # parameter settings tried (regularisation, iterations, elastic net), thresholds,
@@ -269,9 +270,10 @@ def term_weights(
     """Term frequency, inverse document frequency and their product per document and term.
 
     The vocabulary has at most ``size`` rows, so it is broadcast and the term counts,
-    where common terms fill a large share of the rows, are not shuffled by term.
+    where common terms fill a large share of the rows, are not shuffled by term. The counts
+    are written once, so the texts are split once.
     """
-    counts = term_counts(documents, leave_out)
+    counts = written(term_counts(documents, leave_out), "term-counts")
     total = documents.select(F.count(F.lit(1))).scalar()
     terms = vocabulary(counts, total, size, least).select("term", "df", "idf")
     return counts.join(F.broadcast(terms), "term").withColumn("tf_idf", F.col("tf") * F.col("idf"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import text
 from gristmill.operators import projections, ranking
+from gristmill.session import written
 
 # The tags of each category, first match wins.
 TAG_CATEGORIES = {
@@ -61,8 +62,11 @@ def daily_leaders(posts: DataFrame) -> DataFrame:
 
 
 def group_leaders(posts: DataFrame, group: str, n: int = 3) -> DataFrame:
-    """Tags ranked 1 to ``n`` in each region or platform, ties included."""
-    counts = ranking.frequency(posts, [group, "hashtag"], f"{group}_count")
+    """Tags ranked 1 to ``n`` in each region or platform, ties included.
+
+    The ranking reads the counts twice, so they are written once: the posts are read once.
+    """
+    counts = written(ranking.frequency(posts, [group, "hashtag"], f"{group}_count"), "tag-counts")
     return ranking.top_n_with_ties(counts, group, f"{group}_count", n)
 
 
