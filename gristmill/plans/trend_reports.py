@@ -147,23 +147,32 @@ def trend_facts(spark, sf_dir):
     return reporting.trend_facts(trends.word_posts(tables.documents(spark, sf_dir, "lang", "source", "text")))
 
 
-@query(
-    "sliding_tags",
-    """WITH spread AS (
+WINDOWS = """WITH spread AS (
          SELECT to_timestamp(CAST(floor(epoch(ts) / 7200) * 7200 - 7200 * k AS BIGINT)) AT TIME ZONE 'UTC' AS window_start,
                 '#' || upper(trim(event_type)) AS hashtag
          FROM events CROSS JOIN generate_series(0, 2) AS steps(k)),
        counted AS (SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, hashtag, count(*) AS frequency
                    FROM spread GROUP BY 1, 2, 3)
        SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
-              strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, hashtag, frequency
-       FROM counted WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
-)
+              strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, hashtag, frequency FROM counted"""
+
+
+def _shown(windows):
+    return windows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
+
+
+@query("sliding_tags", f"{WINDOWS} WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
 def sliding_tags(spark, sf_dir):
     """Streamed: all windows that ended before the watermark."""
     schema = tables.table(spark, sf_dir, "events").schema
-    events = sliding.read_posts(spark, f"{sf_dir}/events*.parquet", schema)
+    # The brackets make a glob of the one name: a stream reads folders and globs, and the table may be a single file.
+    events = sliding.read_posts(spark, f"{sf_dir}/event[s].parquet", schema)
     counts = sliding.sliding_counts(events.select("ts", F.col("event_type").alias("hashtag")))
-    finished = sliding.run_available(counts, spark)
-    shown = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")}
-    return finished.withColumns(shown)
+    return _shown(sliding.run_available(counts, spark))
+
+
+@query("sliding_tags_complete", WINDOWS)
+def sliding_tags_complete(spark, sf_dir):
+    """The same counts over the finished table: all windows, those still open at its end included."""
+    posts = tables.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("hashtag"))
+    return _shown(sliding.sliding_counts(posts))

@@ -10,9 +10,16 @@ from gristmill.operators import projections
 from gristmill.session import new_folder
 
 
-def read_posts(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Parquet files as a stream; new ones join as they appear. ``path`` is a folder, or a glob for single files."""
-    return spark.readStream.schema(schema).parquet(path)
+def read_posts(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files as a stream; new ones join as they appear. ``path`` is a folder, or a glob for single files.
+
+    ``files_per_batch`` bounds a batch, and with it the state of a first run over a long history. The watermark
+    then moves from batch to batch, oldest files first: files must not hold posts later than the delay allows.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def sliding_counts(

@@ -79,3 +79,23 @@ def test_display_keeps_exactly_n(spark):
     posts = [("e", t) for t in "aabbccd"]
     frame = spark.createDataFrame(posts, "region STRING, hashtag STRING")
     assert [r[1] for r in rows(trends.group_display(frame, "region", 2))] == ["a", "b"]
+
+
+def test_a_stream_in_bounded_batches(spark, tmp_path):
+    """The same windows, with two files at a time."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from gristmill.streaming import sliding
+
+    folder = str(tmp_path / "posts")
+    for hour in range(6):
+        post = [(datetime(2024, 1, 1, hour, 30), "a")]
+        spark.createDataFrame(post, "ts TIMESTAMP, hashtag STRING").coalesce(1).write.mode("append").parquet(folder)
+    counts = []
+    for size in (None, 2):
+        posts = sliding.read_posts(spark, folder, "ts TIMESTAMP, hashtag STRING", size)
+        done = sliding.run_available(sliding.sliding_counts(posts, "1 hour", "1 hour", "2 hours"), spark)
+        counts.append(rows(done.select(F.hour("window_start"), "frequency")))
+    assert counts[0] == counts[1] == [(0, 1), (1, 1), (2, 1)]
