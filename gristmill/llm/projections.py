@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,45 +86,123 @@ def _unit(vectors: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def _pairs(cosine: float, with_self: bool):
+def _forest(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of the edges that join what is not yet joined."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i, k in edges:
+        x, y = find(i), find(k)
+        if x != y:
+            parent[x] = y
+            kept.append((i, k))
+    return kept
+
+
+def _linked(unit: np.ndarray, cells: np.ndarray, side: np.ndarray | None, table: int, cosine: float) -> tuple:
+    """Index pairs linked in one block pair, each only in the first table where the two share a cell."""
     half = WINDOW * deviation(cosine)
+    shadow = unit @ _lines(unit.shape[1]).T
+    order = np.argsort(shadow[:, 0], kind="stable")
+    unit, shadow, cells = unit[order], shadow[order], cells[order]
+    found: tuple[list, list] = ([], [])
+    for start in range(0, len(unit), 256):
+        query = slice(start, min(len(unit), start + 256))
+        # On the first, sorted projection the windows are a stretch; the others are counted inside it.
+        low = np.searchsorted(shadow[:, 0], shadow[query][0, 0] - half)
+        high = np.searchsorted(shadow[:, 0], shadow[query][-1, 0] + half, "right")
+        near = np.abs(shadow[query, None, :] - shadow[None, low:high, :]) <= half
+        i, k = np.nonzero(near.sum(axis=2, dtype=np.uint8) >= NEEDED)
+        i, k = i + start, k + low
+        use = i < k if side is None else (side[order[i]] == 0) & (side[order[k]] == 1)
+        i, k = i[use], k[use]
+        for part in range(0, len(i), 65536):
+            x, y = i[part : part + 65536], k[part : part + 65536]
+            linked = np.einsum("ij,ij->i", unit[x], unit[y]) >= cosine
+            x, y = x[linked], y[linked]
+            new = ~(cells[x, :table] == cells[y, :table]).any(axis=1)
+            found[0].append(order[x[new]])
+            found[1].append(order[y[new]])
+    return tuple(np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in found)
+
+
+_known_lines: dict[int, np.ndarray] = {}
+
+
+def _lines(dimensions: int) -> np.ndarray:
+    if dimensions not in _known_lines:
+        _known_lines[dimensions] = _normal(COUNTED, dimensions, 3)
+    return _known_lines[dimensions]
+
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        """Links of one block pair of a cell, each only in the first table where the two share a cell."""
-        edges: tuple[list, list] = ([], [])
-        unit = np.stack(group["unit"].to_numpy())
-        lines = _normal(COUNTED, unit.shape[1], 3)
-        shadow = unit @ lines.T
-        order = np.argsort(shadow[:, 0], kind="stable")
-        unit, shadow = unit[order], shadow[order]
-        nodes, cells = group["node"].to_numpy()[order], np.stack(group["cells"].to_numpy())[order]
-        side, table = group["side"].to_numpy()[order], int(group["at"].iloc[0])
-        diagonal = bool(group["one"].iloc[0] == group["two"].iloc[0])
-        for start in range(0, len(unit), 256):
-            query = slice(start, min(len(unit), start + 256))
-            # On the first, sorted projection the windows are a stretch; the others are counted inside it.
-            low = np.searchsorted(shadow[:, 0], shadow[query][0, 0] - half)
-            high = np.searchsorted(shadow[:, 0], shadow[query][-1, 0] + half, "right")
-            count = np.zeros((query.stop - start, high - low), dtype=np.uint8)
-            for j in range(COUNTED):
-                count += np.abs(shadow[query, j, None] - shadow[None, low:high, j]) <= half
-            i, k = np.nonzero(count >= NEEDED)
-            i, k = i + start, k + low
-            use = i < k if diagonal else (side[i] == 0) & (side[k] == 1)
-            i, k = i[use], k[use]
-            near = np.empty(len(i), dtype=bool)
-            for a in range(0, len(i), 65536):
-                b = slice(a, a + 65536)
-                near[b] = np.einsum("ij,ij->i", unit[i[b]], unit[k[b]]) >= cosine
-            i, k = i[near], k[near]
-            new = ~(cells[i, :table] == cells[k, :table]).any(axis=1)
-            edges[0].append(nodes[i[new]])
-            edges[1].append(nodes[k[new]])
-        return pd.DataFrame({"a": np.concatenate(edges[0]), "b": np.concatenate(edges[1])})
+#: Columns that tell the groups of a sorted partition apart.
+GROUP = ["spot", "label_hash", "at", "cell", "one", "two"]
+
+
+def _links(cosine: float):
+    """Over sorted rows: a degree per vector (b is null) and the edges of a spanning forest, group by group.
+
+    A group is a pair of blocks, so at most about two blocks of rows are held between batches.
+    """
+    names = ["a", "b", "n"]
+
+    def solve(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = np.stack([rows.column(c).to_numpy() for c in GROUP])
+        first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+        nodes = rows.column("node").to_pylist()
+        sides, copies = rows.column("side").to_numpy(), rows.column("copies").to_numpy()
+        flat = {c: _rows_of(rows.column(c)) for c in ("unit", "cells")}
+        out: tuple[list, list, list] = ([], [], [])
+        for start, end in zip(first, np.append(first[1:], rows.num_rows)):
+            if end - start < 2:
+                continue
+            diagonal = keys[4, start] == keys[5, start]
+            unit, cells = (np.stack(flat[c][start:end]) for c in ("unit", "cells"))
+            i, k = _linked(unit, cells, None if diagonal else sides[start:end], int(keys[2, start]), cosine)
+            if len(i):
+                degree = np.bincount(i, copies[start + k], end - start) + np.bincount(k, copies[start + i], end - start)
+                some = np.flatnonzero(degree)
+                edges = _forest(list(zip(i.tolist(), k.tolist())))
+                out[0].extend([nodes[start + x] for x in some] + [nodes[start + x] for x, _ in edges])
+                out[1].extend([None] * len(some) + [nodes[start + y] for _, y in edges])
+                out[2].extend([int(degree[x]) for x in some] + [0] * len(edges))
+        kinds = (pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(out, kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            if not rows.num_rows:
+                continue
+            last = [rows.column(c)[rows.num_rows - 1].as_py() for c in GROUP]
+            same = np.logical_and.reduce([rows.column(c).to_numpy() == v for c, v in zip(GROUP, last)])
+            cut = int(np.argmax(same))
+            held = rows.slice(cut).combine_chunks()
+            if cut:
+                yield from solve(rows.slice(0, cut).combine_chunks())
+        if held is not None and held.num_rows:
+            yield from solve(held)
 
     return run
 
 
+def _rows_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """A list column as one array per row, cut from a single flat one."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    flat, cuts = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    cuts = cuts - cuts[0]
+    return [flat[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """Links between vectors of equal label whose cosine reaches the threshold, and their components.
 
@@ -159,24 +239,23 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     cuts, tables = layout(most)
     cells = F.pandas_udf(_cells(cuts, tables, cosine), T.ArrayType(T.LongType()))
     classes = stored(classes.withColumn("node", node).withColumn("cells", cells("unit")), "vector-classes")
-    spots = classes.select("label", "node", "unit", "cells", F.posexplode("cells").alias("at", "cell"))
+    spots = classes.select("label", "node", "unit", "cells", "copies", F.posexplode("cells").alias("at", "cell"))
     sizes = spots.groupBy("label", "at", "cell").agg(F.count("*").alias("size")).where("size > 1")
     spots = spots.join(sizes, ["label", "at", "cell"]).withColumn("blocks", F.expr(f"int(ceil(size / {BLOCK}))"))
     own = F.expr("pmod(xxhash64(node), blocks)").cast("int")
     spots = spots.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     spots = spots.select(
-        "label", "at", "cell", "node", "unit", "cells",
+        F.xxhash64("label", "at", "cell").alias("spot"), F.xxhash64("label").alias("label_hash"), "at", "cell",
         F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
+        "node", "unit", "cells", "copies",
     )
-    links = stored(
-        spots.groupBy("label", "at", "cell", "one", "two").applyInPandas(_pairs(cosine, True), "a string, b string"),
-        "vector-links",
-    )
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = classes.select(F.col("node").alias("b"), "copies")
-    degrees = both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    parts = components(links, "vector-parts")
+    # Sorted groups instead of one call per group: most cells hold a few vectors.
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = spots.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
+    links = stored(met.mapInArrow(_links(cosine), "a string, b string, n long"), "vector-links")
+    degrees = links.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("others"))
+    parts = components(links.where("b IS NOT NULL").select("a", "b"), "vector-parts")
     known = (
         classes.select("label", "c1", "c2", "copies", "first_id", "node")
         .join(degrees.withColumnRenamed("a", "node"), "node", "left")
