@@ -40,6 +40,7 @@ def test_leading_zeros_stay(orders):
     assert orders.orderBy("orderid").first()["orderid"] == "0001"
 
 
+# The totals in the tests below are those that these order lines must give.
 def test_category_revenue(orders):
     assert in_order(sales.total_by(orders, ["category"], "revenue", "total")) == [
         ("Electronics", 385000.0), ("Furniture", 120000.0), ("Footwear", 30000.0),

@@ -9,16 +9,87 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gristmill.operators import series, slicing
-
-# Trading days and prices of the fixture.
-DAYS = [f"2026-01-{d:02d}" for d in (5, 6, 7, 8, 9, 12, 13, 14, 15, 16, 19, 20, 21, 22, 23)]
-PRICES = {
-    "AAPL": [185.0, 185.5, 184.2, 186.8, 188.1, 187.5, 189.9, 191.2, 190.4, 192.8, 194.1, 193.5, 196.2, 195.8, 198.5],
-    "GOOGL": [160.0, 159.9, 161.4, 163.5, 164.2, 162.8, 165.1, 164.7, 166.3, 168.0, 167.5, 169.8, 171.0, 170.4, 173.2],
-    "MSFT": [415.0, 416.2, 414.8, 418.5, 422.0, 420.5, 424.3, 423.8, 426.1, 429.5, 428.2, 431.0, 433.8, 432.5, 436.0],
-    "AMZN": [175.0, 177.05, 176.8, 178.9, 180.2, 182.4, 184.5, 186.1, 185.4, 188.7, 190.2, 192.5, 194.1, 193.8, 197.0],
-    "TSLA": [210.0, 208.5, 212.0, 206.4, 205.1, 209.8, 214.2, 218.6, 215.0, 222.4, 220.1, 226.5, 231.0, 228.4, 235.2],
-}
+from gristmill.sources import datasets
+
+# The price rows of the fixture.
+PRICES = """Timestamp,Stock,Price
+2026-01-05,AAPL,185.00
+2026-01-05,GOOGL,160.00
+2026-01-05,MSFT,415.00
+2026-01-05,AMZN,175.00
+2026-01-05,TSLA,210.00
+2026-01-06,AAPL,185.50
+2026-01-06,GOOGL,159.90
+2026-01-06,MSFT,416.20
+2026-01-06,AMZN,177.05
+2026-01-06,TSLA,208.50
+2026-01-07,AAPL,184.20
+2026-01-07,GOOGL,161.40
+2026-01-07,MSFT,414.80
+2026-01-07,AMZN,176.80
+2026-01-07,TSLA,212.00
+2026-01-08,AAPL,186.80
+2026-01-08,GOOGL,163.50
+2026-01-08,MSFT,418.50
+2026-01-08,AMZN,178.90
+2026-01-08,TSLA,206.40
+2026-01-09,AAPL,188.10
+2026-01-09,GOOGL,164.20
+2026-01-09,MSFT,422.00
+2026-01-09,AMZN,180.20
+2026-01-09,TSLA,205.10
+2026-01-12,AAPL,187.50
+2026-01-12,GOOGL,162.80
+2026-01-12,MSFT,420.50
+2026-01-12,AMZN,182.40
+2026-01-12,TSLA,209.80
+2026-01-13,AAPL,189.90
+2026-01-13,GOOGL,165.10
+2026-01-13,MSFT,424.30
+2026-01-13,AMZN,184.50
+2026-01-13,TSLA,214.20
+2026-01-14,AAPL,191.20
+2026-01-14,GOOGL,164.70
+2026-01-14,MSFT,423.80
+2026-01-14,AMZN,186.10
+2026-01-14,TSLA,218.60
+2026-01-15,AAPL,190.40
+2026-01-15,GOOGL,166.30
+2026-01-15,MSFT,426.10
+2026-01-15,AMZN,185.40
+2026-01-15,TSLA,215.00
+2026-01-16,AAPL,192.80
+2026-01-16,GOOGL,168.00
+2026-01-16,MSFT,429.50
+2026-01-16,AMZN,188.70
+2026-01-16,TSLA,222.40
+2026-01-19,AAPL,194.10
+2026-01-19,GOOGL,167.50
+2026-01-19,MSFT,428.20
+2026-01-19,AMZN,190.20
+2026-01-19,TSLA,220.10
+2026-01-20,AAPL,193.50
+2026-01-20,GOOGL,169.80
+2026-01-20,MSFT,431.00
+2026-01-20,AMZN,192.50
+2026-01-20,TSLA,226.50
+2026-01-21,AAPL,196.20
+2026-01-21,GOOGL,171.00
+2026-01-21,MSFT,433.80
+2026-01-21,AMZN,194.10
+2026-01-21,TSLA,231.00
+2026-01-22,AAPL,195.80
+2026-01-22,GOOGL,170.40
+2026-01-22,MSFT,432.50
+2026-01-22,AMZN,193.80
+2026-01-22,TSLA,228.40
+2026-01-23,AAPL,198.50
+2026-01-23,GOOGL,173.20
+2026-01-23,MSFT,436.00
+2026-01-23,AMZN,197.00
+2026-01-23,TSLA,235.20
+"""
+# The report that these prices must give.
 REPORT = [
     ("AMZN", 175.0, 197.0, 185.51, 175.0, 197.0, 12.57, 0.67),
     ("TSLA", 210.0, 235.2, 217.55, 205.1, 235.2, 12.0, 1.96),
@@ -30,10 +101,10 @@ ORDER = ("day",)
 
 
 @pytest.fixture(scope="module")
-def stocks(spark):
-    ticks = [(s, d, p) for s, prices in PRICES.items() for d, p in zip(DAYS, prices)]
-    frame = spark.createDataFrame(ticks, "stock STRING, day STRING, price DOUBLE")
-    return frame.withColumn("day", F.to_date("day"))
+def stocks(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("prices") / "prices.csv"
+    path.write_text(PRICES)
+    return datasets.prices(spark, str(path)).withColumnRenamed("ts", "day")
 
 
 @pytest.mark.parametrize("slice_rows", [1000, 10])
@@ -149,4 +220,6 @@ def test_endpoints_on_every_row(stocks):
 
 def test_next_value(stocks):
     frame = series.with_next(stocks, order=ORDER, slice_rows=10).filter("stock = 'AAPL'").orderBy("day")
-    assert [r["next_price"] for r in frame.collect()] == PRICES["AAPL"][1:] + [None]
+    assert [r["next_price"] for r in frame.collect()] == [
+        float(line.split(",")[2]) for line in PRICES.split() if ",AAPL," in line
+    ][1:] + [None]
