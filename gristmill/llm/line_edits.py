@@ -203,7 +203,8 @@ def repeated_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
         F.when(later, F.col("h1_a")).otherwise(F.col("h1_b")).alias("h1"),
         F.when(later, F.col("h2_a")).otherwise(F.col("h2_b")).alias("h2"),
     ).distinct()
-    classes = classes.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+    # Written, so that the join with all lines is one of two plain exchanges and a very common line can be split.
+    classes = stored(classes.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left"), "line-classes")
     judged = numbered.join(classes, ["h1", "h2"], "left")
     goes = F.col("h1").isNotNull() & (F.col("near").isNotNull() | (F.col("place") > F.col("first")))
     judged = judged.withColumn("goes", F.when(goes, F.col("number")))
