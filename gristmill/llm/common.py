@@ -193,10 +193,12 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     state = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # The minima are written, so that a node with very many edges can be split in the join.
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = stored(least, purpose)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), purpose)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), purpose)
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         pairs = stored(
             small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), purpose

@@ -167,8 +167,10 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     )
     filled = profiles.where("f1 IS NOT NULL")
     banded = filled.select("f1", F.explode("bands").alias("band"))
+    # What is joined back by a key that many rows share is written first: only between two plain exchanges does
+    # adaptive execution split such a key.
     buckets = banded.groupBy("band").agg(F.min("f1").alias("low"), F.max("f1").alias("high")).where("low < high")
-    near = banded.join(buckets.select("band", "low"), "band").where("f1 <> low")
+    near = banded.join(stored(buckets.select("band", "low"), "minmax-buckets"), "band").where("f1 <> low")
     clusters = components(near.select(F.col("f1").alias("a"), F.col("low").alias("b")), "minmax-clusters")
 
     node = F.concat(F.hex("f1"), F.lit("-"), F.hex("f2"))
@@ -185,7 +187,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         ).cast("int").alias("blocks"),
         *[F.min(F.struct(F.xxhash64(F.lit(i), "f1", "f2"), node)).getField("col2").alias(f"p{i}") for i in range(PIVOTS)],
     )
-    sets = sets.join(per_cluster, "cluster").withColumn("block", F.expr("pmod(hash(node), blocks)"))
+    sets = sets.join(stored(per_cluster, "minmax-sizes"), "cluster").withColumn("block", F.expr("pmod(hash(node), blocks)"))
     sets = stored(
         sets.withColumn("pivot", F.expr(" OR ".join(f"node = p{i}" for i in range(PIVOTS)))).drop(
             *[f"p{i}" for i in range(PIVOTS)]
@@ -210,13 +212,13 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
         wide.groupBy("cluster", "part").agg(F.count("*").alias("c"))
         .groupBy("cluster").agg(F.max(F.struct("c", "part")).getField("part").alias("largest"))
     )
-    marked = wide.join(largest, "cluster").withColumn("outlier", F.col("part") != F.col("largest"))
+    marked = wide.join(stored(largest, "minmax-largest"), "cluster").withColumn("outlier", F.col("part") != F.col("largest"))
     shares = marked.where("outlier").groupBy("cluster").agg(
         F.greatest(
             F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)), F.ceil(F.count("*") / F.lit(BLOCK_DOCUMENTS))
         ).cast("int").alias("rows")
     )
-    marked = marked.join(shares, "cluster")
+    marked = marked.join(stored(shares, "minmax-shares"), "cluster")
     columns = ["cluster", "row", "block", "node", "members", "outlier"]
     left = (
         marked.where("outlier")
@@ -233,7 +235,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     roots = first.withColumn("node", node).join(final, "node", "left")
     roots = roots.select("f1", "f2", "first_id", F.coalesce("component", "node").alias("component"))
     ids = roots.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    found = roots.join(ids, "component").select("f1", "f2", "component_id")
+    found = roots.join(stored(ids, "minmax-ids"), "component").select("f1", "f2", "component_id")
     out = profiles.join(found, ["f1", "f2"], "left").withColumn(
         "component_id", F.when(F.col("f1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     )
