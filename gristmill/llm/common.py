@@ -185,20 +185,18 @@ def signed(x: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """``node, component``: the smallest node reachable over ``edges(a, b)``; nodes without an edge are absent.
 
-    Rounds of large-star and small-star, each a minimum per node (combined before the shuffle) and a join,
-    which adaptive execution splits where one node has very many edges. Every round is a stored table.
+    Rounds of large-star and small-star, each a minimum per node (combined before the shuffle) and a join.
+    Every round is a stored table.
     """
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     pairs = stored(pairs, purpose)
     state = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # The minima are written, so that a node with very many edges can be split in the join.
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        least = stored(least, purpose)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct(), purpose)
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), purpose)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         pairs = stored(
             small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), purpose
