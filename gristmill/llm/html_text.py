@@ -43,6 +43,9 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: Characters outside links from which a block counts as prose, and the share of the article that text beside it in
+#: the body must have to belong to it.
+PROSE, BESIDE = 40, 0.25
 _TOKEN = re.compile(r"[a-z]+|\d+")
 _SCOPE = frozenset({"table", "td", "th", "body", "html"})
 
@@ -60,7 +63,8 @@ class Page(HTMLParser):
         # Open elements: tag, container that holds their text, inside something dropped, inside a link.
         self.open: list[tuple[str, int, bool, bool]] = []
         self.parents, self.paths, self.tags = [-1], [""], [""]
-        self.blocks: list[tuple[int, str, int]] = []
+        # Container, words, characters inside links, whether it is a title.
+        self.blocks: list[tuple[int, str, int, bool]] = []
         self.text: list[str] = []
         self.linked = 0
         self.feed(html)
@@ -73,10 +77,10 @@ class Page(HTMLParser):
     def _break(self) -> None:
         words = " ".join("".join(self.text).split())
         if words:
-            self.blocks.append((self.at, words, self.linked))
+            self.blocks.append((self.at, words, self.linked, self.title))
         self.text, self.linked = [], 0
 
-    at = 0
+    at, title = 0, False
 
     def _end(self, index: int) -> None:
         if any(tag in BLOCK or dropped for tag, _, dropped, _ in self.open[index:]):
@@ -141,13 +145,14 @@ class Page(HTMLParser):
         if not dropped:
             if not self.text:
                 self.at = holder
+                self.title = any(e[0] == "h1" for e in self.open)
             self.text.append(data)
             self.linked += len(data) if linked else 0
 
     def best(self) -> tuple[str, float]:
-        """Path and score of the container with the most text of its own: prose counts, links count against it."""
+        """Path of the article and score of its best container: prose counts, links count against it."""
         scores = [0.0] * len(self.paths)
-        for holder, words, linked in self.blocks:
+        for holder, words, linked, _ in self.blocks:
             gain = len(words) - 2.0 * linked
             scores[holder] += gain
             if holder:
@@ -156,14 +161,59 @@ class Page(HTMLParser):
             (s * (1.5 if self.tags[i] in ("article", "main") else 1.0), -i) for i, s in enumerate(scores)
         ]
         score, place = max(ranked)
-        return self.paths[-place], score
+        return self.paths[self._whole({-place}, True).pop()], score
 
-    def under(self, path: str) -> str | None:
-        """Text of all containers on that path, blocks joined by spaces; None if there is no such container."""
+    def _inside(self, tops: set[int]) -> list[bool]:
         inside = [False] * len(self.paths)
         for i in range(len(self.paths)):
-            inside[i] = self.paths[i] == path or i > 0 and inside[self.parents[i]]
-        return " ".join(words for holder, words, _ in self.blocks if inside[holder]) if any(inside) else None
+            inside[i] = i in tops or i > 0 and inside[self.parents[i]]
+        return inside
+
+    def _whole(self, parts: set[int], body: bool) -> set[int]:
+        """The containers that hold the rest of the articles of which these are parts.
+
+        That is the nearest article or main around a part. Without one it is the highest container below the body that
+        adds prose or a title to what its parts hold. If there is none, and ``body`` allows it, it is the body, where
+        the prose beside the part is ``BESIDE`` of it or more.
+        """
+        inside = self._inside(parts)
+        own, count, gain = 0.0, [0] * len(self.paths), [0.0] * len(self.paths)
+        for holder, words, linked, title in self.blocks:
+            size = len(words) - 2.0 * linked
+            if inside[holder]:
+                own += size
+            elif title or size >= PROSE:
+                count[holder] += 1
+                gain[holder] += size
+        for i in range(len(self.paths) - 1, 0, -1):
+            count[self.parents[i]] += count[i]
+            gain[self.parents[i]] += gain[i]
+        out = set()
+        for part in parts:
+            chain = [part]
+            while chain[-1]:
+                chain.append(self.parents[chain[-1]])
+            found = next((i for i in chain if self.tags[i] in ("article", "main")), None)
+            if found is None:
+                found = part
+                for i in chain[1:]:
+                    if self.tags[i] not in ("", "body"):
+                        found = i if count[i] > count[found] else found
+                    elif body and found == part and count[i] > count[found] and gain[i] >= BESIDE * own:
+                        found = i
+            out.add(found)
+        return out
+
+    def under(self, path: str) -> str | None:
+        """Text of all containers on that path and of the articles that they are parts of, blocks joined by spaces.
+
+        None if there is no such container.
+        """
+        tops = {i for i in range(len(self.paths)) if self.paths[i] == path}
+        if not tops:
+            return None
+        inside = self._inside(self._whole(tops, False))
+        return " ".join(words for holder, words, _, _ in self.blocks if inside[holder])
 
 
 def host_of(url: str | None) -> str:
@@ -213,9 +263,11 @@ def main_text(pages: DataFrame) -> DataFrame:
     A null or empty html, or one without text, gives an empty text. Addresses without a host are one host.
     Repeated rows are alike, each votes; other columns are ignored.
 
-    Every page scores its containers and votes for the path (tags and classes, digits generalised) of the best;
+    Every page scores its containers and votes for the path (tags and classes, digits generalised) of the article
+    that the best is a part of: the article or main around it, or else the container that adds prose or a title;
     votes are counted per host, a tie goes to the larger score and then the last path. The winning path is then
-    extracted from every page of the host; a page without such a container gives its own best one.
+    extracted from every page of the host, with what the page's own article adds to it; a page without such a
+    container gives its own best one.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     votes = arrow_rows(rows.select("url", "html"), _votes, "host string, path string, n long, score double", ("html",))

@@ -189,6 +189,35 @@ def test_hosts_agree_on_a_path(spark):
     assert texts == [f"One {WANTED}"] * 3 + ["Short.", WANTED, "", "", "bare"]
 
 
+def sentences(n, word="word"):
+    return " ".join(f"{word} {i} of a sentence." for i in range(n))
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div class='story'"])
+def test_articles_of_several_parts(spark, around):
+    """Title, lead and body in containers of their own; a body in two unlike sections."""
+    lead, long, short = sentences(5, "lead"), sentences(50, "long"), sentences(33, "short")
+    nested = f"<h1>The title</h1><div class=lead>{lead}</div><div class=body><p>{long}</p></div>"
+    deep = f"<div class=top><h1>The title</h1></div><div class=text><div class=a>{long}</div><div class=b>{short}</div></div>"
+    split = f"<div class=one><p>{long}</p></div><section class=two><p>{short}</p></section>"
+    texts = page_texts(spark, [(f"http://{i}.example/", wrapped(x, around)) for i, x in enumerate([nested, deep, split])])
+    assert texts == [f"The title {lead} {long}", f"The title {long} {short}", f"{long} {short}"]
+
+
+def test_parts_that_stand_in_the_body(spark):
+    one, two = sentences(30, "one"), sentences(20, "two")
+    page = f"<body><nav>Home</nav><section class=a>{one}</section><section class=b>{two}</section><footer>f</footer></body>"
+    lone = f"<body><div class=text><p>{one}</p></div><div class=tagline>{sentences(2, 'site')}</div></body>"
+    assert page_texts(spark, [("http://a.example/", page), ("http://b.example/", lone)]) == [f"{one} {two}", one]
+
+
+def test_parts_that_some_pages_of_a_host_lack(spark):
+    body, lead = sentences(50, "body"), sentences(5, "lead")
+    plain_page, more = (f"<div class=story>{x}<div class=body><p>{body}</p></div></div>" for x in ("", f"<div class=lead>{lead}</div>"))
+    pages = [("http://h.example/", wrapped(x, "div class=page")) for x in (plain_page, plain_page, more)]
+    assert page_texts(spark, pages) == [body, body, f"{lead} {body}"]
+
+
 def test_pages(spark, sf_dir):
     result = queries.op4_html_extraction(spark, sf_dir).collect()
     sources = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
