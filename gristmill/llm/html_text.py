@@ -50,9 +50,19 @@ _TOKEN = re.compile(r"[a-z]+|\d+")
 _SCOPE = frozenset({"table", "td", "th", "body", "html"})
 
 
+#: Words of a class name behind which the rest says what else the page has, or has not.
+_BESIDE = frozenset("has no not with without".split())
+
+
 def _tokens(value: str) -> list[str]:
-    """Words of class names and ids in lower case: ``adBox-1`` has ad, box, 1."""
-    return _TOKEN.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
+    """Words of class names and ids in lower case: ``adBox-1`` has ad, box, 1, and ``page-with-nav`` has page."""
+    found = []
+    for name in value.split():
+        for word in _TOKEN.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()):
+            if word in _BESIDE:
+                break
+            found.append(word)
+    return found
 
 
 class Page(HTMLParser):
@@ -60,30 +70,80 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        # Open elements: tag, container that holds their text, inside something dropped, inside a link.
-        self.open: list[tuple[str, int, bool, bool]] = []
+        # Open elements: tag, container that holds their text, inside something dropped, inside a link, innermost
+        # marked element around them, and whether they are that element.
+        self.open: list[tuple[str, int, bool, bool, int, bool]] = []
         self.parents, self.paths, self.tags = [-1], [""], [""]
-        # Container, words, characters inside links, whether it is a title.
+        # Container, words, characters inside links, whether it is a title; the marked element around each.
         self.blocks: list[tuple[int, str, int, bool]] = []
+        self.marked: list[int] = []
+        # Marked elements: the one around, and what tells a layout wrapper: 2 for main, 1 for an article or a title.
+        self.outer: list[int] = []
+        self.holds: list[int] = []
         self.text: list[str] = []
         self.linked = 0
         self.feed(html)
         self.close()
         self._break()
+        kept = self._wrappers()
+        if kept is not None:
+            self.blocks = [b for b, m in zip(self.blocks, self.marked) if m < 0 or kept[m]]
+
+    def _state(self) -> tuple[int, bool, bool, int]:
+        return self.open[-1][1:5] if self.open else (0, False, False, -1)
 
-    def _state(self) -> tuple[int, bool, bool]:
-        return self.open[-1][1:] if self.open else (0, False, False)
+    def _wrappers(self) -> list[bool] | None:
+        """Of the marked elements, those that stay with all around them; None if there is no marked element.
+
+        An element that holds the main element stays, as does one that holds an article or a title and most of the
+        prose that is not in other marked elements. If no text were left, one that holds most of the prose stays,
+        and one inside of it only where nearly all stands in that.
+        """
+        if not self.outer:
+            return None
+        n = len(self.outer)
+        own, all_prose, bare = [0.0] * n, 0.0, True
+        live = [False] * n
+        for i in range(n):
+            live[i] = self.holds[i] > 0 and (self.outer[i] < 0 or live[self.outer[i]])
+        whole, total = [0.0] * n, 0.0
+        for (_, words, linked, _), m in zip(self.blocks, self.marked):
+            size = max(0.0, len(words) - 2.0 * linked)
+            all_prose += size
+            if m < 0:
+                bare = bare and not size
+            else:
+                own[m] += size
+            if m < 0 or live[m]:
+                total += size
+                if m >= 0:
+                    whole[m] += size
+        for i in range(n - 1, -1, -1):
+            if self.outer[i] >= 0:
+                own[self.outer[i]] += own[i]
+                whole[self.outer[i]] += whole[i]
+        kept = [False] * n
+        for i in range(n):
+            fits = live[i] and (self.holds[i] > 1 or 2 * whole[i] > total)
+            kept[i] = fits and (self.outer[i] < 0 or kept[self.outer[i]])
+        if bare and not any(kept):
+            for i in range(n):
+                around = self.outer[i]
+                fits = own[i] >= PROSE and 2 * own[i] > all_prose
+                kept[i] = fits and (around < 0 or kept[around] and own[around] - own[i] < PROSE)
+        return kept
 
     def _break(self) -> None:
         words = " ".join("".join(self.text).split())
         if words:
             self.blocks.append((self.at, words, self.linked, self.title))
+            self.marked.append(self.mark)
         self.text, self.linked = [], 0
 
-    at, title = 0, False
+    at, title, mark = 0, False, -1
 
     def _end(self, index: int) -> None:
-        if any(tag in BLOCK or dropped for tag, _, dropped, _ in self.open[index:]):
+        if any(e[0] in BLOCK or e[2] or e[5] for e in self.open[index:]):
             self._break()
         del self.open[index:]
 
@@ -110,16 +170,27 @@ class Page(HTMLParser):
                     self._end(i)
                     if tag not in ("tr", "td", "th") or self.open and self.open[-1][0] not in ended:
                         break
-        holder, dropped, linked = self._state()
+        holder, dropped, linked, mark = self._state()
+        begins = False
         names = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
         if tag not in ("html", "body", "article", "main"):
             words = _tokens(f"{names.get('class', '')} {names.get('id', '')} {names.get('role', '')}")
-            dropped = (
-                dropped or tag in DROPPED or "hidden" in names or names.get("aria-hidden") == "true"
-                or not MARKS.isdisjoint(words)
-            )
-        if tag in BLOCK or dropped:
+            dropped = dropped or tag in DROPPED or "hidden" in names or names.get("aria-hidden") == "true"
+            begins = not dropped and not MARKS.isdisjoint(words)
+        if tag in BLOCK or dropped or begins:
             self._break()
+        if begins:
+            self.outer.append(mark)
+            self.holds.append(0)
+            mark = len(self.outer) - 1
+        if tag in ("article", "main", "h1") and not dropped and mark >= 0:
+            of_main = tag == "main"
+            # The article of a comment or a teaser says so itself.
+            if of_main or MARKS.isdisjoint(_tokens(f"{names.get('class', '')} {names.get('id', '')}")):
+                i = mark
+                while i >= 0 and self.holds[i] < 1 + of_main:
+                    self.holds[i] = 1 + of_main
+                    i = self.outer[i]
         if tag in CONTAINER:
             classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in names.get("class", "").split()})
             label = ".".join([tag, *classes])
@@ -127,7 +198,7 @@ class Page(HTMLParser):
             self.paths.append(f"{self.paths[holder]}>{label}" if self.paths[holder] else label)
             self.tags.append(tag)
             holder = len(self.paths) - 1
-        self.open.append((tag, holder, dropped, linked or tag == "a"))
+        self.open.append((tag, holder, dropped, linked or tag == "a", mark, begins))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -141,10 +212,10 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        holder, dropped, linked = self._state()
+        holder, dropped, linked, mark = self._state()
         if not dropped:
             if not self.text:
-                self.at = holder
+                self.at, self.mark = holder, mark
                 self.title = any(e[0] == "h1" for e in self.open)
             self.text.append(data)
             self.linked += len(data) if linked else 0
@@ -258,7 +329,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """The article of every page: page_id, url, text, n_chars.
 
     ``pages`` needs page_id, url and html. One row per input row. Menus, headers, footers, sidebars, notices,
-    adverts, forms, scripts, styles and reader comments go, by element and by the words in class, id and role;
+    adverts, forms, scripts, styles and reader comments go, by element and by the words in class, id and role (but
+    not for such words on an element that holds the article: main, or an article or title and most of the prose);
     character references are decoded; white space in a block becomes one space, and blocks are joined by one.
     A null or empty html, or one without text, gives an empty text. Addresses without a host are one host.
     Repeated rows are alike, each votes; other columns are ignored.

@@ -204,6 +204,37 @@ def test_articles_of_several_parts(spark, around):
     assert texts == [f"The title {lead} {long}", f"The title {long} {short}", f"{long} {short}"]
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["class='content no-sidebar'", "class='has-comments'", "id='page-with-nav'", "class='sidebar-right content'", "class='layout-menu' role='navigation'"],
+)
+@pytest.mark.parametrize("around", ["article", "main", "div class='post'"])
+def test_wrappers_with_marks(name, around):
+    """Words on an element around the whole article; those on its neighbours and inside of it still count."""
+    text = sentences(40)
+    inner = f"<h1>T</h1><p>{text}, se<b>n</b>t</p><div class='share'>Share this story with all of your friends</div>"
+    page = wrapped(inner, around).replace("<body>", f"<body><div {name}>").replace("</body>", "</div></body>")
+    outside = f"<body><div {name}><{around}>{inner}</{around.split()[0]}></div><ol class='comments'><li>{sentences(90)}</ol></body>"
+    for html in (page, outside):
+        page = html_text.Page(html)
+        assert page.under(page.best()[0]) == f"T {text}, sent"
+
+
+def test_marked_parts_beside_an_article():
+    """Teasers and comments are often articles themselves, and may be longer than the text."""
+    text, more = sentences(40), sentences(20, "more")
+    own = f"<body><div class='text'><h1>T</h1><p>{text}</p></div>"
+    for part in (
+        f"<div class='related'><article><p>{more}</p></article></div>",
+        f"<ol class='comment-list'><li><article class='comment-body'>{more * 5}</article></ol>",
+        f"<div class='comments-with-replies'><p>{more * 5}</p></div>",
+    ):
+        page = html_text.Page(f"{own}{part}</body>")
+        assert page.under(page.best()[0]) == f"T {text}"
+    only = html_text.Page(f"<body><div class='page sidebar-left'><p>{text}</p><div class='ads'>Buy</div></div></body>")
+    assert only.under(only.best()[0]) == text
+
+
 def test_parts_that_stand_in_the_body(spark):
     one, two = sentences(30, "one"), sentences(20, "two")
     page = f"<body><nav>Home</nav><section class=a>{one}</section><section class=b>{two}</section><footer>f</footer></body>"
