@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.common import PLAIN_WORDS, U, arrow_rows, mix, signed, stored, with_row_key, word_hashes
 
-#: Words that a seed compares (1) and ignores (0). Each has eight compared words.
-MASKS = ("11011011011", "10111011101", "111001010111", "11110001111")
+#: Words that a seed compares (1) and ignores (0). Each has seven compared words. Wherever the replaced words of a
+#: leak stand (3 of 16, or as many as ``SHARE`` allows in an item of 12 to 15 words), one of these fits between them.
+MASKS = ("11110111", "11100100111", "110010101011", "1111001011", "10100011111", "110010110101")
 #: An aligned stretch of so many words, of which so large a share is equal, is a leak.
 STRETCH, SHARE = 16, 0.8
 #: Bits of the filter that lets documents drop positions at once: 2 MiB, whatever the size of the benchmark.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import brute
 import numpy as np
@@ -101,6 +103,18 @@ def test_leaks(spark, sf_dir, documents):
     assert any(result.values())
 
 
+@pytest.mark.parametrize("size", range(12, spaced_seeds.STRETCH + 1))
+def test_every_pattern_of_replaced_words_has_a_seed(size):
+    item = np.arange(1, size + 1, dtype=np.uint64)
+    seeds, places = spaced_seeds.seed_hashes(item, [])
+    known = set(zip(seeds.tolist(), places.tolist()))
+    for replaced in combinations(range(size), size - math.ceil(size * spaced_seeds.SHARE)):
+        words = item.copy()
+        words[list(replaced)] += np.uint64(1000)
+        found, at = spaced_seeds.seed_hashes(words, [])
+        assert not known.isdisjoint(zip(found.tolist(), at.tolist())), replaced
+
+
 def test_leaks_with_replaced_words(spark, odd_documents, no_documents):
     words = [f"q{i}" for i in range(40)]
     every = [w if i % 6 else "other" for i, w in enumerate(words)]
