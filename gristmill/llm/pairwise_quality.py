@@ -110,7 +110,10 @@ def _measured(columns: list[list]) -> list:
 
 
 def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranker:
-    """A ranker from at most ``sample`` labelled documents that are not held out, chosen by a hash of the id."""
+    """A ranker from at most ``sample`` labelled documents that are not held out, chosen by a hash of the id.
+
+    Of rows that share an id one is learned from, by a hash of its features.
+    """
     marked = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out("doc_id"))
     marked = marked.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").groupBy("doc_id").agg(
         F.max("quality").alias("high"), F.min("quality").alias("low")
@@ -123,6 +126,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rank
     chosen = per_class[0].unionByName(per_class[1])
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     found = arrow_rows(rows.select("doc_id", "text", "quality"), _measured, "doc_id long, quality int, x array<double>")
+    found = found.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("x").alias("h"), "x"))["x"].alias("x"))
     got = sorted((row["doc_id"], row["quality"], tuple(row["x"])) for row in found.collect())
     x = np.array([row[2] for row in got]).reshape(-1, FEATURES)
     return Ranker(x, np.array([row[1] == 1 for row in got], dtype=bool))

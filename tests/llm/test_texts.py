@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -12,6 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd_tables import documents, no_documents, odd_documents, plain  # noqa: F401
+from pyspark.sql import functions as F
 
 from gristmill.llm import html_text, licenses, mixing, pairwise_quality, queries, spaced_seeds
 
@@ -308,6 +310,18 @@ def test_quality_of_odd_documents(spark, odd_documents, no_documents):
     assert {r["predicted"] for r in none} == {1}
 
 
+def test_one_row_of_an_id_is_learned_from(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"words of text {i}") for i in ids] + [(ids[0], f"another text {k} of that id") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, quality int")
+    fitted = []
+    monkeypatch.setattr(pairwise_quality, "Ranker", lambda x, good: fitted.append((x.tolist(), good.tolist())))
+    pairwise_quality.learn(docs, labels)
+    pairwise_quality.learn(docs.orderBy(F.desc("text")), labels)
+    assert len(fitted[0][0]) == len(ids) and fitted[0] == fitted[1]
+
+
 def test_a_ranker_orders_by_the_feature_that_matters():
     rng = np.random.default_rng(3)
     x = rng.random((400, pairwise_quality.FEATURES))
