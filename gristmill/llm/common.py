@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +33,14 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
+def new_path(spark: SparkSession, purpose: str) -> str:
+    return f"{shared_folder(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back: computed once, and kept if executors are lost."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
+    path = new_path(spark, purpose)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
@@ -88,6 +93,28 @@ def arrow_rows(frame: DataFrame, make: Callable[[list[list]], list], schema: str
     return frame.mapInArrow(run, schema)
 
 
+def list_matrix(lists: pa.ListArray, size: int) -> tuple[pa.Array, np.ndarray]:
+    """Rows whose list has ``size`` numbers, none null or non-finite, as positions and as a matrix."""
+    at = np.flatnonzero(np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), -1)) == size)
+    flat = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+    matrix = flat.astype(np.float64).reshape(len(at), size)
+    whole = np.isfinite(matrix).all(axis=1)
+    return pa.array(at[whole]), matrix[whole]
+
+
+def fold(frame: DataFrame, combine: Callable, fan: int = 16) -> DataFrame:
+    """One row from many, by rounds in which a task combines what some ``fan`` tasks have left.
+
+    ``combine`` goes from record batches to one batch of one row; rows of a task come one by one.
+    """
+    spark = frame.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while parts > 1:
+        parts = -(-parts // fan)
+        frame = frame.repartition(parts).mapInArrow(combine, frame.schema)
+    return frame
+
+
 def _arrow_type(name: str) -> pa.DataType:
     if name.startswith("array<"):
         return pa.list_(_arrow_type(name[6:-1]))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
+    heap_centroids,
     html_text,
     licenses,
     line_edits,
@@ -83,3 +84,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))

@@ -123,10 +123,38 @@ LINES = f"""WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS
         coalesce(string_agg(CAST(number AS VARCHAR), ',' ORDER BY number) FILTER (WHERE goes), '') AS removed
     FROM judged GROUP BY doc_id"""
 
+
+
+def _centroids(size: int = 64, clusters: int = 8, rounds: int = 10, scale: int = 1024, seed: int = 3) -> str:
+    """The rounds written out: distances to all centroids, the nearest, then the floor of each mean."""
+    order = f"sha256('{seed}:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x"
+    parts = [f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+        WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {order}) - 1 AS c, x FROM kept ORDER BY {order} LIMIT {clusters})"""]
+    far = "list_sum(list_transform(range(1, len(kept.x) + 1), lambda i: (kept.x[i] - k.x[i]) * (kept.x[i] - k.x[i])))"
+    for turn in range(rounds + 1):
+        parts.append(f"""a{turn} AS MATERIALIZED (SELECT r, min((CAST({far} AS BIGINT), k.c)) AS best
+        FROM kept, c{turn} AS k GROUP BY r)""")
+        if turn < rounds:
+            parts.append(f"""s{turn} AS (SELECT a{turn}.best[2] AS c, unnest(x) AS e, generate_subscripts(x, 1) AS i
+        FROM kept JOIN a{turn} USING (r)),
+    m{turn} AS (SELECT c, i, sum(e) AS s, count(*) AS n FROM s{turn} GROUP BY 1, 2),
+    f{turn} AS (SELECT c, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM m{turn} GROUP BY 1),
+    c{turn + 1} AS MATERIALIZED (SELECT k.c, coalesce(f.x, k.x) AS x FROM c{turn} k LEFT JOIN f{turn} f ON k.c = f.c)""")
+    return f"""WITH {", ".join(parts)},
+    placed AS (SELECT r, best[1] AS d, best[2] AS c FROM a{rounds}),
+    inertias AS (SELECT c, CAST(sum(d) AS BIGINT) AS t FROM placed GROUP BY 1)
+    SELECT kept.vec_id, CAST(placed.c AS INTEGER) AS cluster, placed.d AS distance, inertias.t AS cluster_inertia,
+        (SELECT CAST(sum(d) AS BIGINT) FROM placed) AS inertia, sha256(array_to_string(k.x, ',')) AS centroid_sha256
+    FROM kept JOIN placed USING (r) JOIN inertias USING (c) JOIN c{rounds} AS k USING (c)"""
+
+
 SQL = {
     "op1_minhash_near_dedup": NEAR_DUPLICATES,
     "op3_substring_dedup": PASSAGES,
     "op6_embedding_near_dedup": VECTORS,
     "op7_license_scan": LICENSES,
     "op8_line_dedup": LINES,
+    "op11_centroid_clustering": _centroids(),
 }
