@@ -19,6 +19,7 @@ from gristmill.llm import (
     projections,
     spaced_seeds,
     suffix_order,
+    whitening,
 )
 from gristmill.llm.common import table
 from gristmill.llm.sql import SQL  # noqa: F401  (with the queries, for the driver)
@@ -89,3 +90,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
