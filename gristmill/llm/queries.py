@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm import (
     heap_centroids,
+    language_model,
     html_text,
     licenses,
     line_edits,
@@ -92,6 +93,11 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.document_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
