@@ -22,7 +22,7 @@ WORDS, CLASSES, HIDDEN = 2046, 40, 12
 #: Counts that every task holds; those of all other words are joined.
 HELD = 65_536
 #: Step size, the share (of 8) of the training documents that the first round reads, and tokens read at a time.
-RATE, FIRST_SHARE, BUNDLE, SEED = 0.1, 1, 1_000_000, 1
+RATE, FIRST_SHARE, BUNDLE, SEED = 0.1, 1, 4_000_000, 1
 #: A longer word is counted under a digest.
 LONGEST = 64
 #: Distinct words that a task counts before it passes them on.
