@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import IDF, Bucketizer, CountVectorizer, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions import numbers, text
-from gristmill.operators import ranking, sampling
+from gristmill.operators import ranking, sampling, stacked
 from gristmill.operators.storage import stored
 from gristmill.session import written
 
@@ -76,13 +77,16 @@ def fit_regression(features: DataFrame, setting: Setting) -> Model:
 def fit_messages(train: DataFrame, setting: Setting, hashed: bool = False) -> PipelineModel:
     """A model of all stages from text to prediction, which can be saved and loaded.
 
-    The texts are read once per text stage; the regression, which reads its input in every
-    iteration, gets the kept features and never the texts.
+    The texts are cut into terms once; vocabulary, document frequencies and the regression, which reads its input in
+    every iteration, get kept columns and never the texts.
     """
-    texts = Pipeline(stages=text_stages(hashed)).fit(train)
-    with stored(texts.transform(train).select("label_idx", "features")) as features:
-        fitted = fit_regression(features, setting)
-    return PipelineModel(stages=[*texts.stages, fitted])
+    cut, weigh = Pipeline(stages=text_stages(hashed)[:2]), text_stages(hashed)[2:]
+    words = cut.fit(train)
+    with stored(words.transform(train).select("label_idx", "terms")) as terms:
+        texts = Pipeline(stages=weigh).fit(terms)
+        with stored(texts.transform(terms).select("label_idx", "features")) as features:
+            fitted = fit_regression(features, setting)
+    return PipelineModel(stages=[*words.stages, *texts.stages, fitted])
 
 
 def load_model(path: str) -> PipelineModel:
@@ -116,7 +120,11 @@ def rates(tp: Column, fp: Column, tn: Column, fn: Column) -> dict[str, Column]:
 
 def metrics(predictions: DataFrame, predicted: Column, actual: Column) -> DataFrame:
     """One row: the four counts, the four rates, and F1 of both classes weighted by size."""
-    counts = predictions.agg(*(c.alias(n) for n, c in confusion(predicted, actual).items()))
+    return with_rates(predictions.agg(*(c.alias(n) for n, c in confusion(predicted, actual).items())))
+
+
+def with_rates(counts: DataFrame) -> DataFrame:
+    """The rates beside the four counts of each row."""
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     found = rates(tp, fp, tn, fn)
     both = found["f1"] * (tp + fn) + rates(tn, fn, tp, fp)["f1"] * (tn + fp)
@@ -143,6 +151,40 @@ def threshold_sweep(
     return rows.select("threshold", *(found[n].alias(n) for n in ("precision", "recall", "f1")), "fp", "fn")
 
 
+def rank_auc(scored: DataFrame, score: Column, actual: Column, slice_scores: int = 100_000) -> float | None:
+    """The exact area under the ROC curve: the share of (positive, negative) pairs in order, ties counting half.
+
+    Positives and negatives are counted per distinct score; the scores are cut along their order into slices of about
+    ``slice_scores``, and a score needs only the negatives below it: those of lower slices (one row per slice on the
+    driver) and those below it within its slice. No task ranks all scores. None without positives or without
+    negatives; rows whose score or class is null or NaN do not count.
+    """
+    counts = (
+        scored.select(score.cast("double").alias("_s"), actual.alias("_a")).dropna()
+        .groupBy("_s").agg(F.count_if("_a").alias("pos"), F.count_if(~F.col("_a")).alias("neg"))
+    )
+    counts = written(counts, "score-counts")
+    slices = min(10_000, 1 + counts.count() // slice_scores)
+    shares = [i / slices for i in range(1, slices)]
+    cuts = set(counts.approxQuantile("_s", shares, 1 / (4 * slices))) if shares else set()
+    inner = sorted(cuts - {-math.inf, math.inf})
+    sliced = counts.withColumn("_slice", F.lit(0.0))
+    if inner:
+        splits = [-math.inf, *inner, math.inf]
+        sliced = Bucketizer(splits=splits, inputCol="_s", outputCol="_slice").transform(counts)
+    below = Window.partitionBy("_slice").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("neg").over(below), F.lit(0)).cast("decimal(38,0)")
+    pairs = sliced.withColumn("_before", before).groupBy("_slice").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+        F.sum(F.col("pos") * (2 * F.col("_before") + F.col("neg"))).alias("twice"),
+    )
+    positives = negatives = twice = 0
+    for row in pairs.orderBy("_slice").collect():
+        twice += int(row["twice"]) + 2 * row["pos"] * negatives
+        positives, negatives = positives + row["pos"], negatives + row["neg"]
+    return twice / (2 * positives * negatives) if positives and negatives else None
+
+
 def _outcome(predictions: DataFrame) -> dict[str, float]:
     """The one row of ``metrics`` for a model's predictions."""
     return metrics(predictions, F.col("prediction") == 1.0, F.col("label_idx") == 1.0).first().asDict()
@@ -150,36 +192,61 @@ def _outcome(predictions: DataFrame) -> dict[str, float]:
 
 def evaluation(model: Model, frame: DataFrame) -> DataFrame:
     """Rates, ROC-AUC and the four counts as ``(metric, value)`` rows."""
-    with stored(model.transform(frame).select("label_idx", "rawPrediction", "prediction")) as predictions:
-        outcome = _outcome(predictions)
-        evaluator = BinaryClassificationEvaluator(labelCol="label_idx", metricName="areaUnderROC")
-        outcome["roc_auc"] = evaluator.evaluate(predictions)
-    names = ("accuracy", "precision", "recall", "f1", "roc_auc", "tp", "fp", "tn", "fn")
-    rows = [(name, float(outcome[name])) for name in names]
-    return frame.sparkSession.createDataFrame(rows, "metric STRING, value DOUBLE")
+    margin = vector_to_array(F.col("rawPrediction"))[1]
+    return score_evaluation(model.transform(frame).select("label_idx", margin.alias("margin")))
 
 
-def parameter_search(messages: DataFrame, settings: Sequence[Setting] = SETTINGS) -> DataFrame:
-    """Accuracy and weighted F1 of each setting on the validation part, best first.
+def _is_spam() -> Column:
+    return F.col("label_idx") == 1.0
+
 
-    The text stages do not depend on the setting, so they are fitted once, on the training
-    part, and their features kept for all fits. The test part is left for the winner.
+def model_metrics(scored: DataFrame) -> list[dict[str, float]]:
+    """Counts and rates of every model in ``margins``, counted in one pass."""
+    each = scored.select(_is_spam().alias("actual"), F.posexplode("margins").alias("model", "margin"))
+    counts = each.groupBy("model").agg(*(c.alias(n) for n, c in confusion(F.col("margin") > 0, F.col("actual")).items()))
+    found = {row["model"]: row.asDict() for row in with_rates(counts).collect()}
+    none = dict.fromkeys(("tp", "fp", "tn", "fn", "accuracy", "precision", "recall", "f1", "weighted_f1"), 0.0)
+    return [found.get(i, none) for i in range(max(found, default=-1) + 1)]
+
+
+@dataclass
+class Search:
+    """Settings with what they reach on the validation part, and the best one fitted on all but the test part."""
+
+    table: DataFrame
+    setting: Setting
+    model: stacked.Linear
+
+
+def search_settings(messages: DataFrame, settings: Sequence[Setting] = SETTINGS) -> Search:
+    """Every setting fitted on the training part and judged on the validation part, best first.
+
+    The same scans fit each setting on training and validation part together too, so the winner needs no fit of its
+    own. The test part is left for the winner.
     """
-    known = part(messages, "train", "validation")
-    features = Pipeline(stages=text_stages()).fit(part(messages, "train")).transform(known)
-    rows = []
-    with stored(features.select("label_idx", "features", "part")) as kept:
-        train = part(kept, "train")
-        for number, setting in enumerate(settings, 1):
-            outcome = _outcome(fit_regression(train, setting).transform(part(kept, "validation")))
-            rows.append((number, *setting, outcome["accuracy"], outcome["weighted_f1"]))
+    with stored(stacked.with_terms(messages).select("label_idx", "part", "terms")) as counted:
+        sets = {"train": F.col("part") == "train", "known": F.col("part") != "test"}
+        fits = [stacked.Fit(rows, setting) for rows in sets for setting in settings]
+        models = stacked.stacked_fits(part(counted, "train", "validation"), sets, fits, VOCABULARY, MIN_DOCUMENTS)
+        judged = stacked.with_margins(part(counted, "validation"), models[: len(settings)], "label_idx")
+        outcomes = model_metrics(judged)
+    outcomes += [dict.fromkeys(("accuracy", "weighted_f1"), 0.0)] * (len(settings) - len(outcomes))
+    rows = [(i, *s, o["accuracy"], o["weighted_f1"]) for i, (s, o) in enumerate(zip(settings, outcomes), 1)]
     schema = "setting INT, reg_param DOUBLE, max_iter INT, elastic_net DOUBLE, accuracy DOUBLE, weighted_f1 DOUBLE"
-    return messages.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("weighted_f1"), "setting")
+    rows.sort(key=lambda row: (-row[5], row[0]))
+    best = rows[0][0] - 1
+    table = messages.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("weighted_f1"), "setting")
+    return Search(table, settings[best], models[len(settings) + best])
+
+
+def parameter_search(messages: DataFrame, settings: Sequence[Setting] = SETTINGS) -> DataFrame:
+    """Accuracy and weighted F1 of each setting on the validation part, best first."""
+    return search_settings(messages, settings).table
 
 
 def tuned_model(messages: DataFrame, settings: Sequence[Setting] = SETTINGS) -> PipelineModel:
-    """The setting that is best on the validation part, fitted anew on training and validation part."""
-    return fit_messages(part(messages, "train", "validation"), best_setting(parameter_search(messages, settings)))
+    """The best setting of the search as a model that can be saved, fitted on training and validation part."""
+    return fit_messages(part(messages, "train", "validation"), search_settings(messages, settings).setting)
 
 
 def best_setting(search: DataFrame) -> Setting:
@@ -187,6 +254,26 @@ def best_setting(search: DataFrame) -> Setting:
     return row["reg_param"], row["max_iter"], row["elastic_net"]
 
 
+def with_scores(messages: DataFrame, model: stacked.Linear, *keep: str) -> DataFrame:
+    """The columns ``keep`` with ``margin`` and ``spam_probability`` of a fitted model."""
+    scored = stacked.with_margins(stacked.with_terms(messages), [model], *keep)
+    margin = F.col("margins").getItem(0)
+    return scored.select(*keep, margin.alias("margin"), stacked.probability(margin).alias("spam_probability"))
+
+
+def score_evaluation(scored: DataFrame) -> DataFrame:
+    """Rates, exact ROC-AUC and the four counts as ``(metric, value)`` rows, from ``label_idx`` and ``margin``."""
+    with stored(scored.select("label_idx", "margin")) as kept:
+        outcome = metrics(kept, F.col("margin") > 0, _is_spam()).first().asDict()
+        outcome["roc_auc"] = rank_auc(kept, F.col("margin"), _is_spam())
+    names = ("accuracy", "precision", "recall", "f1", "roc_auc", "tp", "fp", "tn", "fn")
+    rows = [(name, float(outcome[name] or 0.0)) for name in names]
+    return scored.sparkSession.createDataFrame(rows, "metric STRING, value DOUBLE")
+
+
+FITS = "fit STRING, train_rows LONG, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
+
+
 def fit_comparison(fits: Mapping[str, tuple[DataFrame, Setting, bool]], test: DataFrame) -> DataFrame:
     """Rows trained on and rates on ``test`` per named fit ``(train, setting, hashed)``."""
     rows = []
@@ -194,24 +281,32 @@ def fit_comparison(fits: Mapping[str, tuple[DataFrame, Setting, bool]], test: Da
         outcome = _outcome(fit_messages(train, setting, hashed).transform(test))
         found = (outcome[n] for n in ("accuracy", "precision", "recall", "f1"))
         rows.append((name, train.count(), *found))
-    schema = "fit STRING, train_rows LONG, accuracy DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE"
-    return test.sparkSession.createDataFrame(rows, schema)
+    return test.sparkSession.createDataFrame(rows, FITS)
+
+
+def share_comparison(train: DataFrame, test: DataFrame, fits: Mapping[str, tuple[float, Setting]]) -> DataFrame:
+    """Rows trained on and rates on ``test`` per named fit on a share of the training messages, all fitted at once."""
+    keyed = train.select("label_idx", "message_text", sampling.place(F.col("doc_id")).alias("place"))
+    sets = {str(share): F.col("place") < share for share, _ in fits.values()}
+    stacks = [stacked.Fit(str(share), setting) for share, setting in fits.values()]
+    with stored(stacked.with_terms(keyed).select("label_idx", "place", "terms")) as counted:
+        models = stacked.stacked_fits(counted, sets, stacks, VOCABULARY, MIN_DOCUMENTS)
+    outcomes = model_metrics(stacked.with_margins(stacked.with_terms(test), models, "label_idx"))
+    rates_of = [tuple(o[n] for n in ("accuracy", "precision", "recall", "f1")) for o in outcomes]
+    rates_of += [(0.0,) * 4] * (len(models) - len(rates_of))
+    rows = [(name, model.train_rows, *rate) for name, model, rate in zip(fits, models, rates_of)]
+    return test.sparkSession.createDataFrame(rows, FITS)
 
 
 def size_sweep(train: DataFrame, test: DataFrame, setting: Setting) -> DataFrame:
     """The same fit on growing shares of the training messages."""
-    fits = {f"{share:.0%}": (sampling.sample(train, "doc_id", share), setting, False) for share in TRAINING_SHARES}
-    return fit_comparison(fits, test)
+    return share_comparison(train, test, {f"{share:.0%}": (share, setting) for share in TRAINING_SHARES})
 
 
 def subsample_fit(train: DataFrame, test: DataFrame, setting: Setting) -> DataFrame:
     """The full fit beside one on a sample with few iterations."""
     reduced = (setting[0], REDUCED_ITERATIONS, setting[2])
-    fits = {
-        "full": (train, setting, False),
-        "subsample": (sampling.sample(train, "doc_id", REDUCED_SHARE), reduced, False),
-    }
-    return fit_comparison(fits, test)
+    return share_comparison(train, test, {"full": (1.0, setting), "subsample": (REDUCED_SHARE, reduced)})
 
 
 def feature_comparison(train: DataFrame, test: DataFrame, setting: Setting) -> DataFrame:
@@ -223,17 +318,22 @@ def feature_comparison(train: DataFrame, test: DataFrame, setting: Setting) -> D
     return fit_comparison(fits, test)
 
 
-def prediction_sample(model: Model, messages: DataFrame, rows: int = 20) -> DataFrame:
+def prediction_sample(model: Model | stacked.Linear, messages: DataFrame, rows: int = 20) -> DataFrame:
     """A few predictions to read: message, actual and predicted label, probability; the least ids.
 
     The messages are chosen first, so that only those go through the model.
     """
     chosen = messages.orderBy("doc_id").limit(rows)
-    return model.transform(chosen).select(
+    if isinstance(model, stacked.Linear):
+        scored = with_scores(chosen, model, "message_text", "label")
+        spam, chance = F.col("margin") > 0, F.col("spam_probability")
+    else:
+        scored, spam, chance = model.transform(chosen), F.col("prediction") == 1.0, spam_probability()
+    return scored.select(
         "message_text",
         F.col("label").alias("actual_label"),
-        F.when(F.col("prediction") == 1.0, "spam").otherwise("ham").alias("predicted_label"),
-        F.round(spam_probability(), 4).alias("spam_probability"),
+        F.when(spam, "spam").otherwise("ham").alias("predicted_label"),
+        F.round(chance, 4).alias("spam_probability"),
     )
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import numbers
 from gristmill.operators import sampling
-from gristmill.operators.storage import partition_steps, stored
+from gristmill.operators.storage import partition_steps, partitions_of, stored
 
 FEATURES = ("total_spend", "purchase_count", "avg_basket_size", "days_since_last_purchase")
 
@@ -22,6 +24,8 @@ CLUSTERS = 5
 SEED = 42
 ITERATIONS = 20
 ELBOW = (3, 4, 5, 6, 7)
+#: Partial sums that one task adds up.
+FAN = 16
 
 
 def customer_features(orders: DataFrame) -> DataFrame:
@@ -127,13 +131,162 @@ def personas(profiles: DataFrame) -> DataFrame:
     return profiles.withColumn("persona", label)
 
 
+def _packed(frame: DataFrame) -> DataFrame:
+    """Scaled features as blocks of some thousand rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0).drop_null()
+            packed = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([packed], type=pa.binary())], ["block"])
+
+    return frame.select(vector_to_array("scaled_features")).mapInArrow(run, "block binary")
+
+
+def _matrices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            yield np.frombuffer(raw).reshape(-1, width)
+
+
+def _added(blocks: DataFrame, parts: int, scan: Callable[[Iterator[np.ndarray]], np.ndarray], width: int) -> np.ndarray:
+    """The sum over all tasks of what ``scan`` makes of a task's blocks, added up in a tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.ascontiguousarray(scan(_matrices(batches, width)), dtype=np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], type=pa.binary())], ["sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [np.frombuffer(raw) for batch in batches for raw in batch.column(0).to_pylist()]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(found).tobytes()], type=pa.binary())], ["sums"])
+
+    summed = blocks.mapInArrow(run, "sums binary")
+    while parts > FAN:
+        parts = -(-parts // FAN)
+        summed = summed.repartition(parts).mapInArrow(add, "sums binary")
+    return sum(np.frombuffer(row["sums"]) for row in summed.collect())
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, a column per centre; the dimensions are added in their order."""
+    out = np.zeros((len(x), len(centres)))
+    for d in range(x.shape[1]):
+        step = x[:, d, None] - centres[None, :, d]
+        out += step * step
+    return out
+
+
+def far_centres(blocks: DataFrame, parts: int, width: int, k: int) -> np.ndarray:
+    """Rows far from each other: first the one farthest from the origin, then each time the one farthest from all so far.
+
+    Equally far ones go by their values. The first few of them serve a smaller number of clusters.
+    """
+    chosen = np.zeros((1, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: tuple = ()
+        for x in _matrices(batches, width):
+            if len(x):
+                far = _squares(x, chosen).min(axis=1)
+                top = x[far == far.max()]
+                best = min([b for b in (best,) if b] + [(-far.max(), *min(map(tuple, top)))])
+        names = [f"v{i}" for i in range(width + 1)]
+        yield pa.RecordBatch.from_arrays([pa.array([v] if best else [], type=pa.float64()) for v in best or names], names)
+
+    schema = ", ".join(f"v{i} double" for i in range(width + 1))
+    centres = []
+    for _ in range(k):
+        row = blocks.mapInArrow(run, schema).orderBy(*(f"v{i}" for i in range(width + 1))).first()
+        if row is None:
+            break
+        centres.append(list(row)[1:])
+        chosen = np.array(centres)
+    return np.array(centres).reshape(-1, width)
+
+
+def stacked_kmeans(frame: DataFrame, ks: Sequence[int], iterations: int = ITERATIONS) -> dict[int, tuple[np.ndarray, float]]:
+    """Centres and cost for every number of clusters, each round of all of them in one scan of the rows.
+
+    Rounds start from the same far rows (``far_centres``) and end when no centre moves, or after ``iterations``. A
+    centre without rows stays where it is. The cost is the sum of squared distances to the final centres. Fewer rows
+    than clusters give fewer centres; without rows the cost is 0.
+    """
+    first = frame.select(vector_to_array("scaled_features").alias("v")).first()
+    width = len(first["v"]) if first else 1
+    with stored(_packed(frame)) as blocks:
+        parts = partitions_of(blocks)
+        starts = far_centres(blocks, parts, width, max(ks)) if first else np.zeros((0, width))
+        if not len(starts):
+            return {k: (starts, 0.0) for k in ks}
+        centres = {k: starts[:k] for k in ks}
+        sizes = [len(c) * (width + 1) for c in centres.values()]
+
+        def scan(matrices: Iterator[np.ndarray]) -> np.ndarray:
+            total = [np.zeros(size + 1) for size in sizes]
+            for x in matrices:
+                counted = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+                for sums, c in zip(total, centres.values()):
+                    far = _squares(x, c)
+                    at = far.argmin(axis=1)
+                    cells = sums[:-1].reshape(len(c), width + 1)
+                    for j in range(width + 1):
+                        cells[:, j] += np.bincount(at, counted[:, j], len(c))
+                    sums[-1] += far.min(axis=1).sum()
+            return np.concatenate(total)
+
+        for turn in range(iterations + 1):
+            found, still = _added(blocks, parts, scan, width), True
+            parts_of = np.split(found, np.cumsum([size + 1 for size in sizes])[:-1])
+            costs = {k: float(sums[-1]) for k, sums in zip(ks, parts_of)}
+            if turn == iterations:
+                break
+            moved = {}
+            for k, sums in zip(ks, parts_of):
+                cells = sums[:-1].reshape(-1, width + 1)
+                moved[k] = np.where(cells[:, :1] > 0, cells[:, 1:] / np.maximum(cells[:, :1], 1), centres[k])
+                still = still and np.array_equal(moved[k], centres[k])
+            if still:
+                break
+            centres.update(moved)
+    return {k: (centres[k], costs[k]) for k in ks}
+
+
+def knee(costs: Sequence[tuple[int, float]]) -> int:
+    """The number of clusters farthest below the straight line from the first to the last cost; the least of equals.
+
+    Both axes are scaled to 0..1 first.
+    """
+    (k0, c0), (k1, c1) = costs[0], costs[-1]
+    if k0 == k1 or c0 == c1:
+        return k0
+    gaps = [(1 - (k - k0) / (k1 - k0) - (c - c1) / (c0 - c1), -k) for k, c in costs]
+    return -max(gaps)[1]
+
+
 def elbow(frame: DataFrame, ks: Sequence[int] = ELBOW) -> DataFrame:
-    """Cost of a fit per number of clusters, over features kept once."""
-    rows = []
-    with stored(frame.select("scaled_features")) as kept:
-        for k in ks:
-            rows.append((k, float(kmeans(kept, k).summary.trainingCost)))
-    return frame.sparkSession.createDataFrame(rows, "k INT, cost DOUBLE")
+    """Cost per number of clusters, and which of them the knee of the costs suggests."""
+    found = stacked_kmeans(frame, ks)
+    best = knee([(k, found[k][1]) for k in ks])
+    rows = [(k, found[k][1], k == best) for k in ks]
+    return frame.sparkSession.createDataFrame(rows, "k INT, cost DOUBLE, chosen BOOLEAN")
+
+
+def split_of_squares(assigned: DataFrame, names: Sequence[str] = FEATURES) -> DataFrame:
+    """Sums of squares within and between the clusters of an assignment; together they are that of the table.
+
+    ``assigned`` has cluster and scaled_features; one row: rows, clusters, within, between.
+    """
+    values = assigned.select("cluster", *as_columns("scaled_features", names))
+    each = values.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"),
+        sum(F.var_pop(c) for c in names).alias("spread"),
+        sum(F.avg(c) * F.avg(c) for c in names).alias("away"),
+    )
+    return each.agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("clusters"),
+        F.sum(F.col("n") * F.col("spread")).alias("within"), F.sum(F.col("n") * F.col("away")).alias("between"),
+    )
 
 
 def method_comparison(frame: DataFrame, k: int = CLUSTERS) -> DataFrame:

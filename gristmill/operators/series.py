@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.operators import slicing
+from gristmill.operators import heavy, slicing
 
 ORDER = ("ts", "tick")
 
@@ -96,8 +96,8 @@ def endpoints(frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER
 
 
 def with_endpoints(frame: DataFrame, key: str = "stock", order: Sequence[str] = ORDER, value: str = "price") -> DataFrame:
-    """First and last value of the series on each of its rows."""
-    return frame.join(endpoints(frame, key, order, value), key)
+    """First and last value of the series on each of its rows; a series of any length is dealt to many tasks."""
+    return heavy.join_heavy(frame, endpoints(frame, key, order, value), [key])
 
 
 def performance(

@@ -168,22 +168,42 @@ def hashing_tf(spark, sf_dir):
 def spam_predictions(spark, sf_dir):
     """Twenty predictions of the tuned model to read."""
     messages = _stored_messages(spark, sf_dir)
-    return classify.prediction_sample(classify.tuned_model(messages), classify.part(messages, "test"))
+    return classify.prediction_sample(classify.search_settings(messages).model, classify.part(messages, "test"))
 
 
 @query("spam_evaluation")
 def spam_evaluation(spark, sf_dir):
     """The tuned model on the test part, which no choice has seen."""
     messages = _stored_messages(spark, sf_dir)
-    return classify.evaluation(classify.tuned_model(messages), classify.part(messages, "test"))
+    model = classify.search_settings(messages).model
+    return classify.score_evaluation(classify.with_scores(classify.part(messages, "test"), model, "label_idx"))
 
 
 @query("spam_thresholds")
 def spam_thresholds(spark, sf_dir):
     """Rates of the tuned model on the test part at several thresholds."""
     messages = _stored_messages(spark, sf_dir)
-    scored = classify.tuned_model(messages).transform(classify.part(messages, "test"))
-    return classify.threshold_sweep(scored, classify.spam_probability(), F.col("label_idx") == 1.0)
+    model = classify.search_settings(messages).model
+    scored = classify.with_scores(classify.part(messages, "test"), model, "label_idx")
+    return classify.threshold_sweep(scored, F.col("spam_probability"), F.col("label_idx") == 1.0)
+
+
+AUC = f"""WITH {SCORED},
+scores AS (SELECT probability, count(*) FILTER (WHERE actual) AS pos, count(*) FILTER (WHERE NOT actual) AS neg
+           FROM scored GROUP BY 1),
+placed AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY probability ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS below FROM scores)
+SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+       CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS roc_auc FROM placed"""
+
+
+@query("rank_auc", AUC)
+def rank_auc(spark, sf_dir):
+    """The exact area under the ROC curve of the fixed rule, with the numbers of both classes."""
+    scored = written(_scored(spark, sf_dir), "scored-messages")
+    area = classify.rank_auc(scored, F.col("probability"), F.col("actual"))
+    counts = scored.agg(F.count_if("actual").alias("positives"), F.count_if(~F.col("actual")).alias("negatives"))
+    return counts.withColumn("roc_auc", F.lit(area).cast("double"))
 
 
 @query("grid_search")

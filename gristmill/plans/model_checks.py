@@ -11,7 +11,10 @@ from gristmill.functions import numbers
 from gristmill.operators import classify, sampling, segments
 from gristmill.plans import message_models, segment_models
 from gristmill.plans.message_models import PLACE
+from gristmill.operators.storage import stored
 from gristmill.plans.registry import Register
+from gristmill.plans.sqltext import half_up
+from gristmill.session import written
 
 query = Register()
 
@@ -56,18 +59,36 @@ def kmeans_checks(spark, sf_dir):
     )
 
 
-@query("cluster_cost_checks", _sql(elbow_rows="SELECT 5", methods="SELECT 2", positive="SELECT 7", elbow_falls="SELECT 1"))
+METHODS = ("k-means", "bisecting k-means")
+SQUARES = " + ".join(f"pow(scaled_{c}, 2)" for c in segments.FEATURES)
+
+
+@query(
+    "cluster_cost_checks",
+    f"""WITH {segment_models.SCALED} SELECT method, CAST({segments.CLUSTERS} AS BIGINT) AS clusters, count(*) AS customers,
+        {half_up(f'sum({SQUARES})', 4)} AS squares, true AS cost_is_within
+        FROM scaled, (VALUES {", ".join(f"('{m}')" for m in METHODS)}) AS methods(method) GROUP BY method""",
+)
 def cluster_cost_checks(spark, sf_dir):
-    """A cost for every number of clusters and method; seven clusters cost less than three."""
+    """Per method: the squares within and between its clusters add up to those of the table.
+
+    The stated cost belongs to the centres before their last move, so it is no less than the squares within.
+    """
     scaled = segment_models._stored_scaled(spark, sf_dir)
-    elbow = segments.elbow(scaled)
-    methods = segments.method_comparison(scaled)
-    falls = F.max(F.when(F.col("k") == 7, F.col("cost"))) < F.max(F.when(F.col("k") == 3, F.col("cost")))
-    return _together(
-        _figures(elbow, elbow_rows=F.count("k"), elbow_falls=falls.cast("int")),
-        _figures(methods, methods=F.countDistinct("method")),
-        _figures(elbow.select("cost").unionByName(methods.select("cost")), positive=F.count_if(F.col("cost") > 0)),
-    )
+    found = []
+    with stored(scaled.select("scaled_features")) as kept:
+        for method, fit in zip(METHODS, (segments.kmeans, segments.bisecting)):
+            model = fit(kept)
+            split = segments.split_of_squares(model.transform(kept))
+            cost = F.lit(float(model.summary.trainingCost))
+            close = F.col("within").between(0.9 * cost, cost * (1 + 1e-9))
+            found.append(
+                split.select(
+                    F.lit(method).alias("method"), "clusters", F.col("rows").alias("customers"),
+                    F.round(F.col("within") + F.col("between"), 4).alias("squares"), close.alias("cost_is_within"),
+                )
+            )
+        return spark.createDataFrame([row for f in found for row in f.collect()], found[0].schema)
 
 
 @query("plane_checks", _sql(customers=CUSTOMERS, uncorrelated="SELECT 1", ordered="SELECT 1", centred="SELECT 1"))
@@ -100,12 +121,12 @@ def _message_rows(condition: str) -> str:
 def spam_checks(spark, sf_dir):
     """The tuned model judges every test message once; recall cannot rise with the threshold."""
     messages = message_models._stored_messages(spark, sf_dir)
-    search = classify.parameter_search(messages)
-    model = classify.fit_messages(classify.part(messages, "train", "validation"), classify.best_setting(search))
-    test = classify.part(messages, "test")
-    found = classify.evaluation(model, test)
+    searched = classify.search_settings(messages)
+    search, test = searched.table, classify.part(messages, "test")
+    scored = written(classify.with_scores(test, searched.model, "label_idx"), "test-scores")
+    found = classify.score_evaluation(scored)
     counts = F.col("metric").isin("tp", "fp", "tn", "fn")
-    sweep = classify.threshold_sweep(model.transform(test), classify.spam_probability(), F.col("label_idx") == 1.0)
+    sweep = classify.threshold_sweep(scored, F.col("spam_probability"), F.col("label_idx") == 1.0)
     return _together(
         _figures(
             found, test_rows=F.sum(F.when(counts, F.col("value"))),

@@ -145,9 +145,43 @@ def kmeans_centroids(spark, sf_dir):
     return segments.centroids(_fitted(scaled), scaled)
 
 
-@query("elbow")
+def _stacked_rounds() -> str:
+    """Far rows first, then the rounds of every number of clusters written out."""
+    columns = ", ".join(f"scaled_{c}" for c in segments.FEATURES)
+    most, parts = max(segments.ELBOW), []
+
+    def square(a: str, b: str) -> str:
+        return " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(1, len(segments.FEATURES) + 1))
+
+    parts.append(f"points AS MATERIALIZED (SELECT row_number() OVER () AS r, [{columns}] AS x FROM scaled)")
+    zero = "[" + ", ".join(["0.0"] * len(segments.FEATURES)) + "]"
+    parts.append(f"far0 AS MATERIALIZED (SELECT 0 AS c, x FROM points ORDER BY {square('x', zero)} DESC, x LIMIT 1)")
+    for k in range(1, most):
+        parts.append(f"""far{k} AS MATERIALIZED (SELECT * FROM far{k - 1} UNION ALL (SELECT {k}, x FROM (
+            SELECT p.r, any_value(p.x) AS x, min({square('p.x', 'f.x')}) AS d FROM points p, far{k - 1} f GROUP BY p.r)
+            ORDER BY d DESC, x LIMIT 1))""")
+    for k in segments.ELBOW:
+        before = f"(SELECT * FROM far{most - 1} WHERE c < {k})"
+        for turn in range(segments.ITERATIONS):
+            name = f"k{k}t{turn}"
+            parts.append(f"""{name}a AS (SELECT p.r, any_value(p.x) AS x, min(({square('p.x', 'f.x')}, f.c))[2] AS c
+                FROM points p, {before} f GROUP BY p.r)""")
+            means = ", ".join(f"avg(x[{i}])" for i in range(1, len(segments.FEATURES) + 1))
+            parts.append(f"""{name} AS MATERIALIZED (SELECT f.c, coalesce(m.x, f.x) AS x FROM {before} f
+                LEFT JOIN (SELECT c, [{means}] AS x FROM {name}a GROUP BY c) m ON f.c = m.c)""")
+            before = name
+        parts.append(f"""cost{k} AS (SELECT {k} AS k, sum(d) AS cost FROM (
+            SELECT p.r, min({square('p.x', 'f.x')}) AS d FROM points p, {before} f GROUP BY p.r))""")
+    costs = " UNION ALL ".join(f"SELECT * FROM cost{k}" for k in segments.ELBOW)
+    return f"""WITH {SCALED}, {", ".join(parts)}, costs AS MATERIALIZED ({costs}),
+        ends AS (SELECT min(k) AS k0, max(k) AS k1, arg_min(cost, k) AS c0, arg_max(cost, k) AS c1 FROM costs),
+        gaps AS (SELECT k, cost, 1 - (k - k0) / (k1 - k0) - (cost - c1) / (c0 - c1) AS gap FROM costs, ends)
+        SELECT k, {half_up('cost', 4)} AS cost, k = (SELECT arg_max(k, (gap, -k)) FROM gaps) AS chosen FROM gaps"""
+
+
+@query("elbow", _stacked_rounds())
 def elbow(spark, sf_dir):
-    return segments.elbow(_stored_scaled(spark, sf_dir))
+    return segments.elbow(_stored_scaled(spark, sf_dir)).withColumn("cost", F.round("cost", 4))
 
 
 @query("bisecting")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from gristmill.operators import quality, reporting, series
+from pyspark.sql import functions as F
+
+from gristmill.operators import heavy, quality, reporting, series
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up
 from gristmill.session import written
@@ -88,6 +90,23 @@ def first_last(spark, sf_dir):
     return series.with_endpoints(_ticks(spark, sf_dir)).drop("ts")
 
 
+@query(
+    "source_shares",
+    """WITH sources AS (SELECT source, lang, count(*) AS documents, max(length(text)) AS longest FROM documents GROUP BY 1, 2)
+       SELECT doc_id, d.source, d.lang, documents, CAST(longest AS INTEGER) AS longest,
+              CAST(length(text) AS DOUBLE) / longest AS share_of_longest
+       FROM documents d LEFT JOIN sources s ON d.source = s.source AND d.lang = s.lang""",
+)
+def source_shares(spark, sf_dir):
+    """Every document with the figures of its source and language, of which a few hold most documents."""
+    documents = tables.table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.length("text").alias("n"))
+    figures = documents.groupBy("source", "lang").agg(F.count("*").alias("documents"), F.max("n").alias("longest"))
+    joined = heavy.join_heavy(documents, figures, ["source", "lang"], "left")
+    return joined.select(
+        "doc_id", "source", "lang", "documents", "longest", (F.col("n").cast("double") / F.col("longest")).alias("share_of_longest")
+    )
+
+
 @query("series_report", f"WITH {RETURNS} SELECT * FROM report")
 def series_report(spark, sf_dir):
     return series.performance(_ticks(spark, sf_dir))

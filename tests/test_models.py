@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -84,6 +85,38 @@ def test_sweeps(customers):
     assert [r["partitions"] for r in segments.partition_effect(scaled, 3).collect()] == [2, 4, 8]
 
 
+def test_all_numbers_of_clusters_in_one_scan(customers, monkeypatch):
+    """Costs are those of the centres, centres are the means of their rows, and the scans are those of one fit."""
+    scaled = segments.scaled(customers)
+    x = np.array([r[0].toArray() for r in scaled.select("scaled_features").collect()])
+    scans, plain = [], segments._added
+    monkeypatch.setattr(segments, "_added", lambda *a: scans.append(1) or plain(*a))
+    found = segments.stacked_kmeans(scaled, (1, 2, 3, 4))
+    assert len(scans) <= segments.ITERATIONS + 1
+    for k, (centres, cost) in found.items():
+        squares = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        assert len(centres) == k and cost == pytest.approx(squares.min(axis=1).sum())
+        for c, centre in enumerate(centres):
+            assert centre == pytest.approx(x[squares.argmin(axis=1) == c].mean(axis=0))
+    assert found[1][1] > found[2][1] > found[3][1] >= found[4][1]
+    monkeypatch.setattr(segments, "FAN", 2)
+    again = segments.stacked_kmeans(scaled.repartition(3), (2,), 3)
+    assert len(again[2][0]) == 2
+    assert segments.stacked_kmeans(scaled.limit(0), (2, 3)).keys() == {2, 3}
+
+
+def test_knee():
+    assert segments.knee([(3, 10.0), (4, 4.0), (5, 3.0), (6, 2.5), (7, 2.0)]) == 4
+    assert segments.knee([(3, 1.0), (4, 1.0)]) == 3 and segments.knee([(5, 2.0)]) == 5
+
+
+def test_squares_within_and_between(customers):
+    scaled = segments.scaled(customers)
+    row = segments.split_of_squares(segments.kmeans(scaled, k=3).transform(scaled)).first()
+    assert (row["rows"], row["clusters"]) == (90, 3)
+    assert row["within"] + row["between"] == pytest.approx(4 * 89)
+
+
 def test_plane(customers):
     scaled = segments.scaled(customers)
     flat = segments.plane(scaled)
@@ -110,6 +143,28 @@ def test_confusion(spark):
     assert all(row[name] == pytest.approx(value) for name, value in expected.items())
 
 
+@pytest.mark.parametrize("slice_scores", [1, 7, 1000])
+def test_rank_auc(spark, slice_scores):
+    """Against all pairs, with ties, and against the library's evaluator."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    draw = np.random.default_rng(slice_scores)
+    pairs = [(float(draw.integers(0, 40)) / 8, bool(draw.integers(0, 3) == 0)) for _ in range(300)]
+    frame = spark.createDataFrame([*pairs, (None, True), (0.5, None), (float("nan"), True)], "score DOUBLE, actual BOOLEAN")
+    found = classify.rank_auc(frame, F.col("score"), F.col("actual"), slice_scores)
+    positive, negative = [s for s, a in pairs if a], [s for s, a in pairs if not a]
+    plain = sum((p > n) + (p == n) / 2 for p in positive for n in negative) / (len(positive) * len(negative))
+    assert found == pytest.approx(plain, rel=1e-15)
+    numeric = spark.createDataFrame([(s, float(a)) for s, a in pairs], "rawPrediction DOUBLE, label DOUBLE")
+    assert found == pytest.approx(BinaryClassificationEvaluator(numBins=0).evaluate(numeric))
+
+
+def test_rank_auc_needs_both_classes(spark):
+    for actual in (True, False):
+        frame = spark.createDataFrame([(1.0, actual), (2.0, actual)], "score DOUBLE, actual BOOLEAN")
+        assert classify.rank_auc(frame, F.col("score"), F.col("actual")) is None
+
+
 def test_all_negative(spark):
     row = classify.metrics(predictions(spark, 0, 0, 5, 2), F.col("predicted"), F.col("actual")).first()
     assert (row["precision"], row["recall"], row["f1"]) == (0.0, 0.0, 0.0)
@@ -162,6 +217,11 @@ def test_search_and_comparisons(messages):
     train, test = classify.part(messages, "train"), classify.part(messages, "test")
     search = classify.parameter_search(messages, classify.SETTINGS[:2])
     assert search.count() == 2 and classify.best_setting(search) in classify.SETTINGS
+    found = classify.search_settings(messages, classify.SETTINGS[:2])
+    held = dict(rows(classify.score_evaluation(classify.with_scores(test, found.model, "label_idx"))))
+    assert held["accuracy"] > 0.95 and held["roc_auc"] > 0.95 and found.setting in classify.SETTINGS
+    shown = classify.prediction_sample(found.model, test, 5)
+    assert shown.columns == ["message_text", "actual_label", "predicted_label", "spam_probability"] and shown.count() == 5
     setting = classify.SETTINGS[0]
     fits = {r["fit"]: r["train_rows"] for r in classify.subsample_fit(train, test, setting).collect()}
     assert 0 < fits["subsample"] < fits["full"] == train.count()

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from gristmill.functions import numbers
-from gristmill.operators import sales
+from gristmill.operators import heavy, sales, series
 from gristmill.sources import tables
 
 
@@ -86,3 +86,55 @@ def test_grains_agree_on_skewed_tables(spark, skewed):
         tables.customer_totals(spark, skewed, "customer_id", "orders", "sales", "profit", "quantity"), sales.CUSTOMER
     )
     assert rows(lines) == rows(orders) == rows(customers)
+
+
+def even(frame):
+    """Rows of the largest and of the median partition."""
+    sizes = sorted(r["count"] for r in frame.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    return sizes[-1], sizes[len(sizes) // 2]
+
+
+PLAIN = {"spark__sql__adaptive__enabled": "false", "spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__shuffle__partitions": "8"}
+
+
+def test_first_and_last_of_few_series_are_dealt_evenly(spark, sf_dir):
+    """Five series, of which one holds three quarters of the ticks; adaptive execution is off."""
+    ticks = series.clean(tables.prices(spark, sf_dir))
+    name = ticks.agg(F.min("stock")).first()[0]
+    ticks = ticks.withColumn("stock", F.when(F.col("tick") % 4 < 3, F.lit(name)).otherwise(F.col("stock")))
+    with settings(spark, **PLAIN):
+        found = series.with_endpoints(ticks)
+        top, middle = even(found)
+        assert top <= 2 * middle
+        plain = ticks.join(series.endpoints(ticks), "stock")
+        assert rows(found.select(*plain.columns)) == rows(plain)
+        worst, _ = even(plain)
+        assert worst > 2 * top
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
+def test_heavy_join_gives_the_rows_of_the_plain_one(spark, how):
+    """A key with two thirds of the rows, null keys, keys of one side only, and a key that stands twice in the small side."""
+    large = spark.range(6000).select(
+        "id", F.when(F.col("id") % 3 < 2, "hot").when(F.col("id") % 9 == 2, None).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") % 2).alias("part"),
+    )
+    small = spark.createDataFrame(
+        [("hot", 0, 1.0), ("hot", 0, 2.0), ("hot", 1, 3.0), (None, 0, 9.0), ("5", 1, 4.0), ("none", 0, 5.0)],
+        "k STRING, part LONG, v DOUBLE",
+    )
+    with settings(spark, **PLAIN):
+        found = heavy.join_heavy(large, small, ["k", "part"], how)
+        plain = large.join(small, ["k", "part"], how)
+        assert rows(found.select(*plain.columns)) == rows(plain)
+        if how != "left_anti":
+            top, middle = even(found)
+            assert top <= 2 * middle
+
+
+def test_heavy_keys_are_few(spark):
+    frame = spark.range(1000).select((F.col("id") % 7).alias("k"))
+    assert heavy.heavy_keys(frame, ["k"], 4).count() == 0
+    found = heavy.heavy_keys(frame, ["k"], 14).collect()
+    assert len(found) == 7 and {r["_parts"] for r in found} == {2}
+    assert heavy.heavy_keys(frame.limit(0), ["k"], 14).count() == 0
