@@ -22,9 +22,12 @@ BLOCK = frozenset(
 CONTAINER = frozenset("article body div main section td".split())
 #: Elements whose content is never main text.
 DROPPED = frozenset(
-    "aside audio button canvas dialog footer form head header iframe input label map menu nav noscript object option "
+    "aside audio button canvas dialog footer head iframe input label map menu nav noscript object option "
     "script select style svg template textarea title video".split()
 )
+#: Elements that go as those with a mark do: some frameworks put the whole page into a form, and an article's own header
+#: holds its title.
+MARKED = frozenset(["form", "header"])
 #: Words in class, id or role that mark menus, notices, adverts, comments and the like.
 MARKS = frozenset(
     "ad ads adv advert advertisement adverts advertorial alert banner breadcrumb breadcrumbs byline comment comments "
@@ -80,6 +83,8 @@ class Page(HTMLParser):
         # Marked elements: the one around, and what tells a layout wrapper: 2 for main, 1 for an article or a title.
         self.outer: list[int] = []
         self.holds: list[int] = []
+        # Whether it is the header of an article.
+        self.heads: list[bool] = []
         self.text: list[str] = []
         self.linked = 0
         self.feed(html)
@@ -87,7 +92,9 @@ class Page(HTMLParser):
         self._break()
         kept = self._wrappers()
         if kept is not None:
-            self.blocks = [b for b, m in zip(self.blocks, self.marked) if m < 0 or kept[m]]
+            # Of the header of an article its title stays.
+            titled = [h and (o < 0 or kept[o]) for h, o in zip(self.heads, self.outer)]
+            self.blocks = [b for b, m in zip(self.blocks, self.marked) if m < 0 or kept[m] or b[3] and titled[m]]
 
     def _state(self) -> tuple[int, bool, bool, int]:
         return self.open[-1][1:5] if self.open else (0, False, False, -1)
@@ -176,12 +183,13 @@ class Page(HTMLParser):
         if tag not in ("html", "body", "article", "main"):
             words = _tokens(f"{names.get('class', '')} {names.get('id', '')} {names.get('role', '')}")
             dropped = dropped or tag in DROPPED or "hidden" in names or names.get("aria-hidden") == "true"
-            begins = not dropped and not MARKS.isdisjoint(words)
+            begins = not dropped and (tag in MARKED or not MARKS.isdisjoint(words))
         if tag in BLOCK or dropped or begins:
             self._break()
         if begins:
             self.outer.append(mark)
             self.holds.append(0)
+            self.heads.append(tag == "header" and any(e[0] in ("article", "main") for e in self.open))
             mark = len(self.outer) - 1
         if tag in ("article", "main", "h1") and not dropped and mark >= 0:
             of_main = tag == "main"

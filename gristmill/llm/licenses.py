@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,22 +27,31 @@ TEMPLATES = {
     "mpl": "subject to the terms of the mozilla public license version 2 0",
 }
 THRESHOLD = 0.9
-#: What parts the text blocks: lines.
-BLOCKS = b"\n"
 
 
+def plain_lines(raw: bytes | None) -> list[list[bytes]]:
+    return [line.translate(PLAIN_WORDS).split() for line in (raw or b"").split(b"\n")]
 
-def plain_blocks(raw: bytes | None) -> list[list[bytes]]:
-    return [line.translate(PLAIN_WORDS).split() for line in (raw or b"").split(BLOCKS)]
+
+def blocks(lines: list[list[bytes]], reach: int) -> Iterator[list[bytes]]:
+    """Every line with words, and the ``reach`` words after it: a statement that starts in a line ends in its block."""
+    for i, line in enumerate(lines):
+        if line:
+            after: list[bytes] = []
+            for more in lines[i + 1 :]:
+                after += more[: reach - len(after)]
+                if len(after) >= reach:
+                    break
+            yield line + after
 
 
 def _frequencies(vocabulary: frozenset):
-    """Blocks that hold a word of the templates, one row per word and batch."""
+    """Lines that hold a word of the templates, one row per word and batch."""
 
     def make(columns: list[list]) -> list:
         seen: Counter = Counter()
         for raw in columns[0]:
-            for words in plain_blocks(raw):
+            for words in plain_lines(raw):
                 seen.update(vocabulary.intersection(words))
         return [[w.decode() for w in seen], list(seen.values())]
 
@@ -61,6 +71,8 @@ class Index:
                 self.prefixes.setdefault(word, []).append((len(self.sets), place))
             self.sets.append((label, frozenset(words), len(words), need))
         self.first = frozenset(self.prefixes)
+        #: Words of the longest statement.
+        self.reach = max((len(wording.encode().translate(PLAIN_WORDS).split()) for wording in templates.values()), default=0)
 
     def matches(self, words: list[bytes]) -> list[tuple[str, float]]:
         """Labels of the templates that a block contains, with the share of the template's words it has."""
@@ -98,8 +110,8 @@ def _scan(index: Index, phrases: dict[str, str]):
     def make(columns: list[list]) -> list:
         out: list[list] = [columns[0], [], [], [], [], [], [], []]
         for raw in columns[1]:
-            blocks = plain_blocks(raw)
-            words = [word for block in blocks for word in block]
+            lines = plain_lines(raw)
+            words = [word for line in lines for word in line]
             known = frozenset(words)
             places: list[int] = []
             base: set[str] = set()
@@ -109,7 +121,7 @@ def _scan(index: Index, phrases: dict[str, str]):
                     base.add(label)
             more = {}
             if not index.first.isdisjoint(known):
-                for block in blocks:
+                for block in blocks(lines, index.reach):
                     for label, share in index.matches(block):
                         more[label] = max(share, more.get(label, 0.0))
             row = (
@@ -135,11 +147,12 @@ def license_labels(
     ``documents`` needs doc_id and text. One row per input row: doc_id, n_words, n_base (places where a phrase
     stands), first_word and last_word (smallest and largest place, counted in words; null without a place),
     base_labels, labels (those of the templates too; sorted, joined by commas, empty if none), score (1 if a
-    phrase stands, else the largest share of a template that a line contains, 0 if none reaches the threshold).
+    phrase stands, else the largest share of a template that a block contains, 0 if none reaches the threshold).
     A null text counts as empty. Rows are judged one by one, repeated ones alike; other columns are ignored.
 
-    A line contains a template if it has ``threshold`` of its distinct words. The words of the templates are
-    ordered by the number of lines that hold them in the whole table; a line that contains a template shares a
+    A block is a line with as many of the words after it as the longest template has, so a statement may run over any
+    number of lines; it contains a template if it has ``threshold`` of its distinct words. The words of the templates
+    are ordered by the number of lines that hold them in the whole table; a block that contains a template shares a
     word with its rarest words (the prefix), has as many words as needed, and its matches leave enough words
     after them. What passes is verified. The driver holds the templates and one count per word of theirs.
     """
