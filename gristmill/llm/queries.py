@@ -47,7 +47,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_order.remove_repeated_bytes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("repeats"))
 
 
 @query

@@ -194,9 +194,6 @@ def _settle(level: DataFrame, grouping: Grouping, last: bool) -> DataFrame:
     """Runs under repeated heads, and whether all their windows are known to be repeated."""
     hits = _hits(level, grouping)
     columns = ["k1", "k2", "low", "high"]
-    # At full depth the head is the window.
-    if last:
-        return stored(hits.select(*columns, F.lit(True).alias("settled")), "hits")
     same = F.col("least") == F.col("greatest")
     hits = stored(hits.select(*columns, "head", "content", same.alias("same")), "hits")
     # Under a head with several contents, those that stand twice settle their windows; one stretch of each content
@@ -206,6 +203,9 @@ def _settle(level: DataFrame, grouping: Grouping, last: bool) -> DataFrame:
     kinds = stored(kinds, "kinds")
     twice = kinds.where("n > 1").select("head", "content")
     settled = hits.where("same").select(*columns).unionByName(mixed.join(twice, ["head", "content"]).select(*columns))
+    if last:
+        # At full depth the content is the window, by a second hash: what shares only the head is another window.
+        return settled.withColumn("settled", F.lit(True))
     going = kinds.select("one.*").withColumn("settled", F.lit(False))
     return stored(settled.withColumn("settled", F.lit(True)).unionByName(going), "judged")
 
