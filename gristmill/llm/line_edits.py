@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.common import row_key, spare, stored, with_row_key
 
-#: Edits between two lines that count as one, and the length below which lines are left alone: words and
-#: numbers on a line of their own repeat by chance.
-EDITS, LEAST = 1, 16
+#: Edits that two lines may be apart and still count as one, by the length from which so many are allowed (that of the
+#: shorter line). Shorter lines count as one only if they are equal.
+EDITS = ((16, 1), (64, 2))
 BLANKS = " \t\r"
 #: Letters whose counts two lines are compared by before they meet; one edit changes two counts by one at most.
 LETTERS = "eantiors"
+
+Steps = tuple[tuple[int, int], ...]
 #: Bits of the filters that spare a shuffle of all lines.
 FILTER_BITS = 24
 
@@ -96,29 +98,58 @@ def _key(length: Column, i: int, text: Column) -> Column:
     return F.xxhash64(length.cast("int"), F.lit(i), text)
 
 
-def _index(edits: int) -> Column:
-    n, line = F.col("n"), F.col("line")
-    return F.array(*[_key(n, i, F.substring(line, at, size)) for i, (at, size) in enumerate(_segments(n, edits))])
+def allowed(n: Column, steps: Steps) -> Column:
+    """Edits that a line of ``n`` characters may be from a longer one."""
+    found = F.lit(0)
+    for least, edits in steps:
+        found = F.when(n >= least, edits).otherwise(found)
+    return found
+
 
+def _index(steps: Steps) -> Column:
+    n, line, keys = F.col("n"), F.col("line"), []
+    for edits in sorted({e for _, e in steps}):
+        own = allowed(n, steps) == edits
+        keys += [F.when(own, _key(n, i, F.substring(line, at, size))) for i, (at, size) in enumerate(_segments(n, edits))]
+    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
 
-def _probes(edits: int) -> Column:
-    """Substrings at which a segment of a line as long, or up to ``edits`` shorter, can stand.
+
+def _probes(steps: Steps) -> Column:
+    """Substrings at which a segment of a line as long, or shorter by no more than its edits, can stand.
 
     Those of the line's own segments are left out: ``_index`` has them.
     """
     n, line, keys = F.col("n"), F.col("line"), []
-    for gap in range(edits + 1):
-        length = n - gap
-        for i, (at, size) in enumerate(_segments(length, edits)):
-            low, high = max(-i, gap - (edits - i)), min(i, gap + (edits - i))
-            for shift in range(low, high + 1):
-                if gap or shift:
-                    start = at + shift
-                    fits = (start >= 1) & (start + size - 1 <= n)
-                    keys.append(F.when(fits, _key(length, i, F.substring(line, start, size))))
+    for edits in sorted({e for _, e in steps}):
+        for gap in range(edits + 1):
+            length = n - gap
+            meant = allowed(length, steps) == edits
+            for i, (at, size) in enumerate(_segments(length, edits)):
+                low, high = max(-i, gap - (edits - i)), min(i, gap + (edits - i))
+                for shift in range(low, high + 1):
+                    if gap or shift:
+                        start = at + shift
+                        fits = meant & (start >= 1) & (start + size - 1 <= n)
+                        keys.append(F.when(fits, _key(length, i, F.substring(line, start, size))))
     return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
 
 
+def _groups(steps: Steps) -> int:
+    return 2 * max((edits for _, edits in steps), default=0) + 1
+
+
+def _signatures(line: Column, groups: int) -> Column:
+    """A hash of the characters of each group (code modulo ``groups``), whatever their order.
+
+    An edit takes a character out of one group and may put one into another, so of two lines that are within
+    ``(groups - 1) / 2`` edits at least one group has the same characters.
+    """
+    letters = F.split(line, "")
+    return F.array(
+        *[F.xxhash64(F.array_sort(F.filter(letters, lambda c, g=g: F.ascii(c) % groups == g))) for g in range(groups)]
+    )
+
+
 def _among(frame: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows whose 64-bit ``column`` may be among ``ids`` (of the same name); few others pass, none of them is lost.
 
@@ -148,27 +179,16 @@ def _letter_distance(a: str, b: str) -> str:
     return " + ".join(parts)
 
 
-def repeated_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """``doc_id, k1, k2, n_lines, n_removed, removed``: the lines of each document that an earlier line repeats.
-
-    ``documents`` needs doc_id and text. Lines are parted by the line feed and compared without blanks at their
-    ends; those shorter than ``least`` characters stay. The order of lines is that of doc_id (null last), then of
-    the line in its text. A line goes if an equal line, or a different line within ``edits`` edits, first appears
-    before it. ``removed`` has the line numbers, from 0, in order. Rows that are equal in doc_id and text are one
-    document and get one row; a null text has no lines, an empty one has one. Other columns are ignored.
-
-    Equal lines are one class, counted per task first. A class is cut into ``edits + 1`` segments and probed by
-    the substrings at which a segment of a line up to ``edits`` shorter can stand. Classes that share a key get
-    their texts; pairs of them that nearly agree in the counts of eight letters are verified.
-    """
+def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
+    """``k1, k2, n_lines, n_removed, removed`` per different row that has a text."""
     rows = with_row_key(documents).where("text IS NOT NULL")
     place = F.expr("CAST(coalesce(doc_id, 9223372036854775807) AS DECIMAL(38, 0)) * 4294967296 + number")
     place = place.cast("decimal(38,0)").alias("place")
     lines = rows.select("doc_id", "k1", "k2", F.posexplode(F.split("text", "\n", -1)).alias("number", "line"))
     lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).withColumn("n", F.length("line"))
-    long = F.col("n") >= least
-    marks = {"h1": F.when(long, F.xxhash64("line")), "h2": F.when(long, F.hash("line", F.lit(1)))}
-    keys = {"own": F.when(long, _index(edits)), "others": F.when(long, _probes(edits))}
+    some, long = F.col("n") > 0, F.col("n") >= min((least for least, _ in steps), default=2**31 - 1)
+    marks = {"h1": F.when(some, F.xxhash64("line")), "h2": F.when(some, F.hash("line", F.lit(1)))}
+    keys = {"own": F.when(long, _index(steps)), "others": F.when(long, _probes(steps))}
     plain = stored(lines.select("doc_id", "k1", "k2", "number", *[c.alias(n) for n, c in (marks | keys).items()]), "lines")
     numbered = plain.select("doc_id", "k1", "k2", "number", place, "h1", "h2")
     classes = numbered.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("place").alias("first"))
@@ -185,19 +205,34 @@ def repeated_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
     texts = lines.where(long).select("doc_id", "number", "line", *[c.alias(n) for n, c in marks.items()])
     texts = _among(texts, "h1", ids).select("h1", "h2", place, "line").join(wanted, ["h1", "h2"]).where("place = first")
     texts = texts.select("h1", "h2", "first", "line").dropDuplicates(["h1", "h2"])
-    texts = stored(texts.withColumn("letters", _letter_counts(F.col("line"))), "line-texts")
-    letters = some.join(texts.select("h1", "letters"), "h1")
-    index = letters.where("is_own = 1").select("key", "h1", "letters")
-    probes = letters.select("key", F.col("h1").alias("p1"), F.col("letters").alias("others"))
-    near = index.join(probes, "key").where("h1 <> p1")
-    near = near.where(f"{_letter_distance('letters', 'others')} <= {2 * edits}")
+    line = F.col("line")
+    texts = texts.withColumns(
+        {"letters": _letter_counts(line), "edits": allowed(F.length(line), steps), "groups": _signatures(line, _groups(steps))}
+    )
+    texts = stored(texts, "line-texts")
+    # Below a key that many lines share, only those meet that also have the same characters in one of the groups.
+    known = some.join(texts.select("h1", "letters", "edits", F.posexplode("groups").alias("g", "same")), "h1")
+    known = known.withColumn("meeting", F.xxhash64("key", "g", "same"))
+    index = known.where("is_own = 1").select("meeting", "h1", "letters", "edits")
+    probes = known.select("meeting", F.col("h1").alias("p1"), F.col("letters").alias("others"))
+    near = index.join(probes, "meeting").where("h1 <> p1")
+    near = near.where(f"{_letter_distance('letters', 'others')} <= 2 * edits")
     pairs = near.select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct()
-    one = texts.select(*[F.col(c).alias(f"{c}_a") for c in texts.columns])
-    two = texts.select(*[F.col(c).alias(f"{c}_b") for c in texts.columns])
+    parts = texts.select("h1", "h2", "first", "line", "edits")
+    one, two = (parts.select(*[F.col(c).alias(f"{c}_{side}") for c in parts.columns]) for side in "ab")
     met = pairs.join(one, F.col("a") == F.col("h1_a")).join(two, F.col("b") == F.col("h1_b"))
     swap = F.length("line_a") > F.length("line_b")
-    short, tall = F.when(swap, F.col("line_b")).otherwise(F.col("line_a")), F.when(swap, F.col("line_a")).otherwise(F.col("line_b"))
-    met = met.withColumn("short", short).withColumn("tall", tall).where(within(F.col("short"), F.col("tall"), edits))
+
+    def ordered(column: str, shorter: bool) -> Column:
+        return F.when(swap == shorter, F.col(f"{column}_b")).otherwise(F.col(f"{column}_a"))
+
+    met = met.withColumns(
+        {"short": ordered("line", True), "tall": ordered("line", False), "edits": ordered("edits", True)}
+    )
+    close = F.lit(False)
+    for edits in sorted({e for _, e in steps}):
+        close = F.when(F.col("edits") == edits, within(F.col("short"), F.col("tall"), edits)).otherwise(close)
+    met = met.where(close)
     later = F.col("first_a") > F.col("first_b")
     near = met.select(
         F.when(later, F.col("h1_a")).otherwise(F.col("h1_b")).alias("h1"),
@@ -208,13 +243,37 @@ def repeated_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
     judged = numbered.join(classes, ["h1", "h2"], "left")
     goes = F.col("h1").isNotNull() & (F.col("near").isNotNull() | (F.col("place") > F.col("first")))
     judged = judged.withColumn("goes", F.when(goes, F.col("number")))
-    return judged.groupBy("doc_id", "k1", "k2").agg(
+    return judged.groupBy("k1", "k2").agg(
         F.countDistinct("number").alias("n_lines"), F.countDistinct("goes").alias("n_removed"),
         F.array_sort(F.collect_set("goes")).alias("removed"),
     )
 
 
-def without_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def repeated_lines(documents: DataFrame, steps: Steps = EDITS) -> DataFrame:
+    """``doc_id, k1, k2, n_lines, n_removed, removed``: the lines of each document that an earlier line repeats.
+
+    ``documents`` needs doc_id and text. Lines are parted by the line feed and compared without blanks at their
+    ends; empty ones stay. The order of lines is that of doc_id (null last), then of the line in its text. A line
+    goes if an equal line of any length first appears before it, or a different one that is no more edits away than
+    ``steps`` allow for the length of the shorter of the two. ``removed`` has the line numbers, from 0, in order.
+    Every input row has a row; rows that are equal in doc_id and text are one document and say the same. A null text
+    has no lines, an empty one has one. Other columns are ignored.
+
+    Equal lines are one class, counted per task first. A class is cut into one segment more than the edits it may
+    have and probed by the substrings at which a segment of a line shorter by no more than its edits can stand.
+    Classes that share a key get their texts; pairs of them that have the same characters in one of the groups and
+    nearly agree in the counts of eight letters are verified.
+    """
+    keys = with_row_key(documents).select("doc_id", "k1", "k2")
+    found = keys.join(_judged(documents, steps), ["k1", "k2"], "left")
+    none = F.lit(0).cast("long")
+    return found.select(
+        "doc_id", "k1", "k2", F.coalesce("n_lines", none).alias("n_lines"), F.coalesce("n_removed", none).alias("n_removed"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+    )
+
+
+def without_lines(documents: DataFrame, steps: Steps = EDITS) -> DataFrame:
     """The documents, all their columns, without the lines that ``repeated_lines`` finds.
 
     ``n_chars``, where there is such a column, follows the text. A document that loses all its lines goes;
@@ -222,7 +281,7 @@ def without_lines(documents: DataFrame, edits: int = EDITS, least: int = LEAST)
     """
     columns = documents.columns
     one, two, gone, empty = (spare(columns, c) for c in ("k1", "k2", "gone", "empty"))
-    found = repeated_lines(documents, edits, least).where("n_removed > 0")
+    found = _judged(documents, steps).where("n_removed > 0")
     found = found.select(
         F.col("k1").alias(one), F.col("k2").alias(two), F.col("removed").alias(gone),
         (F.col("n_lines") == F.col("n_removed")).alias(empty),

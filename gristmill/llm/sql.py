@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 
 from gristmill.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
-from gristmill.llm.line_edits import LEAST
+from gristmill.llm.line_edits import EDITS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -87,11 +87,14 @@ def _licenses() -> str:
         listed = ", ".join(f"'{word}'" for word in words)
         templates.append(f"('{label}', [{listed}], {len(words)}, {need})")
     joined = " || ".join(f"coalesce({p}, [])" for p in places)
+    reach = max(len(wording.split()) for wording in TEMPLATES.values())
     return f"""WITH base AS (SELECT doc_id, {PLAIN.format("coalesce(text, '')")} AS w FROM documents),
     placed AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, {joined} AS places,
         list_filter([{", ".join(labels)}], lambda x: x IS NOT NULL) AS phrases FROM base),
-    blocks AS (SELECT doc_id, list_distinct({PLAIN.format('line')}) AS b
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+    lines AS (SELECT doc_id, i, len({PLAIN.format('line')}) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+    ends AS (SELECT doc_id, n, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS e FROM lines),
+    blocks AS (SELECT doc_id, list_distinct(w[e - n + 1:e + {reach}]) AS b FROM ends JOIN base USING (doc_id) WHERE n > 0),
     templates(label, t, size, need) AS (VALUES {", ".join(templates)}),
     matched AS (SELECT doc_id, label, max(CAST(len(list_intersect(b, t)) AS DOUBLE) / size) AS share
         FROM blocks, templates WHERE len(b) >= need AND len(list_intersect(b, t)) >= need GROUP BY 1, 2),
@@ -105,24 +108,31 @@ def _licenses() -> str:
 
 LICENSES = _licenses()
 
-#: One edit: after the common start, the rest is equal with one character more or exchanged.
+#: levenshtein() counts bytes: every letter beyond ASCII becomes one unused byte first. Of two lines within two edits
+#: one third of the shorter stands in the longer.
+SPARE = "".join(f" || chr({i})" for i in [*range(1, 9), 11, 12, *range(14, 32)])[4:]
+EDITS_OF = "".join(f"WHEN n >= {least} THEN {edits} " for least, edits in reversed(EDITS))
 LINES = f"""WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS number
         FROM documents WHERE text IS NOT NULL),
     lines AS (SELECT doc_id, number, trim(line, ' ' || chr(9) || chr(13)) AS line FROM split),
-    classes AS (SELECT line, length(line) AS n, min((doc_id, number)) AS first FROM lines WHERE length(line) >= {LEAST} GROUP BY 1),
-    met AS (SELECT x.line AS a, y.line AS b, x.first AS fa, y.first AS fb FROM classes x JOIN classes y
-        ON y.n = x.n OR y.n = x.n + 1 WHERE x.line <> y.line AND levenshtein(x.line, y.line) <= 4),
-    started AS (SELECT *, coalesce(list_position(list_transform(range(1, length(a) + 1), lambda i: a[i] = b[i]), false) - 1, length(a)) AS p
-        FROM met),
-    near AS (SELECT a, b, fa, fb FROM started WHERE length(a) = length(b) AND substr(a, p + 2) = substr(b, p + 2)
-        OR length(b) = length(a) + 1 AND substr(a, p + 1) = substr(b, p + 2)),
+    odd AS (SELECT string_agg(c, '' ORDER BY c) AS letters FROM (
+        SELECT DISTINCT unnest(regexp_extract_all(line, '[^\\x00-\\x7F]')) AS c FROM lines)),
+    classes AS (SELECT line, length(line) AS n, min((doc_id, number)) AS first FROM lines WHERE line <> '' GROUP BY 1),
+    plain AS MATERIALIZED (SELECT line, n, first, CASE {EDITS_OF}ELSE 0 END AS edits,
+        translate(line, coalesce((SELECT letters FROM odd), ''), {SPARE}) AS p FROM classes),
+    pairs AS (SELECT x.line AS a, y.line AS b, x.first AS fa, y.first AS fb, x.p AS pa, y.p AS pb, x.edits FROM plain x
+        JOIN (SELECT *, unnest([0, 1, 2]) AS gap FROM plain) y ON y.n - y.gap = x.n
+        WHERE y.gap <= x.edits AND x.edits > 0 AND x.line <> y.line AND (contains(y.p, substr(x.p, 1, x.n // 3))
+            OR contains(y.p, substr(x.p, x.n // 3 + 1, x.n // 3)) OR contains(y.p, substr(x.p, 2 * (x.n // 3) + 1)))),
+    near AS (SELECT a, b, fa, fb FROM pairs WHERE levenshtein(pa, pb) <= edits),
     later AS (SELECT a AS line FROM near WHERE fb < fa UNION SELECT b FROM near WHERE fa < fb),
     judged AS (SELECT doc_id, number, first IS NOT NULL AND (later.line IS NOT NULL OR (doc_id, number) > first) AS goes
-        FROM lines LEFT JOIN classes USING (line) LEFT JOIN later USING (line))
-    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_removed,
+        FROM lines LEFT JOIN classes USING (line) LEFT JOIN later USING (line)),
+    found AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_removed,
         coalesce(string_agg(CAST(number AS VARCHAR), ',' ORDER BY number) FILTER (WHERE goes), '') AS removed
-    FROM judged GROUP BY doc_id"""
-
+    FROM judged GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+    FROM documents LEFT JOIN found USING (doc_id)"""
 
 
 def _centroids(size: int = 64, clusters: int = 8, rounds: int = 10, scale: int = 1024, seed: int = 3) -> str:

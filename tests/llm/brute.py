@@ -101,30 +101,37 @@ def edit_distance(a, b):
     return row[-1]
 
 
-def repeated_lines(rows, edits, least):
+def edits_allowed(n, steps):
+    return max((edits for least, edits in steps if n >= least), default=0)
+
+
+def repeated_lines(rows, steps):
     """Rows (doc_id, text) with different ids: sorted (doc_id, n_lines, removed)."""
     lines, first = [], {}
-    for doc_id, text in sorted(rows):
+    for doc_id, text in sorted(rows, key=lambda row: row[0]):
         if text is not None:
             for number, line in enumerate(text.split("\n")):
                 line = line.strip(" \t\r")
                 lines.append((doc_id, number, line))
-                if len(line) >= least:
+                if line:
                     first.setdefault(line, (doc_id, number))
-    near, by_length = set(), defaultdict(list)
+    near, by_length, letters = set(), defaultdict(list), {line: Counter(line) for line in first}
     for line in first:
         by_length[len(line)].append(line)
+    most = max((edits for _, edits in steps), default=0)
     for line, place in first.items():
-        for size in range(len(line) - edits, len(line) + edits + 1):
-            for other in by_length.get(size, []):
-                if first[other] < place and sum((Counter(other) - Counter(line)).values()) <= edits:
-                    if edit_distance(other, line) <= edits:
-                        near.add(line)
+        for size in range(len(line) - most, len(line) + most + 1):
+            edits = edits_allowed(min(size, len(line)), steps)
+            if abs(size - len(line)) <= edits > 0:
+                for other in by_length.get(size, []):
+                    if first[other] < place and sum((letters[other] - letters[line]).values()) <= edits:
+                        if edit_distance(other, line) <= edits:
+                            near.add(line)
     gone = defaultdict(list)
-    count = Counter()
+    count = Counter({doc_id: 0 for doc_id, _ in rows})
     for doc_id, number, line in lines:
         count[doc_id] += 1
-        if len(line) >= least and (line in near or first[line] != (doc_id, number)):
+        if line and (line in near or first[line] != (doc_id, number)):
             gone[doc_id].append(number)
     return sorted((doc_id, n, gone[doc_id]) for doc_id, n in count.items())
 
@@ -142,10 +149,11 @@ def phrase_places(text, phrases):
 
 
 def contained(text, templates, threshold):
-    """Labels with the largest share that a line contains, where it reaches the threshold."""
-    found = {}
-    for line in (text or "").split("\n"):
-        block = set(PLAIN.findall(line.translate(ASCII_LOWER)))
+    """Labels with the largest share that a line and the words after it contain, where it reaches the threshold."""
+    found, lines = {}, [PLAIN.findall(line.translate(ASCII_LOWER)) for line in (text or "").split("\n")]
+    reach = max(len(PLAIN.findall(wording)) for wording in templates.values())
+    for i, line in enumerate(lines):
+        block = set(line + [w for after in lines[i + 1 :] for w in after][:reach]) if line else set()
         for label, wording in templates.items():
             wanted = set(PLAIN.findall(wording.translate(ASCII_LOWER)))
             share = len(wanted & block) / len(wanted)

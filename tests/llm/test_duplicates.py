@@ -88,20 +88,45 @@ def test_chunks_of_a_long_text(odd_documents, monkeypatch):
     assert [int(x) for x in cut[2][1:]] == [int(x) + 1 for x in cut[3][:-1]]
 
 
-def lines(frame, edits=1, least=16):
-    found = line_edits.repeated_lines(frame, edits, least)
+def lines(frame, steps=line_edits.EDITS):
+    found = line_edits.repeated_lines(frame, steps)
     return sorted((r["doc_id"], r["n_lines"], list(r["removed"])) for r in found.collect() if r["doc_id"] is not None)
 
 
 def test_repeated_lines(spark, sf_dir, documents):
     found = lines(documents)
-    assert found == brute.repeated_lines(plain(documents), 1, 16)
+    assert found == brute.repeated_lines(plain(documents), line_edits.EDITS)
     assert any(row[2] for row in found)
+    # No line but an empty one stays twice.
+    kept = line_edits.without_lines(documents).select(F.explode(F.split("text", "\n")).alias("line"))
+    kept = kept.select(F.btrim("line", F.lit(line_edits.BLANKS)).alias("line")).where("line <> ''")
+    assert kept.count() == kept.distinct().count() > 0
 
 
-@pytest.mark.parametrize("edits, least", [(0, 3), (1, 16), (2, 4), (3, 8)])
-def test_lines_of_odd_documents(odd_documents, edits, least):
-    assert lines(odd_documents, edits, least) == brute.repeated_lines(plain(odd_documents), edits, least)
+@pytest.mark.parametrize("steps", [(), ((16, 1),), ((4, 2),), ((8, 3),), line_edits.EDITS, ((2, 1), (6, 2), (12, 3))])
+def test_lines_of_odd_documents(odd_documents, steps):
+    found = line_edits.repeated_lines(odd_documents, steps)
+    assert found.count() == odd_documents.count()
+    ids = {i for i, _ in plain(odd_documents)}
+    assert sorted(set(map(repr, lines(odd_documents, steps)))) == sorted(map(repr, brute.repeated_lines(plain(odd_documents), steps)))
+    assert {r["doc_id"] for r in found.collect()} - {None} == ids
+
+
+def test_a_very_long_line_and_its_edits(spark):
+    """Lines of 1,500 characters with none to three characters changed, and short lines that only repeat exactly."""
+    long = "".join(chr(97 + i * i % 23) for i in range(1500))
+    edited = [long, long[:9] + "X" + long[10:], long[:1400] + long[1401:], "Q" + long[:700] + long[701:], "XYZ" + long[3:]]
+    rows = [(i, f"{x}\nab\n{'cd' if i else 'ce'}\n") for i, x in enumerate(edited)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lines(frame) == brute.repeated_lines(rows, line_edits.EDITS)
+    assert [r[2] for r in lines(frame)] == [[], [0, 1], [0, 1, 2], [0, 1, 2], [1, 2]]
+
+
+def test_lines_from_one_template(spark):
+    """Lines that share all but a number meet only where a group of characters agrees as well; the rows stay right."""
+    rows = [(i, f"This page was last changed by the editor of the day on its visit number {i * 7919 % 100_003:06d}") for i in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lines(frame) == brute.repeated_lines(rows, line_edits.EDITS)
 
 
 @pytest.mark.parametrize("edits", [1, 2, 3])
@@ -129,7 +154,7 @@ def test_documents_without_their_repeated_lines(odd_documents):
     frame = line_edits.without_lines(odd_documents)
     assert frame.columns == odd_documents.columns
     after = [(r["doc_id"], r["text"]) for r in frame.collect()]
-    gone = {i: (n, lost) for i, n, lost in brute.repeated_lines(plain(odd_documents), 1, 16)}
+    gone = {i: (n, lost) for i, n, lost in brute.repeated_lines(plain(odd_documents), line_edits.EDITS)}
     for doc_id, text in before:
         n, lost = gone.get(doc_id, (0, []))
         kept = text if not lost else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in lost)

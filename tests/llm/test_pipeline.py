@@ -8,7 +8,7 @@ from odd_tables import no_documents, odd_documents, plain  # noqa: F401
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
-from gristmill.llm import pairwise_quality, queries, spaced_seeds
+from gristmill.llm import line_edits, pairwise_quality, queries, spaced_seeds
 from gristmill.llm.common import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,7 +26,7 @@ def test_stages_in_a_row(spark, sf_dir):
             scores = {r["doc_id"]: r["score"] for r in pairwise_quality.score(before, ranker).collect()}
             assert set(kept) == {i for i, s in scores.items() if s >= pairwise_quality.CUT}
         elif name == "line dedup":
-            gone = {i: lost for i, n, lost in brute.repeated_lines(plain(before), 1, 16)}
+            gone = {i: lost for i, n, lost in brute.repeated_lines(plain(before), line_edits.EDITS)}
             for i, r in rows.items():
                 left = [x for k, x in enumerate(r["text"].split("\n")) if k not in gone[i]]
                 assert (i in kept) == bool(left) and (not left or kept[i]["text"] == "\n".join(left))
@@ -70,5 +70,5 @@ def test_same_as_sql(spark, sf_dir, name):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)

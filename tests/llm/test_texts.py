@@ -168,6 +168,24 @@ def test_licenses_of_odd_documents(spark, odd_documents, no_documents):
     assert licenses.license_labels(no_documents).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+
+
+def test_statements_over_several_lines(spark):
+    """The usual wrapping of two notices, one word per line, and words too far apart."""
+    texts = [
+        f"Some words before.\n\n{MIT}\nand more", BSD, MIT.replace(" ", "\n"), f"{BSD}\n{MIT}", "released\nunder\n\nthe MIT\nlicense",
+        "released under\n" + "other words " * 9 + "\nthe mit license",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["labels"] for r in licenses.license_labels(frame).collect()}
+    assert found == {0: "mit-notice", 1: "bsd", 2: "mit-notice", 3: "bsd,mit-notice", 4: "mit", 5: ""}
+
+
 # ---- pages ------------------------------------------------------------------------------------------
 
 
@@ -328,3 +346,89 @@ def test_a_ranker_orders_by_the_feature_that_matters():
     ranker = pairwise_quality.Ranker(x, x[:, 4] > 0.5)
     scores = ranker.scores(x)
     assert ((scores >= pairwise_quality.CUT) == (x[:, 4] > 0.5)).mean() > 0.97
+
+
+def test_forms_and_headers_around_the_article(spark):
+    """A form around the whole page, with and without an article; a site's header goes, an article's keeps its title."""
+    body = " ".join(f"<p>{sentences(3, f'b{i}')}</p>" for i in range(4))
+    plain = " ".join(sentences(3, f"b{i}") for i in range(4))
+    site = "<header><h1>Site name</h1><nav><a href=/>Home</a></nav><p>The site of the sites, of all the sites there are</p></header>"
+    form = "<form action=/subscribe><p>Subscribe to our letter and get all of the news of each and every day</p><input></form>"
+    head = "<header><h1>The title</h1><p>By a writer</p></header>"
+    pages = {
+        f"<body><form id=aspnetForm>{site}<article>{body}</article>{form}</form></body>": plain,
+        f"<body><form id=aspnetForm><div class=content>{body}</div></form></body>": plain,
+        f"<body>{site}<article>{head}{body}{form}</article></body>": f"The title {plain}",
+        f"<body>{site}<main><div>{head}{body}</div></main></body>": f"The title {plain}",
+        f"<body>{site}<div class=text>{body}{form}</div></body>": plain,
+        f"<body>{form}</body>".replace("<p>", "<label>").replace("</p>", "</label>"): "",
+    }
+    for i, (html, text) in enumerate(pages.items()):
+        assert page_texts(spark, [(f"http://h{i}.example/", html)]) == [text], html
+
+
+def test_long_pages_ties_and_repeated_rows(spark):
+    """A page of two megabytes whole; of two paths with as many votes and equal scores the last; copies alike."""
+    long = " ".join(f"<p>{sentences(4, f'w{i}')}</p>" for i in range(12_000))
+    one, two = f"<div class=a><p>{sentences(5, 'x')}</p></div>", f"<div class=b><p>{sentences(5, 'x')}</p></div>"
+    pages = [("http://long.example/", f"<body><article>{long}</article></body>")]
+    pages += [("http://tie.example/", f"<body>{x}</body>") for x in (one, two, one, two)]
+    texts = page_texts(spark, pages)
+    assert texts[0] == " ".join(sentences(4, f"w{i}") for i in range(12_000)) and len(texts[0]) > 10**6
+    assert texts[1:] == [sentences(5, "x")] * 4
+
+
+def plain_ranking(x, good, seed=7):
+    """Bradley-Terry by plain gradient steps over the same pairs: centre, scale, weights and threshold."""
+    centre, scale = x.mean(axis=0), np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0)
+    z = np.clip((x - centre) / scale, -8, 8)
+    rng = np.random.default_rng(seed)
+    better, worse = [i for i, g in enumerate(good) if g], [i for i, g in enumerate(good) if not g]
+    one = [i for i in better for _ in range(pairwise_quality.RIVALS)] + list(rng.choice(better, len(worse) * pairwise_quality.RIVALS))
+    two = list(rng.choice(worse, len(better) * pairwise_quality.RIVALS)) + [i for i in worse for _ in range(pairwise_quality.RIVALS)]
+    d = z[one] - z[two]
+    w, speed = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    rate = 1 / (np.linalg.norm(d, 2) ** 2 / len(d) / 4 + pairwise_quality.PENALTY)
+    for _ in range(40_000):
+        at = w + 0.99 * speed
+        slope = -(d / (1 + np.exp(d @ at))[:, None]).mean(axis=0) + pairwise_quality.PENALTY * at
+        speed = 0.99 * speed - rate * slope
+        w = w + speed
+        if np.abs(slope).max() < 1e-12:
+            break
+    scores = z @ w
+    cuts = np.quantile(scores, np.linspace(0.002, 0.998, 499))
+    rate_of = [sum(s < c for s in scores[good]) / good.sum() + sum(s >= c for s in scores[~good]) / (~good).sum() for c in cuts]
+    least = [c for c, r in zip(cuts, rate_of) if r <= min(rate_of) + 1e-12]
+    return centre, scale, w, least[len(least) // 2]
+
+
+def test_quality_is_that_of_a_plain_fit(spark, sf_dir):
+    """The query's scores against a plain fit on all labelled documents that are not held out."""
+    import zlib
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").collect()}
+    ids = sorted(i for i in labels if i in texts and zlib.crc32(str(i).encode()) % 5)
+    measured = {i: pairwise_quality.features((t or "").encode()) for i, t in texts.items()}
+    x, good = np.array([measured[i] for i in ids]), np.array([labels[i] == 1 for i in ids])
+    # The fit takes its rows by id, then class; pairs are drawn by position.
+    centre, scale, w, threshold = plain_ranking(x, good)
+    ranker = pairwise_quality.learn(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert np.abs(ranker.weights - w).max() < 1e-4 and abs(ranker.threshold - threshold) < 1e-3
+    found = {r["doc_id"]: r for r in queries.op9_quality_classifier(spark, sf_dir).collect()}
+    assert found.keys() == texts.keys()
+    for i, row in found.items():
+        s = np.clip((measured[i] - centre) / scale, -8, 8) @ w - threshold
+        plain = 1 / (1 + np.exp(-(s + np.log(0.3 / 0.7))))
+        assert abs(row["score"] - plain) < 2e-3 and row["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert row["predicted"] == int(row["score"] >= 0.3)
+
+
+def test_quality_of_a_very_long_text(spark, sf_dir):
+    long = " ".join(f"word{i % 5000} of a sentence that goes on." for i in range(60_000))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ranker = pairwise_quality.learn(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels)
+    frame = spark.createDataFrame([(1, long), (2, long)], "doc_id long, text string")
+    scores = [r["score"] for r in pairwise_quality.score(frame, ranker).collect()]
+    assert scores == [float(ranker.scores(pairwise_quality.features(long.encode())[None])[0])] * 2
