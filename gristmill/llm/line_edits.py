@@ -15,6 +15,8 @@ BLANKS = " \t\r"
 LETTERS = "eantiors"
 
 Steps = tuple[tuple[int, int], ...]
+#: Starts of two lines are compared by their characters at every so many of them.
+BEFORE = 64
 #: Bits of the filters that spare a shuffle of all lines.
 FILTER_BITS = 24
 
@@ -94,8 +96,9 @@ def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     return out
 
 
-def _key(length: Column, i: int, text: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(i), text)
+def _key(length: Column, i: int, start: Column, size: Column) -> Column:
+    """Of ``size`` characters of the line; ``wide`` has four bytes for each, so they are cut out without a search."""
+    return F.xxhash64(length.cast("int"), F.lit(i), F.substring(F.col("wide"), 4 * (start - 1) + 1, 4 * size))
 
 
 def allowed(n: Column, steps: Steps) -> Column:
@@ -107,10 +110,10 @@ def allowed(n: Column, steps: Steps) -> Column:
 
 
 def _index(steps: Steps) -> Column:
-    n, line, keys = F.col("n"), F.col("line"), []
+    n, keys = F.col("n"), []
     for edits in sorted({e for _, e in steps}):
         own = allowed(n, steps) == edits
-        keys += [F.when(own, _key(n, i, F.substring(line, at, size))) for i, (at, size) in enumerate(_segments(n, edits))]
+        keys += [F.when(own, _key(n, i, at, size)) for i, (at, size) in enumerate(_segments(n, edits))]
     return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
 
 
@@ -119,7 +122,7 @@ def _probes(steps: Steps) -> Column:
 
     Those of the line's own segments are left out: ``_index`` has them.
     """
-    n, line, keys = F.col("n"), F.col("line"), []
+    n, keys = F.col("n"), []
     for edits in sorted({e for _, e in steps}):
         for gap in range(edits + 1):
             length = n - gap
@@ -130,7 +133,7 @@ def _probes(steps: Steps) -> Column:
                     if gap or shift:
                         start = at + shift
                         fits = meant & (start >= 1) & (start + size - 1 <= n)
-                        keys.append(F.when(fits, _key(length, i, F.substring(line, start, size))))
+                        keys.append(F.when(fits, _key(length, i, start, size)))
     return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
 
 
@@ -162,6 +165,37 @@ def _among(frame: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return found.where(f"getbit(bits, {bit}) = 1").drop("word", "bits")
 
 
+def _shape(line: Column) -> Column:
+    """Counts of eight groups of characters in the first 64, 128, ... 512 characters, four counts of 16 bits in a long."""
+    marks = F.least(F.lit(512 // BEFORE), F.floor(F.length(line) / BEFORE)).cast("int")
+    groups = F.transform(F.split(F.substring(line, 1, 512), ""), lambda c: F.ascii(c) % 8)
+
+    def counts(size: Column, low: int) -> Column:
+        units = F.transform(
+            F.filter(F.slice(groups, 1, size), lambda g: (g >= low) & (g < low + 4)),
+            lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), 16 * (g - low)),
+        )
+        return F.aggregate(units, F.lit(0).cast("long"), lambda a, b: a + b)
+
+    found = F.flatten(F.transform(F.sequence(F.lit(1), marks), lambda k: F.array(counts(BEFORE * k, 0), counts(BEFORE * k, 4))))
+    return F.when(marks > 0, found).otherwise(F.array().cast("array<bigint>"))
+
+
+def _alike(a: Column, b: Column, edits: Column) -> Column:
+    """Whether no start of the lines has counts further apart than the edits allow: an edit moves two by one at most."""
+
+    def apart(x: Column, y: Column) -> Column:
+        lanes = [F.abs(F.shiftright(x, 16 * i).bitwiseAND(65535) - F.shiftright(y, 16 * i).bitwiseAND(65535)) for i in range(4)]
+        return sum(lanes[1:], lanes[0])
+
+    marks = F.least(F.size(a), F.size(b))
+    near = F.forall(
+        F.sequence(F.lit(0), F.greatest(marks - 1, F.lit(0)), F.lit(2)),
+        lambda k: apart(F.get(a, k), F.get(b, k)) + apart(F.get(a, k + 1), F.get(b, k + 1)) <= 2 * edits,
+    )
+    return (marks == 0) | near
+
+
 def _letter_counts(line: Column) -> Column:
     """Counts of eight letters, modulo 256, one per byte."""
     total = F.lit(0).cast("long")
@@ -189,7 +223,8 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
     some, long = F.col("n") > 0, F.col("n") >= min((least for least, _ in steps), default=2**31 - 1)
     marks = {"h1": F.when(some, F.xxhash64("line")), "h2": F.when(some, F.hash("line", F.lit(1)))}
     keys = {"own": F.when(long, _index(steps)), "others": F.when(long, _probes(steps))}
-    plain = stored(lines.select("doc_id", "k1", "k2", "number", *[c.alias(n) for n, c in (marks | keys).items()]), "lines")
+    wide = lines.withColumn("wide", F.when(long, F.encode("line", "UTF-32")))
+    plain = stored(wide.select("doc_id", "k1", "k2", "number", *[c.alias(n) for n, c in (marks | keys).items()]), "lines")
     numbered = plain.select("doc_id", "k1", "k2", "number", place, "h1", "h2")
     classes = numbered.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("place").alias("first"))
 
@@ -207,16 +242,18 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
     texts = texts.select("h1", "h2", "first", "line").dropDuplicates(["h1", "h2"])
     line = F.col("line")
     texts = texts.withColumns(
-        {"letters": _letter_counts(line), "edits": allowed(F.length(line), steps), "groups": _signatures(line, _groups(steps))}
-    )
+        {"letters": _letter_counts(line), "edits": allowed(F.length(line), steps), "groups": _signatures(line, _groups(steps)),
+         "shape": _shape(line)}
+    )
     texts = stored(texts, "line-texts")
     # Below a key that many lines share, only those meet that also have the same characters in one of the groups.
-    known = some.join(texts.select("h1", "letters", "edits", F.posexplode("groups").alias("g", "same")), "h1")
+    known = some.join(texts.select("h1", "letters", "edits", "shape", F.posexplode("groups").alias("g", "same")), "h1")
     known = known.withColumn("meeting", F.xxhash64("key", "g", "same"))
-    index = known.where("is_own = 1").select("meeting", "h1", "letters", "edits")
-    probes = known.select("meeting", F.col("h1").alias("p1"), F.col("letters").alias("others"))
+    index = known.where("is_own = 1").select("meeting", "h1", "letters", "edits", "shape")
+    probes = known.select("meeting", F.col("h1").alias("p1"), F.col("letters").alias("others"), F.col("shape").alias("other"))
     near = index.join(probes, "meeting").where("h1 <> p1")
     near = near.where(f"{_letter_distance('letters', 'others')} <= 2 * edits")
+    near = near.where(_alike(F.col("shape"), F.col("other"), F.col("edits")))
     pairs = near.select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct()
     parts = texts.select("h1", "h2", "first", "line", "edits")
     one, two = (parts.select(*[F.col(c).alias(f"{c}_{side}") for c in parts.columns]) for side in "ab")
@@ -262,7 +299,7 @@ def repeated_lines(documents: DataFrame, steps: Steps = EDITS) -> DataFrame:
     Equal lines are one class, counted per task first. A class is cut into one segment more than the edits it may
     have and probed by the substrings at which a segment of a line shorter by no more than its edits can stand.
     Classes that share a key get their texts; pairs of them that have the same characters in one of the groups and
-    nearly agree in the counts of eight letters are verified.
+    nearly agree in the counts of letters, in the whole and in their starts of 64, 128, ... 512 characters, are verified.
     """
     keys = with_row_key(documents).select("doc_id", "k1", "k2")
     found = keys.join(_judged(documents, steps), ["k1", "k2"], "left")
