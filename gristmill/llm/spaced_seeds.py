@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +22,26 @@ _WEIGHTS = mix(np.arange(1, 65, dtype=np.uint64)) | U(1)
 _SPAN = max(map(len, MASKS))
 
 
+def short_masks(n: int) -> list[list[int]]:
+    """Places that seeds of an item of ``n`` words compare, fewer than a mask spans.
+
+    The item is cut into two parts more than words may be replaced; each mask leaves out as many parts as words may be
+    replaced, so wherever they stand one mask has none of them, and every mask keeps two parts.
+    """
+    replaced = n - math.ceil(n * SHARE - 1e-9)
+    parts = replaced + 2
+    return [[i for i in range(n) if i * parts // n not in left] for left in combinations(range(parts), replaced)]
+
+
 def seed_hashes(words: np.ndarray, short: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start positions under every mask, and of whole runs of the ``short`` lengths."""
-    masks = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS] + [list(range(n)) for n in short]
-    spans = [len(m) for m in MASKS] + list(short)
+    """Hashes and start positions under every mask, and under those of items of the ``short`` lengths."""
+    masks = [(k, len(m), [i for i, c in enumerate(m) if c == "1"]) for k, m in enumerate(MASKS)]
+    masks += [(16 + k, n, places) for n in short for k, places in enumerate(short_masks(n))]
     found: tuple[list, list] = ([], [])
-    for name, (places, span) in enumerate(zip(masks, spans)):
+    for name, span, places in masks:
         n = len(words) - span + 1
         if n > 0:
-            h = np.full(n, U(span * 64 + (name if name < len(MASKS) else 63)), dtype=np.uint64)
+            h = np.full(n, U(span * 64 + name), dtype=np.uint64)
             for j, i in enumerate(places):
                 h += words[i : i + n] * _WEIGHTS[j]
             found[0].append(mix(h))
@@ -93,7 +107,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     (the row's key), items (sorted ids of the items found), share (largest share of equal words in a stretch).
     Words are compared in lower case without punctuation. A document leaks an item if some alignment of the two
     has ``STRETCH`` words in a row (the whole item, if it is shorter) of which ``SHARE`` are equal; items of fewer
-    words than a mask spans are sought verbatim. Null and wordless texts hold nothing and match nothing, an item
+    words than a mask spans have masks of their own. Null and wordless texts hold nothing and match nothing, an item
     without an id is not sought, repeated items and rows are each judged alike, other columns are ignored.
 
     Seeds of the documents pass a filter of fixed size made from all seeds of the benchmark; the few that pass

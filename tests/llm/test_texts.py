@@ -105,18 +105,36 @@ def test_leaks(spark, sf_dir, documents):
     assert any(result.values())
 
 
-@pytest.mark.parametrize("size", range(12, spaced_seeds.STRETCH + 1))
+@pytest.mark.parametrize("size", range(1, spaced_seeds.STRETCH + 1))
 def test_every_pattern_of_replaced_words_has_a_seed(size):
-    item = np.arange(1, size + 1, dtype=np.uint64)
-    seeds, places = spaced_seeds.seed_hashes(item, [])
+    item, short = np.arange(1, size + 1, dtype=np.uint64), [size] if size < 12 else []
+    seeds, places = spaced_seeds.seed_hashes(item, short)
     known = set(zip(seeds.tolist(), places.tolist()))
     for replaced in combinations(range(size), size - math.ceil(size * spaced_seeds.SHARE)):
         words = item.copy()
         words[list(replaced)] += np.uint64(1000)
-        found, at = spaced_seeds.seed_hashes(words, [])
+        found, at = spaced_seeds.seed_hashes(words, short)
         assert not known.isdisjoint(zip(found.tolist(), at.tolist())), replaced
 
 
+def test_short_items_with_replaced_words(spark):
+    """Items of 1 to 13 words, each in documents with none to three words replaced, against all alignments."""
+    draw = np.random.default_rng(8)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 14)] + [(20, "the same the same the"), (21, "a b a b a b a b")]
+    rows = []
+    for i, (_, text) in enumerate(items):
+        words = text.split()
+        for k in range(12):
+            some = list(words)
+            for at in draw.choice(len(words), min(k % 4, len(words)), replace=False):
+                some[at] = f"other{at}"
+            rows.append((100 * i + k, f"Before it. {' '.join(some).upper()}; and after"))
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    result = leaks(documents, spark.createDataFrame(items, "item_id bigint, text string"))
+    expected = brute.leaked(rows, items, spaced_seeds.STRETCH, spaced_seeds.SHARE)
+    assert result == expected and sum(map(bool, expected.values())) > 60
+
+
 def test_leaks_with_replaced_words(spark, odd_documents, no_documents):
     words = [f"q{i}" for i in range(40)]
     every = [w if i % 6 else "other" for i, w in enumerate(words)]
