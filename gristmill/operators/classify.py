@@ -337,6 +337,33 @@ def prediction_sample(model: Model | stacked.Linear, messages: DataFrame, rows:
     )
 
 
+def bucket(term: Column, buckets: int = HASH_BUCKETS) -> Column:
+    """The bucket of a term: its digest, which every engine computes alike, modulo the number of buckets."""
+    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % buckets).cast("int")
+
+
+def hashed_counts(documents: DataFrame, leave_out: Sequence[str] = (), buckets: int = HASH_BUCKETS) -> DataFrame:
+    """Hashed features as expressions: per bucket its messages, occurrences, distinct terms and terms beyond the first.
+
+    Terms are counted inside each row; a bucket that several terms of a row share counts the row once. What is
+    shuffled is a row per term, and one per bucket, task and message sum.
+    """
+    counted = written(
+        documents.select("doc_id", F.sort_array(text.tokens(F.col("text"))).alias("_pieces")).select(
+            F.filter(text.runs(F.col("_pieces")), lambda t: ~t["term"].isin(*leave_out)).alias("terms")
+        ),
+        "hashed-terms",
+    )
+    terms = counted.select(F.inline("terms")).groupBy("term").agg(F.sum("tf").alias("tf"))
+    per_bucket = terms.groupBy(bucket(F.col("term"), buckets).alias("bucket")).agg(
+        F.sum("tf").cast("long").alias("occurrences"), F.count(F.lit(1)).alias("terms")
+    )
+    own = F.array_distinct(F.transform("terms", lambda t: bucket(t["term"], buckets)))
+    messages = counted.select(F.explode(own).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("messages"))
+    joined = per_bucket.join(messages, "bucket")
+    return joined.select("bucket", "messages", "occurrences", "terms", (F.col("terms") - 1).alias("collisions"))
+
+
 def bucket_summary(weighted: DataFrame) -> DataFrame:
     """Per feature: messages that have it, and its largest weight, in one aggregate over the sparse vectors."""
     found = weighted.select(Summarizer.metrics("numNonZeros", "max").summary(F.col("features")).alias("s"))

@@ -25,6 +25,17 @@ def sample(frame: DataFrame, key: str, fraction: float, seed: int | None = None)
     return frame.filter(place(F.col(key), seed) < fraction)
 
 
+def exactly(frame: DataFrame, key: str, rows: int, seed: int | None = None) -> DataFrame:
+    """Exactly ``rows`` rows (all, if there are fewer): those whose key has the smallest hash, ties by the key itself.
+
+    The same rows for the same seed on any layout. Every task keeps its smallest ``rows``, and what they keep is
+    merged, so nothing is sorted or shuffled as a whole. ``key`` names rows; of rows with one key any may be taken.
+    """
+    columns = frame.columns
+    placed = frame.withColumn("_place", place(F.col(key), seed))
+    return placed.orderBy("_place", key).limit(rows).select(*columns)
+
+
 def with_part(
     frame: DataFrame, key: str, parts: Mapping[str, float], name: str = "part", seed: int | None = None
 ) -> DataFrame:

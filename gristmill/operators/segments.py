@@ -312,12 +312,9 @@ def partition_effect(frame: DataFrame, iterations: int = 10) -> DataFrame:
 def plane(frame: DataFrame, sample_size: int | None = None, key: str = "customer_id") -> DataFrame:
     """Two principal components per row; the components come from all rows.
 
-    ``sample_size`` keeps about so many rows of the result, for a plot.
+    ``sample_size`` keeps exactly so many rows of the result, for a plot.
     """
     model = PCA(k=2, inputCol="scaled_features", outputCol="components").fit(frame)
-    shown = frame
-    if sample_size is not None:
-        total = frame.count()
-        shown = sampling.sample(frame, key, min(1.0, sample_size / total)) if total else frame
+    shown = frame if sample_size is None else sampling.exactly(frame, key, sample_size)
     others = [c for c in frame.columns if c not in ("features", "scaled_features")]
     return model.transform(shown).select(*others, *as_columns("components", ("pc1", "pc2")))

@@ -164,6 +164,29 @@ def hashing_tf(spark, sf_dir):
     return classify.bucket_summary(features.transform(messages))
 
 
+@query(
+    "hashed_counts",
+    r"""WITH words AS (
+          SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\W+')) AS term FROM documents),
+        hashed AS (SELECT doc_id, term, CAST(CAST(('0x' || substr(md5(term), 1, 8)) AS BIGINT) % 4096 AS INTEGER) AS bucket
+          FROM words WHERE term <> '' AND term NOT IN ('the', 'is', 'and', 'of'))
+        SELECT bucket, count(DISTINCT doc_id) AS messages, count(*) AS occurrences, count(DISTINCT term) AS terms,
+               count(DISTINCT term) - 1 AS collisions FROM hashed GROUP BY bucket""",
+)
+def hashed_counts(spark, sf_dir):
+    return classify.hashed_counts(tables.documents(spark, sf_dir, "doc_id", "text"), COMMON_WORDS)
+
+
+@query(
+    "exact_sample",
+    f"""SELECT doc_id, lang, source FROM documents ORDER BY {SEEDED.format('CAST(doc_id AS VARCHAR)')}, doc_id LIMIT 10000""",
+)
+def exact_sample(spark, sf_dir):
+    """Ten thousand documents to fit on, the same on any layout."""
+    documents = tables.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return sampling.exactly(documents, "doc_id", 10_000, seed=42)
+
+
 @query("spam_predictions")
 def spam_predictions(spark, sf_dir):
     """Twenty predictions of the tuned model to read."""

@@ -14,7 +14,7 @@ from gristmill.plans.message_models import PLACE
 from gristmill.operators.storage import stored
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up
-from gristmill.session import written
+from gristmill.session import new_folder, written
 
 query = Register()
 
@@ -156,3 +156,42 @@ def training_size_checks(spark, sf_dir):
         for share in classify.TRAINING_SHARES
     ]
     return _together(*parts)
+
+
+@query(
+    "model_file_checks",
+    _sql(test_rows=_message_rows("part = 'test'"), same="SELECT 1", stages="SELECT 5"),
+)
+def model_file_checks(spark, sf_dir):
+    """A model that was saved and loaded predicts every test message as the one that was fitted."""
+    train, test = message_models._split(spark, sf_dir)
+    model = classify.fit_messages(train, message_models.SETTING)
+    path = new_folder(spark, "model")
+    model.write().save(path)
+    loaded = classify.load_model(path)
+    both = [m.transform(test).select("doc_id", "prediction", classify.spam_probability().alias(name)) for m, name in ((model, "p"), (loaded, "q"))]
+    joined = both[0].join(both[1].withColumnRenamed("prediction", "again"), "doc_id")
+    agree = F.count_if((F.col("prediction") == F.col("again")) & (F.col("p") == F.col("q"))) == F.count("doc_id")
+    return _together(
+        _figures(joined, test_rows=F.count("doc_id"), same=agree.cast("int")),
+        spark.range(1).select(F.lit("stages").alias("check"), F.lit(len(loaded.stages)).cast("long").alias("value")),
+    )
+
+
+@query(
+    "fit_comparison_checks",
+    _sql(
+        **{f"rows_{share}": _message_rows(f"part <> 'test' AND place < {share / 100}") for share in (20, 40, 60, 80, 100)},
+        rows_full=_message_rows("part <> 'test'"), rows_subsample=_message_rows("part <> 'test' AND place < 0.4"), rates="SELECT 28",
+    ),
+)
+def fit_comparison_checks(spark, sf_dir):
+    """The rows that the fits of the size sweep and the reduced fit state, and their rates from 0 to 1."""
+    train, test = message_models._split(spark, sf_dir)
+    fits = classify.size_sweep(train, test, message_models.SETTING).unionByName(
+        classify.subsample_fit(train, test, message_models.SETTING)
+    )
+    fits = written(fits, "fits")
+    name = F.concat(F.lit("rows_"), F.regexp_replace("fit", "%", ""))
+    within = sum(F.count_if(F.col(c).between(0, 1)) for c in ("accuracy", "precision", "recall", "f1"))
+    return fits.select(name.alias("check"), F.col("train_rows").alias("value")).unionByName(_figures(fits, rates=within))

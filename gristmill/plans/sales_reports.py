@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gristmill.functions import dates
-from gristmill.operators import projections, reporting, sales, storage
+from gristmill.operators import distinct, projections, reporting, sales, search_index, storage
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import SALES, double, long, percent, ratio
 from gristmill.session import written
@@ -362,6 +362,30 @@ def search_literal(spark, sf_dir):
     return _searched(spark, sf_dir, "Red W", literal=True)
 
 
+def _index_searched(spark, sf_dir, pattern, literal):
+    """As ``_searched``, with the names, products and states found through their trigrams."""
+    columns = {"customer_name": ("customer", "c_name"), "product": ("part", "p_name"), "state": ("nation", "n_name")}
+    lines = tables.sales_lines(spark, sf_dir, *SHOWN.split(", "), "sales", "profit")
+    found = projections.matches("order_id", pattern, literal)
+    for name, (source, column) in columns.items():
+        values = tables.table(spark, sf_dir, source).select(column)
+        index = search_index.trigram_index(values, column)
+        hits = search_index.matching_values(values, column, index, pattern, literal)
+        lines = lines.join(hits.select(F.col("value").alias(name), F.lit(True).alias(f"hit_{name}")), name, "left")
+        found = found | F.coalesce(F.col(f"hit_{name}"), F.lit(False))
+    return lines.where(found).select(*SHOWN.split(", "), "sales", "profit")
+
+
+@query("search_indexed", _search_sql("regexp_matches({}, '(?i)CUSTOMER#00000000[1-3]|^green .*T$|nation_7')"))
+def search_indexed(spark, sf_dir):
+    return _index_searched(spark, sf_dir, "CUSTOMER#00000000[1-3]|^green .*T$|nation_7", literal=False)
+
+
+@query("search_literal_indexed", _search_sql("contains(lower({}), 'red w')"))
+def search_literal_indexed(spark, sf_dir):
+    return _index_searched(spark, sf_dir, "Red W", literal=True)
+
+
 @query(
     "date_features",
     f"""WITH {SALES} SELECT order_id, line_number, part_id, supplier_id, CAST(year(order_date) AS INTEGER) AS year,
@@ -376,6 +400,27 @@ def date_features(spark, sf_dir):
     return projections.with_calendar(lines).drop("order_date", "ship_date")
 
 
+LEVELS = {"all": (), "region": ("region",), "state": ("state",), "segment": ("segment",), "year": ("year",)}
+
+
+def _distinct_sql() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{level}' AS level, {"CAST(" + keys[0] + " AS VARCHAR)" if keys else "''"} AS name,
+            count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers
+            FROM (SELECT *, year(order_date) AS year FROM sales) {"GROUP BY " + keys[0] if keys else ""}"""
+        for level, keys in LEVELS.items()
+    )
+
+
+@query("distinct_reports", f"WITH {SALES} {_distinct_sql()}")
+def distinct_reports(spark, sf_dir):
+    """Orders and customers in all, per region, state, segment and year, from one table of bitmaps."""
+    orders = tables.orders_sold(spark, sf_dir, "order_id", "customer_id", "region", "state", "segment", "order_date")
+    yearly = orders.withColumn("year", F.year("order_date").cast("string"))
+    bitmaps = distinct.id_bitmaps(yearly, ["region", "state", "segment", "year"], {"orders": "order_id", "customers": "customer_id"})
+    return distinct.distinct_reports(written(bitmaps, "id-bitmaps"), LEVELS, ["orders", "customers"])
+
+
 @query(
     "retail_facts",
     f"""WITH {KPIS}, regions AS (SELECT region, sum(sales) AS sales FROM sales GROUP BY region)

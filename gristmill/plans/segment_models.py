@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.operators import segments
+from gristmill.operators import sampling, segments
 from gristmill.operators.storage import stored
 from gristmill.plans.registry import Register
 from gristmill.plans.sqltext import half_up, ratio
@@ -194,6 +194,16 @@ def partition_effect(spark, sf_dir):
     return segments.partition_effect(_stored_scaled(spark, sf_dir))
 
 
+@query(
+    "plot_sample",
+    f"""WITH {FEATURES} SELECT * FROM features
+        ORDER BY CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 8)) AS BIGINT), customer_id LIMIT 5000""",
+)
+def plot_sample(spark, sf_dir):
+    """The customers of the plot of the plane: five thousand, or all of a smaller table."""
+    return sampling.exactly(_features(spark, sf_dir), "customer_id", 5000)
+
+
 @query("pca2")
 def pca2(spark, sf_dir):
     return segments.plane(_stored_scaled(spark, sf_dir))

@@ -176,3 +176,39 @@ def sliding_tags_complete(spark, sf_dir):
     """The same counts over the finished table: all windows, those still open at its end included."""
     posts = tables.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("hashtag"))
     return _shown(sliding.sliding_counts(posts))
+
+
+BATCHES, LATE = 4, 2
+ARRIVALS = f"""bounds AS (SELECT epoch_us(min(CAST(ts AS TIMESTAMP))) AS low, epoch_us(max(CAST(ts AS TIMESTAMP))) AS high FROM events),
+arrivals AS (
+  SELECT CAST(ts AS TIMESTAMP) AS ts, '#' || upper(trim(event_type)) AS hashtag,
+         2 * (epoch_us(CAST(ts AS TIMESTAMP)) - low) // (high - low + 1) + CASE WHEN event_id % 10 = 0 THEN {LATE} ELSE 0 END AS batch
+  FROM events, bounds
+),
+batches AS (SELECT b.batch, (SELECT max(ts) - INTERVAL 1 HOUR FROM arrivals a WHERE a.batch <= b.batch - 2) AS mark
+  FROM (SELECT DISTINCT batch FROM arrivals) b),
+spans AS (
+  SELECT hashtag, batch, to_timestamp(CAST(floor(epoch(ts) / 7200) * 7200 - 7200 * back AS BIGINT)) AT TIME ZONE 'UTC' AS window_start
+  FROM arrivals, (VALUES (0), (1), (2)) AS steps(back)
+),
+counted AS (
+  SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, hashtag,
+         count(*) FILTER (WHERE mark IS NULL OR window_start + INTERVAL 6 HOUR > mark) AS frequency, count(*) AS due
+  FROM spans JOIN batches USING (batch) GROUP BY 1, 2, 3
+)"""
+
+
+@query(
+    "late_tags",
+    f"""WITH {ARRIVALS} SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+        strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, hashtag, frequency, due - frequency AS dropped
+        FROM counted WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM arrivals)""",
+)
+def late_tags(spark, sf_dir):
+    """Streamed in four batches; every tenth post comes two batches late, and what is too late is counted."""
+    events = tables.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    posts = events.select("ts", F.col("event_type").alias("hashtag"), "event_id")
+    half = F.floor(2 * (F.unix_micros("ts") - low) / ((high or 0) - (low or 0) + 1))
+    batch = half + F.when(F.col("event_id") % 10 == 0, LATE).otherwise(0)
+    return _shown(sliding.replay(posts, batch, BATCHES))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.session import new_folder
+from gristmill.session import new_folder, written
 
 
 def write_report(
@@ -63,6 +63,35 @@ def preview_lines(frame: DataFrame, rows: int = 20) -> list[str]:
     return [rule, body[0], rule, *body[1:], rule]
 
 
+def grid_lines(frame: DataFrame, rows: int, *order: Column | str) -> DataFrame:
+    """The first ``rows`` rows in ``order`` as the lines of a grid, ``number, line``: rules, names, values to the right.
+
+    Widths are an aggregate and the padding an expression, so no row comes to the driver; the grid is written as any
+    other table is. Missing values show as NULL.
+    """
+    columns = frame.columns
+    chosen = written(frame.orderBy(*order).limit(rows), "grid-rows")
+    place = F.row_number().over(Window.orderBy(*order)).cast("long")
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NULL")).alias(f"v{i}") for i, c in enumerate(columns)]
+    # One window over the few rows of the grid.
+    shown = chosen.select(place.alias("_place"), *cells)
+    widths = [
+        shown.select(F.greatest(F.lit(max(3, len(c))), F.coalesce(F.max(F.length(f"v{i}")), F.lit(0)))).scalar()
+        for i, c in enumerate(columns)
+    ]
+
+    def line(values: Sequence[Column]) -> Column:
+        return F.concat(F.lit("|"), F.concat_ws("|", *(F.lpad(v, w, F.lit(" ")) for v, w in zip(values, widths))), F.lit("|"))
+
+    rule = F.concat(F.lit("+"), F.concat_ws("+", *(F.repeat(F.lit("-"), w) for w in widths)), F.lit("+"))
+    around = ((-2, rule), (-1, line([F.lit(c) for c in columns])), (0, rule), (2**62, rule))
+    marks = F.explode(F.array(*(F.struct(F.lit(n).cast("long").alias("_place"), text.alias("line")) for n, text in around)))
+    frames = frame.sparkSession.range(1).select(marks.alias("s")).select("s.*")
+    body = shown.select("_place", line([F.col(f"v{i}") for i in range(len(columns))]).alias("line"))
+    number = (F.row_number().over(Window.orderBy("_place")) - 1).alias("number")
+    return frames.unionByName(body).select(number, "line")
+
+
 def write_preview(frame: DataFrame, path: str, title: str, rows: int = 20) -> None:
     """A titled grid of the first rows as a text file."""
     lines = [f"===== {title} =====", *preview_lines(frame, rows)]
