@@ -15,8 +15,8 @@ BLANKS = " \t\r"
 LETTERS = "eantiors"
 
 Steps = tuple[tuple[int, int], ...]
-#: Starts of two lines are compared by their characters at every so many of them.
-BEFORE = 64
+#: Starts of two lines that are compared by their characters before the lines meet.
+STARTS = (64, 128, 192, 256, 384, 512)
 #: Bits of the filters that spare a shuffle of all lines.
 FILTER_BITS = 24
 
@@ -114,7 +114,7 @@ def _index(steps: Steps) -> Column:
     for edits in sorted({e for _, e in steps}):
         own = allowed(n, steps) == edits
         keys += [F.when(own, _key(n, i, at, size)) for i, (at, size) in enumerate(_segments(n, edits))]
-    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
+    return F.array(*keys) if keys else F.array().cast("array<bigint>")
 
 
 def _probes(steps: Steps) -> Column:
@@ -134,7 +134,7 @@ def _probes(steps: Steps) -> Column:
                         start = at + shift
                         fits = meant & (start >= 1) & (start + size - 1 <= n)
                         keys.append(F.when(fits, _key(length, i, start, size)))
-    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<bigint>")
+    return F.array(*keys) if keys else F.array().cast("array<bigint>")
 
 
 def _groups(steps: Steps) -> int:
@@ -166,34 +166,36 @@ def _among(frame: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 
 
 def _shape(line: Column) -> Column:
-    """Counts of eight groups of characters in the first 64, 128, ... 512 characters, four counts of 16 bits in a long."""
-    marks = F.least(F.lit(512 // BEFORE), F.floor(F.length(line) / BEFORE)).cast("int")
-    groups = F.transform(F.split(F.substring(line, 1, 512), ""), lambda c: F.ascii(c) % 8)
+    """Counts of eight groups of characters in the first ``STARTS`` characters, four counts of 16 bits in a long.
 
-    def counts(size: Column, low: int) -> Column:
+    Two longs per start; null where the line is shorter.
+    """
+    groups = F.transform(F.split(F.substring(line, 1, max(STARTS)), ""), lambda c: F.ascii(c) % 8)
+
+    def counts(size: int, low: int) -> Column:
         units = F.transform(
             F.filter(F.slice(groups, 1, size), lambda g: (g >= low) & (g < low + 4)),
             lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), 16 * (g - low)),
         )
-        return F.aggregate(units, F.lit(0).cast("long"), lambda a, b: a + b)
-
-    found = F.flatten(F.transform(F.sequence(F.lit(1), marks), lambda k: F.array(counts(BEFORE * k, 0), counts(BEFORE * k, 4))))
-    return F.when(marks > 0, found).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.length(line) >= size, F.aggregate(units, F.lit(0).cast("long"), lambda x, y: x + y))
 
+    return F.array(*[counts(size, low) for size in STARTS for low in (0, 4)])
 
-def _alike(a: Column, b: Column, edits: Column) -> Column:
-    """Whether no start of the lines has counts further apart than the edits allow: an edit moves two by one at most."""
 
-    def apart(x: Column, y: Column) -> Column:
-        lanes = [F.abs(F.shiftright(x, 16 * i).bitwiseAND(65535) - F.shiftright(y, 16 * i).bitwiseAND(65535)) for i in range(4)]
-        return sum(lanes[1:], lanes[0])
+def _alike(a: str, b: str, edits: str) -> str:
+    """Whether no start of the lines has counts further apart than the edits allow: an edit moves two by one at most.
 
-    marks = F.least(F.size(a), F.size(b))
-    near = F.forall(
-        F.sequence(F.lit(0), F.greatest(marks - 1, F.lit(0)), F.lit(2)),
-        lambda k: apart(F.get(a, k), F.get(b, k)) + apart(F.get(a, k + 1), F.get(b, k + 1)) <= 2 * edits,
-    )
-    return (marks == 0) | near
+    A plain condition, without functions on arrays, so that it is part of the join and no pair that fails is made.
+    """
+    starts = []
+    for k in range(len(STARTS)):
+        lanes = [
+            f"abs((shiftrightunsigned({a}[{i}], {16 * lane}) & 65535) - (shiftrightunsigned({b}[{i}], {16 * lane}) & 65535))"
+            for i in (2 * k, 2 * k + 1)
+            for lane in range(4)
+        ]
+        starts.append(f"coalesce({' + '.join(lanes)} <= 2 * {edits}, true)")
+    return " AND ".join(starts)
 
 
 def _letter_counts(line: Column) -> Column:
@@ -230,6 +232,8 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
 
     own = plain.select("h1", F.explode("own").alias("key"), F.lit(1).alias("is_own"))
     keyed = own.unionByName(plain.select("h1", F.explode("others").alias("key"), F.lit(0).alias("is_own")))
+    # Keys that a line does not have are null; taking them out inside the row would cost its compiled code.
+    keyed = keyed.where("key IS NOT NULL")
     shared = keyed.groupBy("key").agg(
         F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("is_own").alias("is_own")
     )
@@ -253,7 +257,7 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
     probes = known.select("meeting", F.col("h1").alias("p1"), F.col("letters").alias("others"), F.col("shape").alias("other"))
     near = index.join(probes, "meeting").where("h1 <> p1")
     near = near.where(f"{_letter_distance('letters', 'others')} <= 2 * edits")
-    near = near.where(_alike(F.col("shape"), F.col("other"), F.col("edits")))
+    near = near.where(_alike("shape", "other", "edits"))
     pairs = near.select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct()
     parts = texts.select("h1", "h2", "first", "line", "edits")
     one, two = (parts.select(*[F.col(c).alias(f"{c}_{side}") for c in parts.columns]) for side in "ab")
@@ -299,7 +303,7 @@ def repeated_lines(documents: DataFrame, steps: Steps = EDITS) -> DataFrame:
     Equal lines are one class, counted per task first. A class is cut into one segment more than the edits it may
     have and probed by the substrings at which a segment of a line shorter by no more than its edits can stand.
     Classes that share a key get their texts; pairs of them that have the same characters in one of the groups and
-    nearly agree in the counts of letters, in the whole and in their starts of 64, 128, ... 512 characters, are verified.
+    nearly agree in the counts of letters, in the whole and in their starts (``STARTS``), are verified.
     """
     keys = with_row_key(documents).select("doc_id", "k1", "k2")
     found = keys.join(_judged(documents, steps), ["k1", "k2"], "left")
