@@ -280,9 +280,12 @@ def top10_profit(spark, sf_dir):
 )
 def loss_leaders(spark, sf_dir):
     """Names repeat over many parts, and over all its suppliers no part loses: a product is a supplier's part."""
-    keys = ("product", "category", "sub_category", "part_id", "supplier_id")
-    lines = tables.sales_lines(spark, sf_dir, "order_id", *keys, "sales", "profit", "discount")
-    return sales.loss_leaders(lines, keys)
+    lines = tables.sales_lines(spark, sf_dir, "order_id", "part_id", "supplier_id", "sales", "profit", "discount")
+    # The lines are grouped by two numbers; only the products that lose money get their names.
+    leaders = sales.loss_leaders(lines, ("part_id", "supplier_id"))
+    named = leaders.join(tables.part_names(spark, sf_dir), "part_id", "left")
+    columns = ("product", "category", "sub_category", "part_id", "supplier_id", "total_sales", "total_profit", "avg_discount", "total_orders")
+    return named.select(*columns).orderBy("total_profit", "product", "category", "sub_category", "part_id", "supplier_id")
 
 
 @query(

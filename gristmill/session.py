@@ -48,8 +48,18 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, else the session's warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the session's warehouse.
+
+    On a cluster a folder of one machine's own disk is refused: the others would not see what is written there.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or on_all_machines(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
+
+
+def on_all_machines(folder: str, master: str) -> str:
+    if not master.startswith("local") and folder.startswith(("file:", "/")):
+        raise ValueError(f"set spark.checkpoint.dir: {folder} is a folder of each machine's own")
+    return folder
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -43,6 +43,11 @@ def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """product, category and sub_category of every part."""
+    return _parts(spark, sf_dir).select("part_id", "product", "category", "sub_category")
+
+
 def _with_order(facts: DataFrame, sf_dir: str) -> DataFrame:
     orders = table(facts.sparkSession, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),

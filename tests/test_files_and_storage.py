@@ -183,3 +183,13 @@ def test_written_tables_are_released(spark):
     assert frame.count() == 5 and session.release_written(spark) >= 1
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(path).count()
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    from gristmill.session import on_all_machines
+
+    assert on_all_machines("file:/tmp/warehouse", "local[4]") == "file:/tmp/warehouse"
+    assert on_all_machines("s3a://bucket/x", "spark://host:7077") == "s3a://bucket/x"
+    for folder in ("file:/tmp/warehouse", "/tmp/warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            on_all_machines(folder, "spark://host:7077")
