@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel, KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,11 +67,36 @@ def kmeans(frame: DataFrame, k: int = CLUSTERS, seed: int = SEED, iterations: in
     return KMeans(featuresCol="scaled_features", predictionCol="cluster", k=k, seed=seed, maxIter=iterations).fit(frame)
 
 
-def bisecting(frame: DataFrame, k: int = CLUSTERS, seed: int = SEED, iterations: int = ITERATIONS):
+class Shifted(NamedTuple):
+    """A model of the scaled features plus ``shift``, used with the features themselves."""
+
+    model: BisectingKMeansModel
+    shift: float
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return [centre - self.shift for centre in self.model.clusterCenters()]
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        return self.model.transform(_shifted(frame, self.shift)).drop("shifted_features")
+
+
+def _shifted(frame: DataFrame, shift: float) -> DataFrame:
+    values = F.transform(vector_to_array("scaled_features"), lambda v: v + F.lit(shift))
+    return frame.withColumn("shifted_features", array_to_vector(values))
+
+
+def bisecting(frame: DataFrame, k: int = CLUSTERS, seed: int = SEED, iterations: int = ITERATIONS) -> Shifted:
+    """The two halves of a cluster start at its centre, moved by a share of the centre's length.
+
+    Scaled features have their centre at the origin, where nothing is moved and no cluster is found, so all values
+    are shifted to 1 and above first.
+    """
+    low = frame.select(F.min(F.array_min(vector_to_array("scaled_features")))).first()[0]
+    shift = 1.0 - (low or 0.0)
     estimator = BisectingKMeans(
-        featuresCol="scaled_features", predictionCol="cluster", k=k, seed=seed, maxIter=iterations
+        featuresCol="shifted_features", predictionCol="cluster", k=k, seed=seed, maxIter=iterations
     )
-    return estimator.fit(frame)
+    return Shifted(estimator.fit(_shifted(frame, shift)), shift)
 
 
 def centroids(model, frame: DataFrame, names: Sequence[str] = FEATURES) -> DataFrame:
@@ -80,6 +106,18 @@ def centroids(model, frame: DataFrame, names: Sequence[str] = FEATURES) -> DataF
     return frame.sparkSession.createDataFrame(rows, schema)
 
 
+def cost(model, frame: DataFrame) -> float:
+    """Sum of squared distances of the rows to the centres of their clusters.
+
+    The cost that a fit states belongs to its rounds: it is that of centres before their last move, and after
+    bisecting also of rows that had another cluster by then, so that it can be too low as well.
+    """
+    centres = F.array(*(F.array(*(F.lit(float(v)) for v in centre)) for centre in model.clusterCenters()))
+    own = F.element_at(centres, F.col("cluster") + 1)
+    squares = numbers.squared_distance(vector_to_array("scaled_features"), own)
+    return float(model.transform(frame).agg(F.sum(squares)).first()[0])
+
+
 def nearest(frame: DataFrame, centres: Sequence[Sequence[float]], values: str = "scaled_values") -> DataFrame:
     """Cluster and squared distance of the nearest of a few given centres, in plain SQL."""
     distances = [
@@ -294,7 +332,7 @@ def method_comparison(frame: DataFrame, k: int = CLUSTERS) -> DataFrame:
     rows = []
     with stored(frame.select("scaled_features")) as kept:
         for name, fit in (("k-means", kmeans), ("bisecting k-means", bisecting)):
-            rows.append((name, k, float(fit(kept, k).summary.trainingCost)))
+            rows.append((name, k, cost(fit(kept, k), kept)))
     return frame.sparkSession.createDataFrame(rows, "method STRING, k INT, cost DOUBLE")
 
 

@@ -72,7 +72,7 @@ SQUARES = " + ".join(f"pow(scaled_{c}, 2)" for c in segments.FEATURES)
 def cluster_cost_checks(spark, sf_dir):
     """Per method: the squares within and between its clusters add up to those of the table.
 
-    The stated cost belongs to the centres before their last move, so it is no less than the squares within.
+    The cost belongs to the centres of the model, so it is no less than the squares within.
     """
     scaled = segment_models._stored_scaled(spark, sf_dir)
     found = []
@@ -80,7 +80,7 @@ def cluster_cost_checks(spark, sf_dir):
         for method, fit in zip(METHODS, (segments.kmeans, segments.bisecting)):
             model = fit(kept)
             split = segments.split_of_squares(model.transform(kept))
-            cost = F.lit(float(model.summary.trainingCost))
+            cost = F.lit(segments.cost(model, kept))
             close = F.col("within").between(0.9 * cost, cost * (1 + 1e-9))
             found.append(
                 split.select(

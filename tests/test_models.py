@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from gristmill.functions import numbers
@@ -97,6 +98,23 @@ def test_sweeps(customers):
     assert [r["partitions"] for r in segments.partition_effect(scaled, 3).collect()] == [2, 4, 8]
 
 
+def test_bisecting_around_the_origin(spark):
+    """Scaled features have their centre at the origin; it must still be parted from its rows."""
+    around = [(x * d, y * d) for d in (3.0, 3.5) for x, y in ((1, 0), (-1, 0), (0, 1), (0, -1))]
+    frame = spark.createDataFrame([(list(p),) for p in around], "v array<double>")
+    frame = frame.select(array_to_vector("v").alias("scaled_features"))
+    model = segments.bisecting(frame, k=4)
+    assigned = model.transform(frame)
+    assert assigned.columns == ["scaled_features", "cluster"]
+    found = {}
+    for row in assigned.collect():
+        found.setdefault(row["cluster"], []).append(row["scaled_features"].toArray())
+    assert sorted(found) == [0, 1, 2, 3]
+    assert np.array(model.clusterCenters()) == pytest.approx(np.array([np.mean(found[c], axis=0) for c in range(4)]))
+    squares = sum(((np.array(rows) - np.mean(rows, axis=0)) ** 2).sum() for rows in found.values())
+    assert segments.cost(model, frame) == pytest.approx(squares)
+
+
 def test_all_numbers_of_clusters_in_one_scan(customers, monkeypatch):
     """Costs are those of the centres, centres are the means of their rows, and the scans are those of one fit."""
     scaled = segments.scaled(customers)
