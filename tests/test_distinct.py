@@ -27,3 +27,14 @@ def test_no_rows(spark):
     frame = spark.range(0).select(F.lit("x").alias("a"), F.col("id").alias("order"))
     bitmaps = distinct.id_bitmaps(frame, ["a"], {"orders": "order"})
     assert distinct.distinct_report(bitmaps, ["a"], ["orders"]).count() == 0
+
+
+def test_scattered_ids_take_a_few_bytes_each(spark):
+    """A combination that holds one id of a bucket has one word of it, not the whole bucket; extreme ids count too."""
+    frame = spark.range(4000).select(F.col("id").cast("string").alias("a"), (F.col("id") * 40_000).alias("order"))
+    bitmaps = distinct.id_bitmaps(frame, ["a"], {"orders": "order"})
+    assert bitmaps.count() == 4000 and dict(bitmaps.dtypes)["bits"] == "bigint"
+    ids = [(i,) for i in (-(2**63), -32769, -1, 0, 1, 63, 64, 32767, 32768, 2**63 - 1)]
+    extreme = spark.createDataFrame(ids * 3, "order bigint")
+    found = distinct.distinct_report(distinct.id_bitmaps(extreme, [], {"orders": "order"}), [], ["orders"])
+    assert rows(found) == [(len(ids),)]
