@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the least average rating of a well-rated movie.
 WELL_RATED = 2.75
+#: Rows that one task gets at most in a comparison of partitions.
+TASK_ROWS = 4_000_000
 
 Row = tuple[str, int, float]
 REPORT = "strategy STRING, partitions INT, seconds DOUBLE"
@@ -39,10 +41,11 @@ def partitions_of(frame: DataFrame) -> int:
 def partition_steps(frame: DataFrame, least: int = 8) -> tuple[int, int, int]:
     """A quarter, half and all of the frame's partitions, taken as ``least`` if there are fewer.
 
-    A small table is compared at 2, 4 and 8; the steps of a large one grow with it, so no
-    step puts a large share of the table into one task.
+    A small table is compared at 2, 4 and 8; the steps of a large one grow with its rows, so
+    that no step gives a task more than ``TASK_ROWS``, however many rows a partition of the frame has.
     """
-    most = max(least, partitions_of(frame))
+    quarter = -(-frame.count() // TASK_ROWS)
+    most = max(least, partitions_of(frame), 4 * quarter)
     return most // 4, most // 2, most
 
 

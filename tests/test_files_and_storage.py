@@ -111,6 +111,15 @@ def test_partitions(ratings):
     assert storage.partition_steps(ratings.repartition(40)) == (10, 20, 40)
 
 
+def test_partitions_follow_the_rows(ratings, monkeypatch):
+    """Few partitions of very many rows are not merged into fewer."""
+    monkeypatch.setattr(storage, "TASK_ROWS", 5)
+    rows = ratings.count()
+    for frame in (ratings.coalesce(1), ratings.repartition(8)):
+        few, some, many = storage.partition_steps(frame)
+        assert few * 5 >= rows and (some, many) == (2 * few, 4 * few)
+
+
 def test_strategies(ratings):
     report = storage.strategy_report(ratings).collect()
     assert [r["strategy"] for r in report] == [
