@@ -102,7 +102,7 @@ def retail_csv(spark, sf_dir):
     )
     path = new_folder(spark, "retail-csv")
     columns = [F.expr(value.replace("VARCHAR", "STRING").replace("INTEGER", "INT")).alias(name) for name, value in RETAIL.items()]
-    sinks.write_table(lines.select(*columns), path, kind="csv")
+    sinks.write_table(lines.select(*columns), path, kind="csv", compression="gzip")
     return datasets.retail_orders(spark, new_folder(spark, "none"), path)
 
 

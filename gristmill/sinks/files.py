@@ -26,11 +26,16 @@ def write_report(
     ordered.write.mode("overwrite").csv(path, header=True)
 
 
-def write_table(frame: DataFrame, path: str, kind: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """All rows, in as many files as there are tasks."""
+def write_table(
+    frame: DataFrame, path: str, kind: str = "parquet", partition_by: Sequence[str] = (), compression: str | None = None
+) -> None:
+    """All rows, in as many files as there are tasks.
+
+    ``compression`` is for CSV, as ``gzip``; a compressed file is read by one task, as it was written.
+    """
     writer = frame.write.mode("overwrite").partitionBy(*partition_by)
     if kind == "csv":
-        writer.csv(path, header=True)
+        writer.csv(path, header=True, compression=compression)
     else:
         writer.format(kind).save(path)
 

@@ -48,14 +48,13 @@ def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parts(spark, sf_dir).select("part_id", "product", "category", "sub_category")
 
 
-def _with_order(facts: DataFrame, sf_dir: str) -> DataFrame:
-    orders = table(facts.sparkSession, sf_dir, "orders").select(
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_orderstatus").alias("status"),
     )
-    return facts.join(orders, "order_id", "left")
 
 
 def _marked(dimension: DataFrame, marks: Mapping[str, Column]) -> DataFrame:
@@ -92,13 +91,17 @@ def _with_dimensions(
     """Add what is wanted of order, customer, nation and region, joining no further than needed.
 
     The joined keys are unique, so these left joins neither drop nor repeat a row, and
-    leaving one out cannot change a result. Which side is broadcast is left to Spark,
-    which decides by the measured size.
+    leaving one out cannot change a result. Customers are joined to the orders, so that
+    the facts are shuffled once for both. Which side is broadcast is left to Spark, which
+    decides by the measured size.
     """
     needs_customer = bool(wanted & (PLACE_COLUMNS | CUSTOMER_COLUMNS))
-    if needs_customer or wanted & ORDER_COLUMNS:
-        facts = _with_order(facts, sf_dir)
-    return _with_customer(facts, sf_dir, wanted, marks or {}) if needs_customer else facts
+    if not (needs_customer or wanted & ORDER_COLUMNS):
+        return facts
+    orders = _orders(facts.sparkSession, sf_dir)
+    if needs_customer:
+        orders = _with_customer(orders, sf_dir, wanted, marks or {})
+    return facts.join(orders, "order_id", "left")
 
 
 def _cents(price: Column) -> Column:

@@ -202,3 +202,11 @@ def test_a_folder_of_one_machine_is_refused_on_a_cluster():
     for folder in ("file:/tmp/warehouse", "/tmp/warehouse"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             on_all_machines(folder, "spark://host:7077")
+
+
+def test_compressed_csv(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.files.write_table(spark.range(3000).selectExpr("id", "'name' AS name"), path, kind="csv", compression="gzip")
+    parts = [p.name for p in (tmp_path / "table").iterdir() if p.name.startswith("part-")]
+    assert parts and all(name.endswith(".csv.gz") for name in parts)
+    assert spark.read.csv(path, header=True, schema="id BIGINT, name STRING").distinct().count() == 3000

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import numbers
 from gristmill.operators import projections, ranking, sales
-from gristmill.sources import files, schemas
+from gristmill.sources import files, schemas, tables
 
 # The order lines of the fixture.
 ORDERS = """OrderID,Product,Category,Quantity,Price,City
@@ -223,3 +223,11 @@ def test_previews_are_right_aligned(orders):
         "|  Furniture|120000.0|",
         "+-----------+--------+",
     ]
+
+
+def test_lines_are_shuffled_once_for_order_and_customer(spark, sf_dir):
+    """Customers join the orders, not the lines: the last join of the lines is that with the orders."""
+    lines = tables.sales_lines(spark, sf_dir, "order_id", "customer_name", "state")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert "order_id" in joins[0] and sum("customer_id" in line for line in joins) == 1
