@@ -120,6 +120,8 @@ def _pieces(lists: pa.ListArray, terms: pa.Array) -> tuple[np.ndarray, np.ndarra
 
 
 BLOCK = "n int, labels binary, members binary, row binary, term binary, tf binary"
+#: What the packed columns of a block hold.
+KINDS = (np.float64, np.bool_, np.int32, np.int32, np.float64)
 
 
 def _blocks(messages: DataFrame, terms: list[str]) -> DataFrame:
@@ -132,7 +134,7 @@ def _blocks(messages: DataFrame, terms: list[str]) -> DataFrame:
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 some = batch.slice(start, BLOCK_ROWS)
                 row, term, tf = _pieces(some.column(2), known)
-                members = np.array(some.column(1).to_pylist(), dtype=np.bool_)
+                members = some.column(1).flatten().to_numpy(zero_copy_only=False)
                 labels = some.column(0).to_numpy(zero_copy_only=False)
                 packed = (labels, members, row, term.astype(np.int32), tf)
                 columns = [pa.array([some.num_rows], type=pa.int32())]
@@ -158,12 +160,13 @@ def _sums(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((fits, size + 2))
         for batch in batches:
-            for block in batch.to_pylist():
-                n = block["n"]
-                labels = np.frombuffer(block["labels"], dtype=np.float64)
-                members = np.frombuffer(block["members"], dtype=np.bool_).reshape(n, width)
-                row, term = (np.frombuffer(block[c], dtype=np.int32) for c in ("row", "term"))
-                tf = np.frombuffer(block["tf"], dtype=np.float64)
+            for i in range(batch.num_rows):
+                # The batch holds many blocks, so they are read where they are, without a copy.
+                n = batch.column(0)[i].as_py()
+                labels, members, row, term, tf = (
+                    np.frombuffer(batch.column(c)[i].as_buffer(), dtype=kind) for c, kind in enumerate(KINDS, 1)
+                )
+                members = members.reshape(n, width)
                 for k in range(fits):
                     margin = np.bincount(row, tf * weights[k, term], n) + intercepts[k]
                     own = members[:, sets[k]]
