@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,16 +13,20 @@ from gristmill.llm.common import row_key, spare, stored, with_row_key
 #: shorter line). Shorter lines count as one only if they are equal.
 EDITS = ((16, 1), (64, 2))
 BLANKS = " \t\r"
-#: Letters whose counts two lines are compared by before they meet; one edit changes two counts by one at most.
-LETTERS = "eantiors"
-
 Steps = tuple[tuple[int, int], ...]
-#: Starts of two lines that are compared by their characters before the lines meet.
-STARTS = (64, 128, 192, 256, 384, 512)
+#: Starts of two lines that are compared by their characters before the lines meet: every 16 characters, so many of them.
+STARTS = (16, 32)
+#: Lines (copies counted) up to which those under one key all meet; under other keys they need a group in common too.
+FEW = 16
 #: Bits of the filters that spare a shuffle of all lines.
 FILTER_BITS = 24
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
     """Whether two strings, ``a`` not the longer, are at most ``edits`` apart: banded bit-parallel edit distance.
 
@@ -32,9 +38,6 @@ def within(a: Column, b: Column, edits: int) -> Column:
     ones = (1 << width) - 1
     start = ones & ~((1 << edits) - 1)
 
-    def let(value: Column, body) -> Column:
-        return F.transform(F.array(value), body)[0]
-
     def matches(x: Column, y: Column, j: Column) -> Column:
         bits = [
             F.when(F.get(x, j - edits + t - 1) == F.get(y, j - 1), F.lit(1 << t).cast("long")).otherwise(F.lit(0).cast("long"))
@@ -51,7 +54,7 @@ def within(a: Column, b: Column, edits: int) -> Column:
         def with_diagonal(d: Column) -> Column:
             right = down.bitwiseOR(inverse(d.bitwiseOR(up)))
             left = d.bitwiseAND(up)
-            return let(
+            return _let(
                 right,
                 lambda r: F.struct(
                     left.bitwiseOR(inverse(F.shiftright(d, 1).bitwiseOR(r))).alias("up"),
@@ -61,7 +64,7 @@ def within(a: Column, b: Column, edits: int) -> Column:
             )
 
         sums = match.bitwiseAND(up) + up
-        return let(sums.bitwiseAND(ones).bitwiseXOR(up).bitwiseOR(match).bitwiseOR(down), with_diagonal)
+        return _let(sums.bitwiseAND(ones).bitwiseXOR(up).bitwiseOR(match).bitwiseOR(down), with_diagonal)
 
     first = F.struct(
         F.lit(start).cast("long").alias("up"), F.lit(0).cast("long").alias("down"), F.lit(edits).cast("long").alias("score")
@@ -76,7 +79,7 @@ def within(a: Column, b: Column, edits: int) -> Column:
         return value
 
     gap = F.length(b) - F.length(a)
-    marks = let(
+    marks = _let(
         F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y")),
         lambda p: F.transform(F.sequence(F.lit(1), F.length(b)), lambda j: matches(p["x"], p["y"], j)),
     )
@@ -84,23 +87,6 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return F.when((gap >= 0) & (gap <= edits), last <= edits).otherwise(False)
 
 
-def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
-    """Start (from 1) and size of the ``edits + 1`` even segments of a line; the later ones are longer."""
-    parts = edits + 1
-    size, rest = F.floor(length / parts), length % parts
-    out = []
-    for i in range(parts):
-        longer = F.greatest(F.lit(0), rest - (parts - 1 - i))
-        before = F.greatest(F.lit(0), rest - (parts - i))
-        out.append(((size * i + before + 1).cast("int"), (size + (longer - before)).cast("int")))
-    return out
-
-
-def _key(length: Column, i: int, start: Column, size: Column) -> Column:
-    """Of ``size`` characters of the line; ``wide`` has four bytes for each, so they are cut out without a search."""
-    return F.xxhash64(length.cast("int"), F.lit(i), F.substring(F.col("wide"), 4 * (start - 1) + 1, 4 * size))
-
-
 def allowed(n: Column, steps: Steps) -> Column:
     """Edits that a line of ``n`` characters may be from a longer one."""
     found = F.lit(0)
@@ -109,12 +95,36 @@ def allowed(n: Column, steps: Steps) -> Column:
     return found
 
 
+def _keys(edits: int, steps: Steps, places: list[tuple[int, int, int]]) -> Column:
+    """Keys at ``places`` (gap, segment, shift) of a line read as one that is ``gap`` characters shorter.
+
+    Such a line has ``edits + 1`` even segments, the later ones longer. A key is null where that length does not have
+    these edits or where the shifted segment would leave the line. ``wide`` has four bytes for each character, so
+    segments are cut out without a search. One small expression runs over all places: written out place by place,
+    the compiled method outgrows what the virtual machine compiles in turn (8,000 bytes), and is interpreted.
+    """
+    n, parts = F.col("n"), edits + 1
+
+    def key(place: Column) -> Column:
+        length, i = n - place["gap"], place["segment"]
+        size, rest = F.floor(length / parts), length % parts
+        before = F.greatest(F.lit(0), rest + i - parts)
+        after = F.greatest(F.lit(0), rest + i + 1 - parts)
+        start, size = (size * i + before + place["shift"]).cast("int"), (size + after - before).cast("int")
+        fits = (allowed(length, steps) == edits) & (start >= 0) & (start + size <= n)
+        return F.when(fits, F.xxhash64(length.cast("int"), i, F.substring(F.col("wide"), 4 * start + 1, 4 * size)))
+
+    names = ("gap", "segment", "shift")
+    listed = F.array(*[F.struct(*[F.lit(x).alias(name) for x, name in zip(place, names)]) for place in places])
+    return F.transform(listed, key)
+
+
+def _known(keys: list[Column]) -> Column:
+    return F.array_compact(F.concat(*keys)) if keys else F.array().cast("array<bigint>")
+
+
 def _index(steps: Steps) -> Column:
-    n, keys = F.col("n"), []
-    for edits in sorted({e for _, e in steps}):
-        own = allowed(n, steps) == edits
-        keys += [F.when(own, _key(n, i, at, size)) for i, (at, size) in enumerate(_segments(n, edits))]
-    return F.array(*keys) if keys else F.array().cast("array<bigint>")
+    return _known([_keys(edits, steps, [(0, i, 0) for i in range(edits + 1)]) for edits in sorted({e for _, e in steps})])
 
 
 def _probes(steps: Steps) -> Column:
@@ -122,19 +132,15 @@ def _probes(steps: Steps) -> Column:
 
     Those of the line's own segments are left out: ``_index`` has them.
     """
-    n, keys = F.col("n"), []
+    keys = []
     for edits in sorted({e for _, e in steps}):
+        places = []
         for gap in range(edits + 1):
-            length = n - gap
-            meant = allowed(length, steps) == edits
-            for i, (at, size) in enumerate(_segments(length, edits)):
+            for i in range(edits + 1):
                 low, high = max(-i, gap - (edits - i)), min(i, gap + (edits - i))
-                for shift in range(low, high + 1):
-                    if gap or shift:
-                        start = at + shift
-                        fits = meant & (start >= 1) & (start + size - 1 <= n)
-                        keys.append(F.when(fits, _key(length, i, start, size)))
-    return F.array(*keys) if keys else F.array().cast("array<bigint>")
+                places += [(gap, i, shift) for shift in range(low, high + 1) if gap or shift]
+        keys.append(_keys(edits, steps, places))
+    return _known(keys)
 
 
 def _groups(steps: Steps) -> int:
@@ -142,15 +148,21 @@ def _groups(steps: Steps) -> int:
 
 
 def _signatures(line: Column, groups: int) -> Column:
-    """A hash of the characters of each group (code modulo ``groups``), whatever their order.
+    """A sum over the characters of each group (code modulo ``groups``), whatever their order.
 
     An edit takes a character out of one group and may put one into another, so of two lines that are within
     ``(groups - 1) / 2`` edits at least one group has the same characters.
     """
-    letters = F.split(line, "")
-    return F.array(
-        *[F.xxhash64(F.array_sort(F.filter(letters, lambda c, g=g: F.ascii(c) % groups == g))) for g in range(groups)]
-    )
+
+    def totals(codes: Column) -> Column:
+        return F.array(*[total(codes, group) for group in range(groups)])
+
+    def total(codes: Column, group: int) -> Column:
+        # Spark counts a function's parameters, those with defaults too: a second one would be the position.
+        own = F.filter(codes, lambda c: c % groups == group)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda x, c: x + F.xxhash64(c).bitwiseAND((1 << 31) - 1))
+
+    return _let(F.transform(F.split(line, ""), F.ascii), totals)
 
 
 def _among(frame: DataFrame, column: str, ids: DataFrame) -> DataFrame:
@@ -166,53 +178,37 @@ def _among(frame: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 
 
 def _shape(line: Column) -> Column:
-    """Counts of eight groups of characters in the first ``STARTS`` characters, four counts of 16 bits in a long.
+    """Which characters (code modulo 64) stand an odd number of times in each start of the line, then in the whole.
 
-    Two longs per start; null where the line is shorter.
+    Bits of one long per start; null where the line is shorter.
     """
-    groups = F.transform(F.split(F.substring(line, 1, max(STARTS)), ""), lambda c: F.ascii(c) % 8)
+    step, starts = STARTS
+    none = F.lit(0).cast("long")
+    bits = F.transform(F.split(line, ""), lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c).bitwiseAND(63)))
+
+    def odd(some: Column) -> Column:
+        return F.aggregate(some, none, lambda x, y: x.bitwiseXOR(y))
 
-    def counts(size: int, low: int) -> Column:
-        units = F.transform(
-            F.filter(F.slice(groups, 1, size), lambda g: (g >= low) & (g < low + 4)),
-            lambda g: F.call_function("shiftleft", F.lit(1).cast("long"), 16 * (g - low)),
+    def longer(found: Column, more: Column) -> Column:
+        return F.concat(found, F.array(more.bitwiseXOR(F.coalesce(F.get(found, F.size(found) - 1), none))))
+
+    def shape(bits: Column) -> Column:
+        whole = F.transform(
+            F.sequence(F.lit(0), F.lit(starts - 1)),
+            lambda i: F.when(F.size(bits) >= (i + 1) * step, odd(F.slice(bits, i * step + 1, step))),
         )
-        return F.when(F.length(line) >= size, F.aggregate(units, F.lit(0).cast("long"), lambda x, y: x + y))
+        return F.concat(F.aggregate(whole, F.array().cast("array<bigint>"), longer), F.array(odd(bits)))
 
-    return F.array(*[counts(size, low) for size in STARTS for low in (0, 4)])
+    return _let(bits, shape)
 
 
 def _alike(a: str, b: str, edits: str) -> str:
-    """Whether no start of the lines has counts further apart than the edits allow: an edit moves two by one at most.
+    """Whether no start of the lines, nor the whole, differs in more bits than the edits allow: an edit turns two at most.
 
     A plain condition, without functions on arrays, so that it is part of the join and no pair that fails is made.
     """
-    starts = []
-    for k in range(len(STARTS)):
-        lanes = [
-            f"abs((shiftrightunsigned({a}[{i}], {16 * lane}) & 65535) - (shiftrightunsigned({b}[{i}], {16 * lane}) & 65535))"
-            for i in (2 * k, 2 * k + 1)
-            for lane in range(4)
-        ]
-        starts.append(f"coalesce({' + '.join(lanes)} <= 2 * {edits}, true)")
-    return " AND ".join(starts)
-
-
-def _letter_counts(line: Column) -> Column:
-    """Counts of eight letters, modulo 256, one per byte."""
-    total = F.lit(0).cast("long")
-    for i, letter in enumerate(LETTERS):
-        count = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))).bitwiseAND(255).cast("long")
-        total = total.bitwiseOR(F.shiftleft(count, 8 * i))
-    return total
-
-
-def _letter_distance(a: str, b: str) -> str:
-    parts = []
-    for i in range(8):
-        d = f"abs((shiftrightunsigned({a}, {8 * i}) & 255) - (shiftrightunsigned({b}, {8 * i}) & 255))"
-        parts.append(f"least({d}, 256 - {d})")
-    return " + ".join(parts)
+    places = [STARTS[1], *range(STARTS[1])]
+    return " AND ".join(f"coalesce(bit_count({a}[{i}] ^ {b}[{i}]) <= 2 * {edits}, true)" for i in places)
 
 
 def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
@@ -232,12 +228,10 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
 
     own = plain.select("h1", F.explode("own").alias("key"), F.lit(1).alias("is_own"))
     keyed = own.unionByName(plain.select("h1", F.explode("others").alias("key"), F.lit(0).alias("is_own")))
-    # Keys that a line does not have are null; taking them out inside the row would cost its compiled code.
-    keyed = keyed.where("key IS NOT NULL")
     shared = keyed.groupBy("key").agg(
-        F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("is_own").alias("is_own")
+        F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("is_own").alias("is_own"), F.count("*").alias("met")
     )
-    shared = stored(shared.where("low < high AND is_own = 1").select("key"), "line-keys")
+    shared = stored(shared.where("low < high AND is_own = 1").select("key", "met"), "line-keys")
     some = stored(_among(keyed, "key", shared).join(shared, "key").distinct(), "line-meetings")
     ids = some.select("h1").distinct()
     wanted = _among(classes, "h1", ids).join(ids, "h1").select("h1", "h2", "first")
@@ -246,18 +240,16 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
     texts = texts.select("h1", "h2", "first", "line").dropDuplicates(["h1", "h2"])
     line = F.col("line")
     texts = texts.withColumns(
-        {"letters": _letter_counts(line), "edits": allowed(F.length(line), steps), "groups": _signatures(line, _groups(steps)),
-         "shape": _shape(line)}
-    )
+        {"edits": allowed(F.length(line), steps), "groups": _signatures(line, _groups(steps)), "shape": _shape(line)}
+    )
     texts = stored(texts, "line-texts")
     # Below a key that many lines share, only those meet that also have the same characters in one of the groups.
-    known = some.join(texts.select("h1", "letters", "edits", "shape", F.posexplode("groups").alias("g", "same")), "h1")
-    known = known.withColumn("meeting", F.xxhash64("key", "g", "same"))
-    index = known.where("is_own = 1").select("meeting", "h1", "letters", "edits", "shape")
-    probes = known.select("meeting", F.col("h1").alias("p1"), F.col("letters").alias("others"), F.col("shape").alias("other"))
-    near = index.join(probes, "meeting").where("h1 <> p1")
-    near = near.where(f"{_letter_distance('letters', 'others')} <= 2 * edits")
-    near = near.where(_alike("shape", "other", "edits"))
+    grouped = F.transform("groups", lambda same, group: F.xxhash64("key", group, same))
+    meetings = F.when(F.col("met") <= FEW, F.array("key")).otherwise(grouped)
+    known = some.join(texts.select("h1", "edits", "shape", "groups"), "h1").withColumn("meeting", F.explode(meetings))
+    index = known.where("is_own = 1").select("meeting", "h1", "edits", "shape")
+    probes = known.select("meeting", F.col("h1").alias("p1"), F.col("shape").alias("other"))
+    near = index.join(probes, "meeting").where("h1 <> p1").where(_alike("shape", "other", "edits"))
     pairs = near.select(F.least("h1", "p1").alias("a"), F.greatest("h1", "p1").alias("b")).distinct()
     parts = texts.select("h1", "h2", "first", "line", "edits")
     one, two = (parts.select(*[F.col(c).alias(f"{c}_{side}") for c in parts.columns]) for side in "ab")
@@ -302,8 +294,9 @@ def repeated_lines(documents: DataFrame, steps: Steps = EDITS) -> DataFrame:
 
     Equal lines are one class, counted per task first. A class is cut into one segment more than the edits it may
     have and probed by the substrings at which a segment of a line shorter by no more than its edits can stand.
-    Classes that share a key get their texts; pairs of them that have the same characters in one of the groups and
-    nearly agree in the counts of letters, in the whole and in their starts (``STARTS``), are verified.
+    Classes that share a key get their texts; pairs of them that nearly agree in the characters of their starts
+    (``STARTS``) and of the whole, and under keys of more than ``FEW`` lines have the same characters in one of the
+    groups, are verified.
     """
     keys = with_row_key(documents).select("doc_id", "k1", "k2")
     found = keys.join(_judged(documents, steps), ["k1", "k2"], "left")

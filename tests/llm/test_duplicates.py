@@ -129,6 +129,32 @@ def test_lines_from_one_template(spark):
     assert lines(frame) == brute.repeated_lines(rows, line_edits.EDITS)
 
 
+def test_lines_edited_at_any_place(spark):
+    """Under a key of many lines, those with another first letter meet the line they come from, as all others do."""
+    line = "n the beginning there was one line that a careful editor changed at a single place, and at no other place"
+    edited = ["I" + line] + [c + line for c in "ABCDEFGHJKLMNOPQRSTU"] + ["I" + line[:k] + "#" + line[k + 1 :] for k in range(0, 105, 15)]
+    rows = list(enumerate(edited))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lines(frame) == brute.repeated_lines(rows, line_edits.EDITS) == [(0, 1, [])] + [(i, 1, [0]) for i, _ in rows[1:]]
+
+
+def test_conditions_on_lines_that_meet(spark):
+    """Lines within two edits pass; two copies with a word put in at different places no longer make a pair."""
+    import random
+
+    rng = random.Random(5)
+    line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé ") for _ in range(400))
+    put = [line[:k] + word + line[k:] for k, word in ((40, "iocr "), (300, "bmmg "))]
+    cut = []
+    for _ in range(100):
+        a, b = sorted(rng.sample(range(400), 2))
+        cut.append((line, line[:a] + rng.choice(["", "x"]) + line[a + 1 : b] + "Q" + line[b:]))
+    frame = spark.createDataFrame([*cut, tuple(put)], "a string, b string")
+    shapes = frame.select("a", "b", line_edits._shape(F.col("a")).alias("x"), line_edits._shape(F.col("b")).alias("y"))
+    found = shapes.select("a", F.expr(line_edits._alike("x", "y", "2")).alias("alike")).collect()
+    assert all(r["alike"] == (r["a"] == line) for r in found)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_banded_distance(spark, edits):
     import random
