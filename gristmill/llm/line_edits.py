@@ -87,6 +87,23 @@ def within(a: Column, b: Column, edits: int) -> Column:
     return F.when((gap >= 0) & (gap <= edits), last <= edits).otherwise(False)
 
 
+def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
+    """Start (from 1) and size of the ``edits + 1`` even segments of a line; the later ones are longer."""
+    parts = edits + 1
+    size, rest = F.floor(length / parts), length % parts
+    out = []
+    for i in range(parts):
+        longer = F.greatest(F.lit(0), rest - (parts - 1 - i))
+        before = F.greatest(F.lit(0), rest - (parts - i))
+        out.append(((size * i + before + 1).cast("int"), (size + (longer - before)).cast("int")))
+    return out
+
+
+def _key(length: Column, i: int, start: Column, size: Column) -> Column:
+    """Of ``size`` characters of the line; ``wide`` has four bytes for each, so they are cut out without a search."""
+    return F.xxhash64(length.cast("int"), F.lit(i), F.substring(F.col("wide"), 4 * (start - 1) + 1, 4 * size))
+
+
 def allowed(n: Column, steps: Steps) -> Column:
     """Edits that a line of ``n`` characters may be from a longer one."""
     found = F.lit(0)
@@ -95,36 +112,12 @@ def allowed(n: Column, steps: Steps) -> Column:
     return found
 
 
-def _keys(edits: int, steps: Steps, places: list[tuple[int, int, int]]) -> Column:
-    """Keys at ``places`` (gap, segment, shift) of a line read as one that is ``gap`` characters shorter.
-
-    Such a line has ``edits + 1`` even segments, the later ones longer. A key is null where that length does not have
-    these edits or where the shifted segment would leave the line. ``wide`` has four bytes for each character, so
-    segments are cut out without a search. One small expression runs over all places: written out place by place,
-    the compiled method outgrows what the virtual machine compiles in turn (8,000 bytes), and is interpreted.
-    """
-    n, parts = F.col("n"), edits + 1
-
-    def key(place: Column) -> Column:
-        length, i = n - place["gap"], place["segment"]
-        size, rest = F.floor(length / parts), length % parts
-        before = F.greatest(F.lit(0), rest + i - parts)
-        after = F.greatest(F.lit(0), rest + i + 1 - parts)
-        start, size = (size * i + before + place["shift"]).cast("int"), (size + after - before).cast("int")
-        fits = (allowed(length, steps) == edits) & (start >= 0) & (start + size <= n)
-        return F.when(fits, F.xxhash64(length.cast("int"), i, F.substring(F.col("wide"), 4 * start + 1, 4 * size)))
-
-    names = ("gap", "segment", "shift")
-    listed = F.array(*[F.struct(*[F.lit(x).alias(name) for x, name in zip(place, names)]) for place in places])
-    return F.transform(listed, key)
-
-
-def _known(keys: list[Column]) -> Column:
-    return F.array_compact(F.concat(*keys)) if keys else F.array().cast("array<bigint>")
-
-
 def _index(steps: Steps) -> Column:
-    return _known([_keys(edits, steps, [(0, i, 0) for i in range(edits + 1)]) for edits in sorted({e for _, e in steps})])
+    n, keys = F.col("n"), []
+    for edits in sorted({e for _, e in steps}):
+        own = allowed(n, steps) == edits
+        keys += [F.when(own, _key(n, i, at, size)) for i, (at, size) in enumerate(_segments(n, edits))]
+    return F.array(*keys) if keys else F.array().cast("array<bigint>")
 
 
 def _probes(steps: Steps) -> Column:
@@ -132,15 +125,19 @@ def _probes(steps: Steps) -> Column:
 
     Those of the line's own segments are left out: ``_index`` has them.
     """
-    keys = []
+    n, keys = F.col("n"), []
     for edits in sorted({e for _, e in steps}):
-        places = []
         for gap in range(edits + 1):
-            for i in range(edits + 1):
+            length = n - gap
+            meant = allowed(length, steps) == edits
+            for i, (at, size) in enumerate(_segments(length, edits)):
                 low, high = max(-i, gap - (edits - i)), min(i, gap + (edits - i))
-                places += [(gap, i, shift) for shift in range(low, high + 1) if gap or shift]
-        keys.append(_keys(edits, steps, places))
-    return _known(keys)
+                for shift in range(low, high + 1):
+                    if gap or shift:
+                        start = at + shift
+                        fits = meant & (start >= 1) & (start + size - 1 <= n)
+                        keys.append(F.when(fits, _key(length, i, start, size)))
+    return F.array(*keys) if keys else F.array().cast("array<bigint>")
 
 
 def _groups(steps: Steps) -> int:
@@ -222,12 +219,17 @@ def _judged(documents: DataFrame, steps: Steps) -> DataFrame:
     marks = {"h1": F.when(some, F.xxhash64("line")), "h2": F.when(some, F.hash("line", F.lit(1)))}
     keys = {"own": F.when(long, _index(steps)), "others": F.when(long, _probes(steps))}
     wide = lines.withColumn("wide", F.when(long, F.encode("line", "UTF-32")))
-    plain = stored(wide.select("doc_id", "k1", "k2", "number", *[c.alias(n) for n, c in (marks | keys).items()]), "lines")
+    # A function on an array keeps this projection out of the stage's one method, which with all keys has 34 KB of code
+    # and would be interpreted (from 8 KB on); by itself Spark writes it as many small methods, which are compiled.
+    apart = _let(F.col("number"), lambda number: number).alias("number")
+    plain = stored(wide.select("doc_id", "k1", "k2", apart, *[c.alias(n) for n, c in (marks | keys).items()]), "lines")
     numbered = plain.select("doc_id", "k1", "k2", "number", place, "h1", "h2")
     classes = numbered.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("place").alias("first"))
 
     own = plain.select("h1", F.explode("own").alias("key"), F.lit(1).alias("is_own"))
     keyed = own.unionByName(plain.select("h1", F.explode("others").alias("key"), F.lit(0).alias("is_own")))
+    # Keys that a line does not have are null; taking them out inside the row would interpret the expressions of all.
+    keyed = keyed.where("key IS NOT NULL")
     shared = keyed.groupBy("key").agg(
         F.min("h1").alias("low"), F.max("h1").alias("high"), F.max("is_own").alias("is_own"), F.count("*").alias("met")
     )
